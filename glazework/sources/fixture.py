@@ -1,0 +1,195 @@
+"""Test fixture: a dirty repairs table derived from the driver's TPC-H-style tables.
+
+One raw repair job per order (orders ⋈ customer ⋈ nation ⋈ region), with the
+kinds of dirt the source system sends: N/A markers and NULLs, random case,
+padding, three date formats, costs with currency words, symbols, thousands
+commas and four decimals, e-mails missing their '@', three mobile layouts,
+eight boolean spellings, ratings in words and out of range. 1% of the jobs
+(order key ≡ 7 mod 100) are sent twice as exact copies.
+
+Everything is integer and string arithmetic on the order key, so the same
+rows can be produced by any SQL engine (see ``checks/duckdb_sql.py``). The
+work grows with ``orders``: one shuffle join with ``customer``; ``nation`` and
+``region`` are broadcast after a row-count check.
+
+Variant ``repeat_customers=True`` keys customers by the order's customer, so
+one customer id carries several attribute tuples (fan-out of the fact join).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from glazework.session import broadcast_if_small
+from glazework.sources.raw import RAW_COLUMNS
+
+# Value pools of the fixture (used by the Spark recipe and by the SQL oracle).
+POOLS = {
+    "month_abbr": ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"],
+    "garage_type": ["Independent", "Franchsie", "Chain", "Mobile", "Franchise"],
+    "vehicle_brand": ["Ford", "BMW", "Mercedes-Benz", "Land Rover", "KTM"],
+    "vehicle_type": ["Hatchback", "Sedan", "SUV", "Van", "Truck", "Motorcycle", "Bus", "Campervan", "Estate", "Lorry"],
+    "vehicle_model": ["T-Roc", "R 1250 GS", "X-Trail", "Lion's City", "XC40"],
+    "glass_type": ["Tempered", "Acoustic", "HEATED", "Privacy", " tinted ", "Laminated", "OEM", "Solar-Control", "hydrophobic-coated"],
+    "window_position": ["Front Windshield", "windshield", "wind_screen", "Rear Window", " SUNROOF ", "Quarter Glass"],
+    "damage_type": ["Chip", "CRACK", " shatter ", "Scratch"],
+    "repair_type": ["Repair", "Replacement", "chip repair", "Crack Repair", "Reseal", "ADAS Calibration"],
+    "customer_rating": ["1", "2", "3", "4", "5", "0", "6", "five", "one", "N/A"],
+    "first_name": ["Ann", "Bob", "Mary Jane", "Li"],
+    "insurance_claimed": ["True", "False", "1", "0", "Yes", "No", "Y", "N", ""],
+    "weather_condition": ["Clear", "RAIN", " snow ", "Fog", "Windy"],
+    "traffic_level": ["Low", "MEDIUM", " high ", "Heavy"],
+}
+
+def _null() -> Column:
+    return F.lit(None).cast("string")
+
+
+def _pick(pool: str, idx: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in POOLS[pool]]), (idx + 1).cast("int"))
+
+
+def _idiv(a: Column, b: int) -> Column:
+    return F.floor(a / b).cast("bigint")
+
+
+def _pad(c: Column, n: int) -> Column:
+    return F.lpad(c.cast("string"), n, "0")
+
+
+def _money(cents: Column) -> Column:
+    return F.concat(_idiv(cents, 100).cast("string"), F.lit("."), _pad(cents % 100, 2))
+
+
+def _joined_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice")
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name", "c_nationkey")
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_regionkey")
+    region = spark.read.parquet(f"{sf_dir}/region.parquet").select("r_regionkey", "r_name")
+    geo = nation.join(broadcast_if_small(region), nation.n_regionkey == region.r_regionkey)
+    cust = customer.join(broadcast_if_small(geo), customer.c_nationkey == geo.n_nationkey)
+    return orders.join(cust, orders.o_custkey == cust.c_custkey)
+
+
+def dirty_repairs(spark: SparkSession, sf_dir: str, repeat_customers: bool = False) -> DataFrame:
+    """The raw repairs table (30 columns, RAW_SCHEMA order) for one scale factor."""
+    base = _joined_orders(spark, sf_dir)
+    k = F.col("o_orderkey")
+    cu = F.col("o_custkey")
+    na = F.col("n_nationkey")
+    r_name = F.col("r_name")
+
+    y, m, d = 2020 + k % 6, 1 + (k * 5) % 12, 1 + (k * 11) % 28
+    repair_date = (
+        F.when(k % 3 == 0, F.concat_ws("/", _pad(d, 2), _pad(m, 2), y.cast("string")))
+        .when(k % 3 == 1, F.concat_ws("/", _pad(m, 2), _pad(d, 2), y.cast("string")))
+        .otherwise(F.concat_ws("-", _pad(d, 2), _pick("month_abbr", m - 1), _pad(y % 100, 2)))
+    )
+    region = (
+        F.when(k % 37 == 0, F.lit("N/A"))
+        .when(k % 37 == 1, _null())
+        .when(k % 5 == 0, F.lower(r_name))
+        .when(k % 10 == 1, F.concat(F.lit(" "), r_name, F.lit(" ")))
+        .otherwise(r_name)
+    )
+    city_base = F.concat(F.lit("City-on-"), na.cast("string"))
+    city = F.when(k % 41 == 0, F.lit("N/A")).when(k % 41 == 1, _null()).when(k % 5 == 1, F.upper(city_base)).otherwise(city_base)
+    garage = _pick("garage_type", (k * 7) % 5)
+    garage_type = (
+        F.when(k % 33 == 0, F.lit("N/A"))
+        .when(k % 33 == 1, _null())
+        .when(k % 5 == 2, F.upper(garage))
+        .when(k % 10 == 3, F.concat(F.lit(" "), garage, F.lit(" ")))
+        .otherwise(garage)
+    )
+    brand = _pick("vehicle_brand", (k * 3) % 5)
+    vtype = _pick("vehicle_type", (k * 3) % 10)
+    model = _pick("vehicle_model", (k * 3) % 5)
+
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint") % 240000 + 10000
+    c2 = _money(cents)
+    thousands = F.concat(
+        _idiv(cents, 100000).cast("string"), F.lit(","), _pad(_idiv(cents, 100) % 1000, 3), F.lit("."), _pad(cents % 100, 2)
+    )
+    rc = k % 13
+    repair_cost = (
+        F.when(rc == 0, F.lit("unknown"))
+        .when(rc == 1, F.lit("N/A"))
+        .when(rc == 2, _null())
+        .when(rc == 3, F.concat(c2, F.lit(" GBP")))
+        .when(rc == 4, F.concat(F.lit("£"), c2))
+        .when((rc == 5) & (cents >= 100000), thousands)
+        .when(rc == 6, F.concat(c2, F.lit("37")))
+        .otherwise(c2)
+    )
+    g2 = _money(_idiv(cents * (30 + k % 81), 100))
+    gc = k % 17
+    glass_cost = (
+        F.when(gc == 0, F.lit("unknown"))
+        .when(gc == 1, F.lit("N/A"))
+        .when(gc == 2, _null())
+        .when(gc == 4, F.concat(F.lit("£"), g2))
+        .otherwise(g2)
+    )
+
+    fn = _pick("first_name", k % 4)
+    customer_name = (
+        F.when(k % 3 == 0, F.concat(F.lit("Mr "), fn, F.lit(" "), F.col("c_name")))
+        .when(k % 3 == 1, F.concat(F.lit("dr "), fn))
+        .otherwise(F.concat(F.lit(" "), fn, F.lit(" "), F.col("c_name")))
+    )
+    cu_s = cu.cast("string")
+    email = (
+        F.when(k % 10 == 0, F.concat(F.lit("u"), cu_s, F.lit("gmail.com")))
+        .when(k % 10 == 1, F.concat(F.lit("U"), cu_s, F.lit("@Example.ORG")))
+        .when(k % 10 == 2, F.lit("nonsense"))
+        .otherwise(F.concat(F.lit("u"), cu_s, F.lit("@yahoo.co.uk")))
+    )
+    mobile = (
+        F.when(k % 10 == 0, F.lit("N/A"))
+        .when(k % 10 == 1, F.concat(F.lit("+44 7"), _pad(cu, 9)))
+        .otherwise(F.concat(F.lit("07"), _pad(cu, 9)))
+    )
+    postcode = (
+        F.when(k % 20 == 0, F.lit("N/A"))
+        .when(k % 20 < 3, F.lit("sw1a   1aa"))
+        .otherwise(F.concat(F.lit("M"), na.cast("string"), F.lit(" 1AE")))
+    )
+    tech = 1000 + (k * 17) % 550
+
+    cols = {
+        "job_id": (100000 + k).cast("bigint"),
+        "repair_date": repair_date,
+        "region": region,
+        "city": city,
+        "garage_name": F.concat(F.lit("Garage "), ((k * 13) % 20).cast("string"), F.lit(" Autoworks")),
+        "garage_type": garage_type,
+        "vehicle_brand": F.when(k % 35 == 0, F.lit("N/A")).when(k % 5 == 3, F.lower(brand)).otherwise(brand),
+        "vehicle_type": F.when(k % 39 == 0, F.lit("N/A")).when(k % 5 == 4, F.lower(vtype)).otherwise(vtype),
+        "vehicle_model": F.when(k % 43 == 0, F.lit("N/A")).when(k % 5 == 3, F.upper(model)).otherwise(model),
+        "glass_type": F.when(k % 31 == 0, F.lit("N/A")).otherwise(_pick("glass_type", (k * 5) % 9)),
+        "window_position": F.when(k % 29 == 0, F.lit("N/A")).otherwise(_pick("window_position", (k * 5) % 6)),
+        "damage_type": F.when(k % 27 == 0, _null()).otherwise(_pick("damage_type", (k * 5) % 4)),
+        "repair_type": F.when(k % 25 == 0, F.lit("N/A")).otherwise(_pick("repair_type", (k * 7) % 6)),
+        "repair_cost": repair_cost,
+        "glass_cost": glass_cost,
+        "profit": _null(),
+        "customer_rating": _pick("customer_rating", (k * 7) % 10),
+        "customer_name": customer_name,
+        "customer_email": email,
+        "customer_mobile": mobile,
+        "customer_postcode": postcode,
+        "insurance_claimed": _pick("insurance_claimed", k % 9),
+        "technician_id": tech.cast("bigint"),
+        "technician_name": F.concat(F.lit("Tech "), tech.cast("string")),
+        "technician_mobile": F.concat(F.lit("07"), _pad(tech, 9)),
+        "customer_id": (1000 + (cu if repeat_customers else k)).cast("bigint"),
+        "vehicle_age_in_years": (k % 21).cast("int"),
+        "weather_condition": F.when(k % 33 == 0, F.lit("N/A")).otherwise(_pick("weather_condition", (k * 3) % 5)),
+        "traffic_level": F.when(k % 33 == 5, F.lit("N/A")).otherwise(_pick("traffic_level", (k * 3) % 4)),
+        "job_duration_in_hours": (10 + (k * 7) % 41).cast("double") / 10,
+    }
+    # 1% exact copies without a second scan: each order emits one or two rows.
+    copies = F.explode(F.sequence(F.lit(1), F.when(k % 100 == 7, F.lit(2)).otherwise(F.lit(1))))
+    return base.select(*[cols[c].alias(c) for c in RAW_COLUMNS], copies.alias("_copy")).drop("_copy")
