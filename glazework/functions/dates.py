@@ -21,10 +21,15 @@ def parse_repair_date(raw: Column) -> Column:
     (never an error): a missing second part or a non-numeric one falls through
     to the day-first parse, which then fails softly.
     """
-    dash = _two_digit_year_pivot(F.try_to_date(raw, K.DATE_FORMAT_DAY_MON_YY[1]))
+    # A format can only match when its separator is present; checking first
+    # avoids a failed (exception-raising) parse attempt on most rows.
+    dash = F.when(raw.contains("-"), _two_digit_year_pivot(F.try_to_date(raw, K.DATE_FORMAT_DAY_MON_YY[1])))
     second = F.get(F.split(raw, "/"), 1).try_cast("int")
-    slash = F.when(second > 12, F.try_to_date(raw, K.DATE_FORMAT_US[1])).otherwise(
-        F.try_to_date(raw, K.DATE_FORMAT_UK[1])
+    slash = F.when(
+        raw.contains("/"),
+        F.when(second > 12, F.try_to_date(raw, K.DATE_FORMAT_US[1])).otherwise(
+            F.try_to_date(raw, K.DATE_FORMAT_UK[1])
+        ),
     )
     return F.coalesce(dash, slash)
 

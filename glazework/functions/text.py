@@ -19,9 +19,6 @@ def _delimiter_class() -> str:
 
 
 _DELIM = _delimiter_class()
-# Alternating runs of delimiters and of word characters; joined back they
-# give the original string, so only the first letter of each run changes.
-_RUNS = f"({_DELIM}+|{_DELIM.replace('[', '[^', 1)}+)"
 
 
 def initcap_words(col: Column) -> Column:
@@ -30,11 +27,14 @@ def initcap_words(col: Column) -> Column:
     A word starts after whitespace or any of the delimiter characters
     (hyphen, underscore, slash, dot, …), so ``T-ROC`` → ``T-Roc`` and
     ``wind_screen`` → ``Wind_Screen``; an apostrophe does not start a word.
-    Spark's own ``initcap`` only splits on spaces, hence this expression.
+
+    Spark's ``initcap`` starts words only after a space, so a space is put
+    after every delimiter, ``initcap`` runs, and exactly that space is taken
+    out again (a left-to-right scan pairs each delimiter with the space that
+    follows it). Three built-in string functions, no arrays or lambdas.
     """
-    runs = F.regexp_extract_all(F.lower(col), F.lit(_RUNS), F.lit(1))
-    capped = F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.substring(r, 2, 1 << 30)))
-    return F.when(col.isNull(), _null_str()).otherwise(F.array_join(capped, ""))
+    spaced = F.regexp_replace(F.lower(col), f"({_DELIM})", "$1 ")
+    return F.regexp_replace(F.initcap(spaced), f"({_DELIM}) ", "$1")
 
 
 def _na_to_null(col: Column) -> Column:
@@ -112,9 +112,15 @@ def uk_mobile(mobile: Column) -> Column:
     )
 
 
-def _tail(parts: Column) -> Column:
-    """All elements but the first (empty for a one-element array)."""
-    return F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+def _before_space(s: Column) -> Column:
+    """Text before the first space (all of it when there is none)."""
+    return F.substring_index(s, " ", 1)
+
+
+def _after_space(s: Column) -> Column:
+    """Text after the first space ('' when there is none)."""
+    at = F.instr(s, " ")
+    return F.when(at > 0, s.substr(at + 1, F.length(s))).otherwise(F.lit(""))
 
 
 def parse_full_name(name: Column) -> Column:
@@ -122,17 +128,17 @@ def parse_full_name(name: Column) -> Column:
 
     The first space-separated piece is a prefix when it is a known title
     (INITCAPed). The remainder (the other pieces, or the whole trimmed name
-    when there is no prefix) is split again: its first piece is the first name
-    and the rest, joined by a space, the surname (empty → NULL). A bare title
-    gives first_name '' because splitting '' yields one empty piece.
+    when there is no prefix) gives the first name (its first piece) and the
+    surname (the other pieces, space-joined; empty → NULL). Splitting on ' '
+    and joining the tail with ' ' is the text after the first space, so this
+    is computed with plain string functions; repeated spaces are kept, and a
+    bare title gives first_name '' (not NULL).
     """
     trimmed = F.trim(name)
-    parts = F.split(trimmed, " ")
-    head = F.get(parts, 0)
+    head = _before_space(trimmed)
     has_prefix = F.upper(head).isin(K.NAME_PREFIXES)
     prefix = F.when(has_prefix, initcap_words(head)).otherwise(_null_str())
-    remainder = F.when(has_prefix, F.array_join(_tail(parts), " ")).otherwise(trimmed)
-    rest = F.split(remainder, " ")
-    first_name = F.get(rest, 0)
-    surname = F.nullif(F.array_join(_tail(rest), " "), F.lit(""))
+    remainder = F.when(has_prefix, _after_space(trimmed)).otherwise(trimmed)
+    first_name = _before_space(remainder)
+    surname = F.nullif(_after_space(remainder), F.lit(""))
     return F.struct(prefix.alias("prefix"), first_name.alias("first_name"), surname.alias("surname"))

@@ -49,10 +49,11 @@ def lookup_key(
     (AQE splits a skewed fact partition). Several dimension rows for one fact
     row multiply it, as a SQL left join does.
     """
-    right = dim.select(*[F.col(d).alias(f"_dim_{d}") for _, d in on], F.col(key))
+    right = dim.select(*[F.col(d).alias(f"_{key}_{d}") for _, d in on], F.col(key))
     if broadcast is None:
         right = broadcast_if_small(right, max_rows)
     elif broadcast:
         right = F.broadcast(right)
-    cond = _all([fact[f] == right[f"_dim_{d}"] for f, d in on])
-    return fact.join(right, cond, "left").drop(*[f"_dim_{d}" for _, d in on])
+    cond = _all([fact[f] == right[f"_{key}_{d}"] for f, d in on])
+    # The helper columns are pruned by the caller's final projection.
+    return fact.join(right, cond, "left")

@@ -28,7 +28,8 @@ def region_lookup(raw: DataFrame) -> DataFrame:
 def with_region_lookup(
     raw: DataFrame, lookup: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS
 ) -> DataFrame:
-    """R-02: left join the lookup on ``lower(trim(city))``; adds ``_lookup_region``.
+    """R-02: left join the lookup on ``lower(trim(city))``; adds ``_lookup_region``
+    (and the helper ``_lookup_city``, pruned by the staging projection).
 
     ``lookup`` should be materialised: it is counted, and broadcast when it is
     within ``max_rows``; a larger one is joined by shuffle (AQE splits skewed
@@ -36,8 +37,7 @@ def with_region_lookup(
     """
     right = lookup.select(F.col("city").alias("_lookup_city"), F.col("region").alias("_lookup_region"))
     right = broadcast_if_small(right, max_rows)
-    joined = raw.join(right, F.lower(F.trim(raw["city"])) == right["_lookup_city"], "left")
-    return joined.drop("_lookup_city")
+    return raw.join(right, F.lower(F.trim(raw["city"])) == right["_lookup_city"], "left")
 
 
 def mapped_name(column: str) -> str:
@@ -47,7 +47,9 @@ def mapped_name(column: str) -> str:
 def map_codes(df: DataFrame, seeds: dict[str, DataFrame], columns: list[str] | None = None) -> DataFrame:
     """R-03: for each column, left join its seed on ``UPPER(TRIM(..))``.
 
-    Adds ``_mapped_<column>`` = the seed's clean value (NULL when unmatched).
+    Adds ``_mapped_<column>`` = the seed's clean value (NULL when unmatched)
+    and the helper key ``_seed_key_<column>`` (pruned by the next projection;
+    no per-join drop, which would re-analyse the growing plan each time).
     Seeds are bounded by ``load_seeds`` and broadcast, so all joins run
     map-side in one stage. Duplicate seed keys would fan rows out; loading
     rejects them.
@@ -55,5 +57,5 @@ def map_codes(df: DataFrame, seeds: dict[str, DataFrame], columns: list[str] | N
     for column in columns or K.MAPPED_COLUMNS:
         key, value = f"_seed_key_{column}", mapped_name(column)
         seed = seeds[column].select(F.upper(F.trim("raw_value")).alias(key), F.col("clean_value").alias(value))
-        df = df.join(F.broadcast(seed), F.upper(F.trim(df[column])) == seed[key], "left").drop(key)
+        df = df.join(F.broadcast(seed), F.upper(F.trim(df[column])) == seed[key], "left")
     return df

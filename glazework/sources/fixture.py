@@ -10,7 +10,7 @@ eight boolean spellings, ratings in words and out of range. 1% of the jobs
 Everything is integer and string arithmetic on the order key, so the same
 rows can be produced by any SQL engine (see ``checks/duckdb_sql.py``). The
 work grows with ``orders``: one shuffle join with ``customer``; ``nation`` and
-``region`` are broadcast after a row-count check.
+``region`` are broadcast by the planner's size threshold.
 
 Variant ``repeat_customers=True`` keys customers by the order's customer, so
 one customer id carries several attribute tuples (fan-out of the fact join).
@@ -18,10 +18,9 @@ one customer id carries several attribute tuples (fan-out of the fact join).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glazework.session import broadcast_if_small
 from glazework.sources.raw import RAW_COLUMNS
 
 # Value pools of the fixture (used by the Spark recipe and by the SQL oracle).
@@ -42,154 +41,150 @@ POOLS = {
     "traffic_level": ["Low", "MEDIUM", " high ", "Heavy"],
 }
 
-def _null() -> Column:
-    return F.lit(None).cast("string")
 
 
-def _pick(pool: str, idx: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in POOLS[pool]]), (idx + 1).cast("int"))
+def _q(s: str) -> str:
+    """Spark SQL string literal."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _idiv(a: Column, b: int) -> Column:
-    return F.floor(a / b).cast("bigint")
+def _pick(pool: str, idx: str) -> str:
+    return "element_at(array(" + ", ".join(_q(v) for v in POOLS[pool]) + f"), CAST({idx} + 1 AS INT))"
 
 
-def _pad(c: Column, n: int) -> Column:
-    return F.lpad(c.cast("string"), n, "0")
+def _pad(e: str, n: int) -> str:
+    return f"lpad(CAST({e} AS STRING), {n}, '0')"
 
 
-def _money(cents: Column) -> Column:
-    return F.concat(_idiv(cents, 100).cast("string"), F.lit("."), _pad(cents % 100, 2))
+def _money(c: str) -> str:
+    return f"concat(CAST(({c}) div 100 AS STRING), '.', {_pad(f'({c}) % 100', 2)})"
 
 
-def _joined_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice")
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name", "c_nationkey")
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_regionkey")
-    region = spark.read.parquet(f"{sf_dir}/region.parquet").select("r_regionkey", "r_name")
-    geo = nation.join(broadcast_if_small(region), nation.n_regionkey == region.r_regionkey)
-    cust = customer.join(broadcast_if_small(geo), customer.c_nationkey == geo.n_nationkey)
-    return orders.join(cust, orders.o_custkey == cust.c_custkey)
+# Input contract: only these columns of the driver tables are read.
+_SCHEMAS = {
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT",
+    "nation": "n_nationkey INT, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+}
 
 
-def dirty_repairs(spark: SparkSession, sf_dir: str, repeat_customers: bool = False) -> DataFrame:
-    """The raw repairs table (30 columns, RAW_SCHEMA order) for one scale factor."""
-    base = _joined_orders(spark, sf_dir)
-    k = F.col("o_orderkey")
-    cu = F.col("o_custkey")
-    na = F.col("n_nationkey")
-    r_name = F.col("r_name")
-
-    y, m, d = 2020 + k % 6, 1 + (k * 5) % 12, 1 + (k * 11) % 28
-    repair_date = (
-        F.when(k % 3 == 0, F.concat_ws("/", _pad(d, 2), _pad(m, 2), y.cast("string")))
-        .when(k % 3 == 1, F.concat_ws("/", _pad(m, 2), _pad(d, 2), y.cast("string")))
-        .otherwise(F.concat_ws("-", _pad(d, 2), _pick("month_abbr", m - 1), _pad(y % 100, 2)))
-    )
-    region = (
-        F.when(k % 37 == 0, F.lit("N/A"))
-        .when(k % 37 == 1, _null())
-        .when(k % 5 == 0, F.lower(r_name))
-        .when(k % 10 == 1, F.concat(F.lit(" "), r_name, F.lit(" ")))
-        .otherwise(r_name)
-    )
-    city_base = F.concat(F.lit("City-on-"), na.cast("string"))
-    city = F.when(k % 41 == 0, F.lit("N/A")).when(k % 41 == 1, _null()).when(k % 5 == 1, F.upper(city_base)).otherwise(city_base)
-    garage = _pick("garage_type", (k * 7) % 5)
-    garage_type = (
-        F.when(k % 33 == 0, F.lit("N/A"))
-        .when(k % 33 == 1, _null())
-        .when(k % 5 == 2, F.upper(garage))
-        .when(k % 10 == 3, F.concat(F.lit(" "), garage, F.lit(" ")))
-        .otherwise(garage)
-    )
-    brand = _pick("vehicle_brand", (k * 3) % 5)
-    vtype = _pick("vehicle_type", (k * 3) % 10)
-    model = _pick("vehicle_model", (k * 3) % 5)
-
-    cents = F.round(F.col("o_totalprice") * 100).cast("bigint") % 240000 + 10000
-    c2 = _money(cents)
-    thousands = F.concat(
-        _idiv(cents, 100000).cast("string"), F.lit(","), _pad(_idiv(cents, 100) % 1000, 3), F.lit("."), _pad(cents % 100, 2)
-    )
-    rc = k % 13
-    repair_cost = (
-        F.when(rc == 0, F.lit("unknown"))
-        .when(rc == 1, F.lit("N/A"))
-        .when(rc == 2, _null())
-        .when(rc == 3, F.concat(c2, F.lit(" GBP")))
-        .when(rc == 4, F.concat(F.lit("£"), c2))
-        .when((rc == 5) & (cents >= 100000), thousands)
-        .when(rc == 6, F.concat(c2, F.lit("37")))
-        .otherwise(c2)
-    )
-    g2 = _money(_idiv(cents * (30 + k % 81), 100))
-    gc = k % 17
-    glass_cost = (
-        F.when(gc == 0, F.lit("unknown"))
-        .when(gc == 1, F.lit("N/A"))
-        .when(gc == 2, _null())
-        .when(gc == 4, F.concat(F.lit("£"), g2))
-        .otherwise(g2)
-    )
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
-    fn = _pick("first_name", k % 4)
-    customer_name = (
-        F.when(k % 3 == 0, F.concat(F.lit("Mr "), fn, F.lit(" "), F.col("c_name")))
-        .when(k % 3 == 1, F.concat(F.lit("dr "), fn))
-        .otherwise(F.concat(F.lit(" "), fn, F.lit(" "), F.col("c_name")))
-    )
-    cu_s = cu.cast("string")
-    email = (
-        F.when(k % 10 == 0, F.concat(F.lit("u"), cu_s, F.lit("gmail.com")))
-        .when(k % 10 == 1, F.concat(F.lit("U"), cu_s, F.lit("@Example.ORG")))
-        .when(k % 10 == 2, F.lit("nonsense"))
-        .otherwise(F.concat(F.lit("u"), cu_s, F.lit("@yahoo.co.uk")))
-    )
-    mobile = (
-        F.when(k % 10 == 0, F.lit("N/A"))
-        .when(k % 10 == 1, F.concat(F.lit("+44 7"), _pad(cu, 9)))
-        .otherwise(F.concat(F.lit("07"), _pad(cu, 9)))
+
+def _joined_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, customer = _table(spark, sf_dir, "orders"), _table(spark, sf_dir, "customer")
+    nation, region = _table(spark, sf_dir, "nation"), _table(spark, sf_dir, "region")
+    # nation and region are tiny: the planner broadcasts them by its size threshold.
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey)
+    cust = customer.join(geo, customer.c_nationkey == geo.n_nationkey)
+    # orders and customer both grow with the data: shuffle both on the customer
+    # key (AQE splits a hot customer). The per-row column building then runs in
+    # the post-shuffle tasks, in parallel, whatever the input file layout.
+    joined = orders.join(cust.hint("merge"), orders.o_custkey == cust.c_custkey)
+    return joined.select(
+        F.col("o_orderkey").alias("k"),
+        F.col("o_custkey").alias("cu"),
+        "c_name",
+        F.col("n_nationkey").alias("na"),
+        "r_name",
+        (F.round(F.col("o_totalprice") * 100).cast("bigint") % 240000 + 10000).alias("cents"),
     )
-    postcode = (
-        F.when(k % 20 == 0, F.lit("N/A"))
-        .when(k % 20 < 3, F.lit("sw1a   1aa"))
-        .otherwise(F.concat(F.lit("M"), na.cast("string"), F.lit(" 1AE")))
+
+
+def _column_sql(repeat_customers: bool) -> dict[str, str]:
+    """Each raw column as a Spark SQL expression over (k, cu, c_name, na, r_name, cents)."""
+    g = _pick("garage_type", "(k * 7) % 5")
+    b = _pick("vehicle_brand", "(k * 3) % 5")
+    v = _pick("vehicle_type", "(k * 3) % 10")
+    m = _pick("vehicle_model", "(k * 3) % 5")
+    fn = _pick("first_name", "k % 4")
+    y, mo, d = "(2020 + k % 6)", "(1 + (k * 5) % 12)", "(1 + (k * 11) % 28)"
+    city_base = "concat('City-on-', CAST(na AS STRING))"
+    c2 = _money("cents")
+    g2 = _money("(cents * (30 + k % 81)) div 100")
+    thousands = (
+        "concat(CAST(cents div 100000 AS STRING), ',', "
+        f"{_pad('(cents div 100) % 1000', 3)}, '.', {_pad('cents % 100', 2)})"
     )
-    tech = 1000 + (k * 17) % 550
-
-    cols = {
-        "job_id": (100000 + k).cast("bigint"),
-        "repair_date": repair_date,
-        "region": region,
-        "city": city,
-        "garage_name": F.concat(F.lit("Garage "), ((k * 13) % 20).cast("string"), F.lit(" Autoworks")),
-        "garage_type": garage_type,
-        "vehicle_brand": F.when(k % 35 == 0, F.lit("N/A")).when(k % 5 == 3, F.lower(brand)).otherwise(brand),
-        "vehicle_type": F.when(k % 39 == 0, F.lit("N/A")).when(k % 5 == 4, F.lower(vtype)).otherwise(vtype),
-        "vehicle_model": F.when(k % 43 == 0, F.lit("N/A")).when(k % 5 == 3, F.upper(model)).otherwise(model),
-        "glass_type": F.when(k % 31 == 0, F.lit("N/A")).otherwise(_pick("glass_type", (k * 5) % 9)),
-        "window_position": F.when(k % 29 == 0, F.lit("N/A")).otherwise(_pick("window_position", (k * 5) % 6)),
-        "damage_type": F.when(k % 27 == 0, _null()).otherwise(_pick("damage_type", (k * 5) % 4)),
-        "repair_type": F.when(k % 25 == 0, F.lit("N/A")).otherwise(_pick("repair_type", (k * 7) % 6)),
-        "repair_cost": repair_cost,
-        "glass_cost": glass_cost,
-        "profit": _null(),
-        "customer_rating": _pick("customer_rating", (k * 7) % 10),
-        "customer_name": customer_name,
-        "customer_email": email,
-        "customer_mobile": mobile,
-        "customer_postcode": postcode,
-        "insurance_claimed": _pick("insurance_claimed", k % 9),
-        "technician_id": tech.cast("bigint"),
-        "technician_name": F.concat(F.lit("Tech "), tech.cast("string")),
-        "technician_mobile": F.concat(F.lit("07"), _pad(tech, 9)),
-        "customer_id": (1000 + (cu if repeat_customers else k)).cast("bigint"),
-        "vehicle_age_in_years": (k % 21).cast("int"),
-        "weather_condition": F.when(k % 33 == 0, F.lit("N/A")).otherwise(_pick("weather_condition", (k * 3) % 5)),
-        "traffic_level": F.when(k % 33 == 5, F.lit("N/A")).otherwise(_pick("traffic_level", (k * 3) % 4)),
-        "job_duration_in_hours": (10 + (k * 7) % 41).cast("double") / 10,
+    tech = "(1000 + (k * 17) % 550)"
+    null = "CAST(NULL AS STRING)"
+    return {
+        "job_id": "CAST(100000 + k AS BIGINT)",
+        "repair_date": (
+            f"CASE WHEN k % 3 = 0 THEN concat_ws('/', {_pad(d, 2)}, {_pad(mo, 2)}, CAST({y} AS STRING)) "
+            f"WHEN k % 3 = 1 THEN concat_ws('/', {_pad(mo, 2)}, {_pad(d, 2)}, CAST({y} AS STRING)) "
+            f"ELSE concat_ws('-', {_pad(d, 2)}, {_pick('month_abbr', f'{mo} - 1')}, {_pad(f'{y} % 100', 2)}) END"
+        ),
+        "region": (
+            f"CASE WHEN k % 37 = 0 THEN 'N/A' WHEN k % 37 = 1 THEN {null} "
+            "WHEN k % 5 = 0 THEN lower(r_name) WHEN k % 10 = 1 THEN concat(' ', r_name, ' ') ELSE r_name END"
+        ),
+        "city": (
+            f"CASE WHEN k % 41 = 0 THEN 'N/A' WHEN k % 41 = 1 THEN {null} "
+            f"WHEN k % 5 = 1 THEN upper({city_base}) ELSE {city_base} END"
+        ),
+        "garage_name": "concat('Garage ', CAST((k * 13) % 20 AS STRING), ' Autoworks')",
+        "garage_type": (
+            f"CASE WHEN k % 33 = 0 THEN 'N/A' WHEN k % 33 = 1 THEN {null} "
+            f"WHEN k % 5 = 2 THEN upper({g}) WHEN k % 10 = 3 THEN concat(' ', {g}, ' ') ELSE {g} END"
+        ),
+        "vehicle_brand": f"CASE WHEN k % 35 = 0 THEN 'N/A' WHEN k % 5 = 3 THEN lower({b}) ELSE {b} END",
+        "vehicle_type": f"CASE WHEN k % 39 = 0 THEN 'N/A' WHEN k % 5 = 4 THEN lower({v}) ELSE {v} END",
+        "vehicle_model": f"CASE WHEN k % 43 = 0 THEN 'N/A' WHEN k % 5 = 3 THEN upper({m}) ELSE {m} END",
+        "glass_type": f"CASE WHEN k % 31 = 0 THEN 'N/A' ELSE {_pick('glass_type', '(k * 5) % 9')} END",
+        "window_position": f"CASE WHEN k % 29 = 0 THEN 'N/A' ELSE {_pick('window_position', '(k * 5) % 6')} END",
+        "damage_type": f"CASE WHEN k % 27 = 0 THEN {null} ELSE {_pick('damage_type', '(k * 5) % 4')} END",
+        "repair_type": f"CASE WHEN k % 25 = 0 THEN 'N/A' ELSE {_pick('repair_type', '(k * 7) % 6')} END",
+        "repair_cost": (
+            f"CASE WHEN k % 13 = 0 THEN 'unknown' WHEN k % 13 = 1 THEN 'N/A' WHEN k % 13 = 2 THEN {null} "
+            f"WHEN k % 13 = 3 THEN concat({c2}, ' GBP') WHEN k % 13 = 4 THEN concat('£', {c2}) "
+            f"WHEN k % 13 = 5 AND cents >= 100000 THEN {thousands} "
+            f"WHEN k % 13 = 6 THEN concat({c2}, '37') ELSE {c2} END"
+        ),
+        "glass_cost": (
+            f"CASE WHEN k % 17 = 0 THEN 'unknown' WHEN k % 17 = 1 THEN 'N/A' WHEN k % 17 = 2 THEN {null} "
+            f"WHEN k % 17 = 4 THEN concat('£', {g2}) ELSE {g2} END"
+        ),
+        "profit": null,
+        "customer_rating": _pick("customer_rating", "(k * 7) % 10"),
+        "customer_name": (
+            f"CASE WHEN k % 3 = 0 THEN concat('Mr ', {fn}, ' ', c_name) WHEN k % 3 = 1 THEN concat('dr ', {fn}) "
+            f"ELSE concat(' ', {fn}, ' ', c_name) END"
+        ),
+        "customer_email": (
+            "CASE WHEN k % 10 = 0 THEN concat('u', CAST(cu AS STRING), 'gmail.com') "
+            "WHEN k % 10 = 1 THEN concat('U', CAST(cu AS STRING), '@Example.ORG') "
+            "WHEN k % 10 = 2 THEN 'nonsense' ELSE concat('u', CAST(cu AS STRING), '@yahoo.co.uk') END"
+        ),
+        "customer_mobile": (
+            f"CASE WHEN k % 10 = 0 THEN 'N/A' WHEN k % 10 = 1 THEN concat('+44 7', {_pad('cu', 9)}) "
+            f"ELSE concat('07', {_pad('cu', 9)}) END"
+        ),
+        "customer_postcode": (
+            "CASE WHEN k % 20 = 0 THEN 'N/A' WHEN k % 20 < 3 THEN 'sw1a   1aa' "
+            "ELSE concat('M', CAST(na AS STRING), ' 1AE') END"
+        ),
+        "insurance_claimed": _pick("insurance_claimed", "k % 9"),
+        "technician_id": f"CAST({tech} AS BIGINT)",
+        "technician_name": f"concat('Tech ', CAST({tech} AS STRING))",
+        "technician_mobile": f"concat('07', {_pad(tech, 9)})",
+        "customer_id": f"CAST(1000 + {'cu' if repeat_customers else 'k'} AS BIGINT)",
+        "vehicle_age_in_years": "CAST(k % 21 AS INT)",
+        "weather_condition": f"CASE WHEN k % 33 = 0 THEN 'N/A' ELSE {_pick('weather_condition', '(k * 3) % 5')} END",
+        "traffic_level": f"CASE WHEN k % 33 = 5 THEN 'N/A' ELSE {_pick('traffic_level', '(k * 3) % 4')} END",
+        "job_duration_in_hours": "CAST(10 + (k * 7) % 41 AS DOUBLE) / 10",
     }
-    # 1% exact copies without a second scan: each order emits one or two rows.
-    copies = F.explode(F.sequence(F.lit(1), F.when(k % 100 == 7, F.lit(2)).otherwise(F.lit(1))))
-    return base.select(*[cols[c].alias(c) for c in RAW_COLUMNS], copies.alias("_copy")).drop("_copy")
+
+
+def dirty_repairs(spark: SparkSession, sf_dir: str, repeat_customers: bool = False) -> DataFrame:
+    """The raw repairs table (30 columns, RAW_SCHEMA order) for one scale factor.
+
+    Columns are Spark SQL expressions (one call each keeps plan building
+    cheap). 1% of the orders emit a second, identical row in the same pass.
+    """
+    base = _joined_orders(spark, sf_dir)
+    sql = _column_sql(repeat_customers)
+    copies = F.explode(F.sequence(F.lit(1), F.when(F.col("k") % 100 == 7, F.lit(2)).otherwise(F.lit(1))))
+    return base.select(*[F.expr(sql[c]).alias(c) for c in RAW_COLUMNS], copies.alias("_copy")).drop("_copy")

@@ -56,6 +56,8 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
         .option("encoding", "UTF-8")
         .option("mode", "PERMISSIVE")
         .option("enforceSchema", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .schema(RAW_SCHEMA)
         .csv(path)
     )
@@ -67,5 +69,17 @@ def read_raw_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_raw_csv(df: DataFrame, path: str) -> None:
-    """Write a raw table the way the source system ships it (header, NULL → empty)."""
-    df.select(*RAW_COLUMNS).write.mode("overwrite").option("header", True).csv(path)
+    """Write a raw table the way the source system ships it (header, NULL → empty).
+
+    Padding is part of the dirt, so the writer must not trim (Spark's CSV
+    writer trims by default); an empty string is written
+    as ``""`` (the reader, like the source's loader, takes empty as NULL).
+    """
+    (
+        df.select(*RAW_COLUMNS)
+        .write.mode("overwrite")
+        .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )

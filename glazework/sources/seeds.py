@@ -45,11 +45,20 @@ def check_unique_keys(column: str, rows: list[tuple[str, str]]) -> None:
         seen[key] = raw
 
 
+def _local_table(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
+    """A seed as an inline table (a local relation: broadcast without a job)."""
+    values = ", ".join(f"(:r{i}, :c{i})" for i in range(len(rows)))
+    args = {}
+    for i, (raw, clean) in enumerate(rows):
+        args[f"r{i}"], args[f"c{i}"] = raw, clean
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t(raw_value, clean_value)", args=args)
+
+
 def load_seeds(spark: SparkSession, seed_dir: str | None = None) -> dict[str, DataFrame]:
     """All eight seeds as DataFrames (raw_value, clean_value), each proven to
     hold at most ``MAX_SEED_ROWS`` rows (so they are safe to broadcast).
 
-    Default: the packaged CSVs, shipped as local relations. With ``seed_dir``
+    Default: the packaged CSVs, as inline tables (local relations). With ``seed_dir``
     (shared storage), each ``<column>_mapping.csv`` is read by Spark and its
     key uniqueness is checked with a small aggregate.
     """
@@ -58,7 +67,7 @@ def load_seeds(spark: SparkSession, seed_dir: str | None = None) -> dict[str, Da
         if seed_dir is None:
             rows = seed_rows(column)
             check_unique_keys(column, rows)
-            out[column] = spark.createDataFrame(rows, SEED_SCHEMA)
+            out[column] = _local_table(spark, rows)
         else:
             df = spark.read.option("header", True).schema(SEED_SCHEMA).csv(f"{seed_dir}/{seed_name(column)}.csv")
             dup = (

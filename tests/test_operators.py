@@ -1,0 +1,133 @@
+"""Relational and data-quality operators on small hand-made inputs."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from glazework.operators import (
+    build_dimension,
+    date_spine,
+    dedupe_rows,
+    dim_date,
+    duplicate_report,
+    lookup_key,
+    map_codes,
+    not_null_violations,
+    quality_summary,
+    region_lookup,
+    unique_violations,
+    unmapped_violations,
+    with_region_lookup,
+)
+from glazework.operators.dimension import DimensionSpec
+from glazework.operators.lookup import mapped_name
+from glazework.sources.seeds import check_unique_keys, load_seeds
+
+
+def test_region_lookup_and_backfill(spark):
+    raw = spark.createDataFrame(
+        [(1, " Leeds ", "north"), (2, "LEEDS", "NORTH"), (3, "leeds", None), (4, "Bath", "N/A"), (5, "Bath", ""),
+         (6, "N/A", "x"), (7, None, "y"), (8, "York", None)],
+        "job_id int, city string, region string",
+    )
+    lk = region_lookup(raw)
+    assert sorted(map(tuple, lk.collect())) == [("leeds", "NORTH")]
+    joined = with_region_lookup(raw, lk).select("job_id", "_lookup_region").orderBy("job_id")
+    got = {r[0]: r[1] for r in joined.collect()}
+    assert got[3] == "NORTH" and got[8] is None and got[7] is None
+
+
+def test_map_codes_unmatched_is_null(spark):
+    seeds = load_seeds(spark)
+    raw = spark.createDataFrame([(1, " franchsie "), (2, "CHAIN"), (3, "N/A"), (4, None)], "job_id int, garage_type string")
+    out = map_codes(raw, seeds, ["garage_type"]).select("job_id", mapped_name("garage_type")).orderBy("job_id")
+    assert [r[1] for r in out.collect()] == ["Franchise", "Chain", None, None]
+
+
+def test_seed_keys_must_be_unique():
+    with pytest.raises(ValueError):
+        check_unique_keys("garage_type", [("Chain", "Chain"), (" chain ", "Other")])
+
+
+def test_packaged_seeds_cover_allowed_values(spark):
+    from glazework import constants as K
+    from glazework.sources.seeds import seed_rows
+
+    for column in K.MAPPED_COLUMNS:
+        clean = {c for _, c in seed_rows(column)}
+        assert set(K.ALLOWED_VALUES[column]) - {"Other"} <= clean | {"Other"}
+
+
+def test_dedupe_and_report(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("b", None), ("b", None)], "job_id string, v int")
+    assert dedupe_rows(df).count() == 3
+    assert sorted(map(tuple, duplicate_report(df).collect())) == [("a", 2), ("b", 2)]
+
+
+def test_build_dimension_keeps_null_attributes_and_groups_them(spark):
+    stg = spark.createDataFrame(
+        [("G1", "Leeds", "North", None), ("G1", "Leeds", "North", None), ("G1", "Leeds", "North", "Mobile"),
+         ("G2", None, "North", "Mobile")],
+        "garage_name string, city string, region string, garage_type string",
+    )
+    cols = ["garage_name", "city", "region", "garage_type"]
+    spec = DimensionSpec("dim_garage", "garage_key", cols, cols, ["garage_name", "city", "region"], [(c, c) for c in cols])
+    dim = build_dimension(stg, spec)
+    assert dim.count() == 2
+    assert dim.where(F.col("garage_type").isNull()).count() == 1
+    assert dim.select("garage_key").distinct().count() == 2
+
+
+def test_lookup_key_plain_equality_and_fanout(spark):
+    fact = spark.createDataFrame([(1, "A", None), (2, "B", "x"), (3, "C", "y")], "job int, k string, t string")
+    dim = spark.createDataFrame([("A", None, "k1"), ("B", "x", "k2"), ("C", "y", "k3"), ("C", "y", "k4")],
+                                "k string, t string, key string")
+    for broadcast in (True, False):
+        out = lookup_key(fact, dim, [("k", "k"), ("t", "t")], "key", broadcast=broadcast).select("job", "key")
+        rows = sorted(map(tuple, out.collect()), key=lambda r: (r[0], r[1] or ""))
+        # NULL never matches; two dimension rows for one key multiply the fact row
+        assert rows == [(1, None), (2, "k2"), (3, "k3"), (3, "k4")]
+
+
+def test_date_spine_bounds(spark):
+    spine = date_spine(spark)
+    assert spine.count() == 4017
+    lo, hi = spine.agg(F.min("date_day"), F.max("date_day")).first()
+    assert (str(lo), str(hi)) == ("2020-01-01", "2030-12-30")
+    dd = dim_date(spark)
+    assert dd.select("date_key").distinct().count() == 4017
+    assert dd.where("is_weekend").count() == dd.where("day_of_week IN (1, 7)").count()
+
+
+def _stg(spark):
+    return spark.createDataFrame(
+        [("JOB1", "CUST1", "TECH1", "2021-01-01", None, "Chain", "Lorry", True),
+         ("JOB1", "CUST2", "TECH1", "2021-01-01", "a@b.co", "Mobile", "Van", None),
+         ("JOB2", None, "TECH2", None, "c@d.co", None, None, False)],
+        "job_id string, customer_id string, technician_id string, repair_date string, customer_email string, "
+        "garage_type string, vehicle_type string, insurance_claimed boolean",
+    )
+
+
+def test_quality_violations(spark):
+    stg = _stg(spark)
+    nn = sorted(map(tuple, not_null_violations(stg).collect()))
+    assert nn == [("not_null_customer_email", "warn", "JOB1"), ("not_null_customer_id", "error", "JOB2"),
+                  ("not_null_repair_date", "error", "JOB2")]
+    assert [tuple(r) for r in unique_violations(stg).collect()] == [("JOB1", 2)]
+    um = sorted(map(tuple, unmapped_violations(stg.select("garage_type", "vehicle_type", *[
+        F.lit(None).cast("string").alias(c) for c in
+        ["glass_type", "window_position", "damage_type", "repair_type", "weather_condition", "traffic_level"]])).collect()))
+    assert um == [("garage_type", "Chain"), ("vehicle_type", "Lorry")]
+
+
+def test_quality_summary_statuses(spark):
+    stg = _stg(spark)
+    for c in ["glass_type", "window_position", "damage_type", "repair_type", "weather_condition", "traffic_level"]:
+        stg = stg.withColumn(c, F.lit(None).cast("string"))
+    rows = {r["test_name"]: r for r in quality_summary(stg).collect()}
+    assert len(rows) == 15
+    assert rows["not_null_customer_email"]["status"] == "warn"
+    assert rows["unique_job_id"]["failures"] == 1 and rows["unique_job_id"]["status"] == "fail"
+    assert rows["unmapped_values_garage_type"]["failures"] == 1
+    assert rows["valid_boolean_insurance_claimed"]["status"] == "pass"
+    assert rows["not_null_job_id"]["status"] == "pass"
