@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,13 +56,22 @@ FACT_COLUMNS = [
 _FACT_JOINS = ["dim_garage", "dim_customer", "dim_technician", "dim_vehicle", "dim_date", "dim_repair_details", "dim_job_context"]
 
 
-def build_dimensions(staging: DataFrame, persist: bool = True) -> dict[str, DataFrame]:
-    """J-02: the six attribute dimensions, each written out (so its size is known)."""
-    dims = {}
-    for name, spec in DIMENSIONS.items():
-        dim = build_dimension(staging, spec)
-        dims[name] = materialize(dim, name) if persist else dim
-    return dims
+def build_dimensions(staging: DataFrame, persist: bool = True, parallel: int = 6) -> dict[str, DataFrame]:
+    """J-02: the six attribute dimensions, each written out (so its size is known).
+
+    They are independent jobs over the same staging table, so they are
+    submitted from a few driver threads at once and share the executors
+    (the same way independent models are built side by side).
+    """
+
+    def one(name: str) -> tuple[str, DataFrame]:
+        dim = build_dimension(staging, DIMENSIONS[name])
+        return name, (materialize(dim, name) if persist else dim)
+
+    if not persist or parallel <= 1:
+        return dict(one(n) for n in DIMENSIONS)
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        return dict(pool.map(one, DIMENSIONS))
 
 
 def build_fact(
@@ -75,9 +86,11 @@ def build_fact(
     """
     spec_on = {name: (spec.fact_on, spec.key) for name, spec in DIMENSIONS.items()}
     spec_on["dim_date"] = ([("repair_date", "full_date")], "date_key")
-    sizes = {
-        name: (DATE_SPINE_MAX_ROWS if name == "dim_date" else dims[name].count()) for name in _FACT_JOINS
-    }
+    def size(name: str) -> int:
+        return DATE_SPINE_MAX_ROWS if name == "dim_date" else dims[name].count()
+
+    with ThreadPoolExecutor(max_workers=len(_FACT_JOINS)) as pool:
+        sizes = dict(zip(_FACT_JOINS, pool.map(size, _FACT_JOINS)))
     order = [n for n in _FACT_JOINS if sizes[n] <= max_broadcast_rows] + [
         n for n in _FACT_JOINS if sizes[n] > max_broadcast_rows
     ]

@@ -29,9 +29,6 @@ def local_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         # rather than to its 1 MB floor (the cleaning stages are CPU-bound).
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
-        # HotSpot does not JIT methods over 8000 bytes of bytecode; past that a
-        # wide whole-stage method runs interpreted, so split it instead.
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )

@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The modelled warehouse has no streaming part (no watermarks, windows,
+state or late data): its models are batch views over one source table.
+The staging expressions in ``glazework.functions`` are all row-level and run
+unchanged on a streaming DataFrame, but staging also needs the whole table
+(the region lookup and the exact-duplicate removal), so no streaming
+operator is offered here.
+"""
