@@ -1,7 +1,10 @@
-"""Named queries, one per operator of the inventory; each takes (spark, sf_dir).
+"""Named queries, one per operator of the inventory.
 
-The raw table is the fixture derived from the driver tables at ``sf_dir``
-(see ``glazework.sources.fixture``), so every query's work grows with them.
+Each query is first a function of the raw repairs table (``RAW_QUERIES``:
+DataFrame → DataFrame), so it runs on any stored raw table. ``registry()``
+wraps them for the driver contract, (spark, sf_dir) → DataFrame, with the
+raw table derived from the driver tables at ``sf_dir``
+(``glazework.sources.fixture``), so every query's work grows with them.
 Per-expression queries project the raw rows (one scan, no shuffle); the
 relational ones run the real staging / mart jobs.
 """
@@ -34,22 +37,17 @@ from glazework.sources.fixture import dirty_repairs
 from glazework.sources.seeds import load_seeds
 
 Query = Callable[[SparkSession, str], DataFrame]
+RawQuery = Callable[[DataFrame], DataFrame]
 
 
-def raw_repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S-01: the raw table."""
-    return dirty_repairs(spark, sf_dir)
+def _staging(raw: DataFrame) -> DataFrame:
+    return build_staging(raw, load_seeds(raw.sparkSession))
 
 
-def _staging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_staging(dirty_repairs(spark, sf_dir), load_seeds(spark))
-
-
-def _project(*names: str, raw_id: bool = True) -> Query:
+def _project(*names: str, raw_id: bool = True) -> RawQuery:
     """A per-expression query: the raw job_id plus the named cleaned columns."""
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        raw = dirty_repairs(spark, sf_dir)
+    def run(raw: DataFrame) -> DataFrame:
         exprs = cleaned_columns(raw)
         head = ["job_id"] if raw_id else []
         return raw.select(*head, *[exprs[n].alias(n) for n in names])
@@ -58,108 +56,76 @@ def _project(*names: str, raw_id: bool = True) -> Query:
     return run
 
 
-def q_region_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return region_lookup(dirty_repairs(spark, sf_dir))
-
-
-def q_region_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = dirty_repairs(spark, sf_dir)
+def region_backfill(raw: DataFrame) -> DataFrame:
     lookup = materialize(region_lookup(raw), "region_lookup")
     joined = with_region_lookup(raw, lookup)
     exprs = cleaned_columns(joined, F.col("_lookup_region"))
     return joined.select("job_id", exprs["region"].alias("region"))
 
 
-def _map_query(column: str) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        raw = dirty_repairs(spark, sf_dir)
-        mapped = map_codes(raw, load_seeds(spark), [column])
+def _map_query(column: str) -> RawQuery:
+    def run(raw: DataFrame) -> DataFrame:
+        mapped = map_codes(raw, load_seeds(raw.sparkSession), [column])
         return mapped.select("job_id", F.col(mapped_name(column)).alias(column))
 
     run.__name__ = f"map_{column}"
     return run
 
 
-def q_dedupe_repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = dirty_repairs(spark, sf_dir)
+def dedupe_repairs(raw: DataFrame) -> DataFrame:
     lookup = materialize(region_lookup(raw), "region_lookup")
-    cleaned = clean_rows(map_codes(with_region_lookup(raw, lookup), load_seeds(spark)))
+    cleaned = clean_rows(map_codes(with_region_lookup(raw, lookup), load_seeds(raw.sparkSession)))
     return duplicate_report(cleaned)
 
 
-def q_stg_repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _staging(spark, sf_dir)
-
-
-def _dim_query(name: str) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build_dimension(_staging(spark, sf_dir), DIMENSIONS[name])
+def _dim_query(name: str) -> RawQuery:
+    def run(raw: DataFrame) -> DataFrame:
+        return build_dimension(_staging(raw), DIMENSIONS[name])
 
     run.__name__ = name
     return run
 
 
-def q_repair_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+def repair_dates(raw: DataFrame) -> DataFrame:
     """R-08 / R-09 (date): every staging row with its calendar attributes."""
-    stg = _staging(spark, sf_dir).select("job_id", "repair_date")
-    cal = F.broadcast(dim_date(spark))
+    stg = _staging(raw).select("job_id", "repair_date")
+    cal = F.broadcast(dim_date(raw.sparkSession))  # fixed 4,017 rows
     joined = stg.join(cal, stg["repair_date"] == cal["full_date"], "left")
-    return joined.select("job_id", *[c for c in cal.columns])
+    return joined.select("job_id", *cal.columns)
 
 
-def q_fact_repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_warehouse(dirty_repairs(spark, sf_dir)).fact
-
+def fact_repairs(raw: DataFrame) -> DataFrame:
+    return build_warehouse(raw).fact
 
-def q_fact_repairs_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact over the repeated-customer fixture: one id, several customer rows."""
-    return build_warehouse(dirty_repairs(spark, sf_dir, repeat_customers=True)).fact
 
-
-def q_surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+def surrogate_keys(raw: DataFrame) -> DataFrame:
     """E-21: every dimension's key computed on each staging row."""
-    stg = _staging(spark, sf_dir)
+    stg = _staging(raw)
     keys = [surrogate_key(*spec.key_columns).alias(spec.key) for spec in DIMENSIONS.values()]
     return stg.select("job_id", *keys)
 
 
-def q_dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return not_null_violations(_staging(spark, sf_dir))
-
-
-def q_dq_unique_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unique_violations(_staging(spark, sf_dir))
-
-
-def q_dq_unmapped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unmapped_violations(_staging(spark, sf_dir))
-
-
-def q_dq_valid_boolean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return boolean_violations(_staging(spark, sf_dir))
-
-
-def q_dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dq_summary(raw: DataFrame) -> DataFrame:
     """J-04: tests run on the written staging table, as after a build; the
     uniqueness pass then reads only ``job_id`` instead of re-running staging."""
-    return quality_summary(materialize(_staging(spark, sf_dir), "stg_repairs"))
+    return quality_summary(materialize(_staging(raw), "stg_repairs"))
 
 
-def registry() -> dict[str, Query]:
-    q: dict[str, Query] = {
-        "raw_repairs": raw_repairs,
-        "region_lookup": q_region_lookup,
-        "region_backfill": q_region_backfill,
+def raw_queries() -> dict[str, RawQuery]:
+    """Every query that reads only the raw table, by name."""
+    q: dict[str, RawQuery] = {
+        "raw_repairs": lambda raw: raw,
+        "region_lookup": region_lookup,
+        "region_backfill": region_backfill,
     }
     for column in K.MAPPED_COLUMNS:
         q[f"map_{column}"] = _map_query(column)
-    q["dedupe_repairs"] = q_dedupe_repairs
-    q["stg_repairs"] = q_stg_repairs
+    q["dedupe_repairs"] = dedupe_repairs
+    q["stg_repairs"] = _staging
     for name in DIMENSIONS:
         q[name] = _dim_query(name)
-    q["repair_dates"] = q_repair_dates
-    q["fact_repairs"] = q_fact_repairs
-    q["fact_repairs_fanout"] = q_fact_repairs_fanout
+    q["repair_dates"] = repair_dates
+    q["fact_repairs"] = fact_repairs
     q["prefixed_ids"] = _project("job_id", "technician_id", "customer_id", raw_id=False)
     q["clean_city"] = _project("city")
     q["clean_vehicle"] = _project("vehicle_brand", "vehicle_model")
@@ -174,10 +140,33 @@ def registry() -> dict[str, Query]:
     q["clean_costs"] = _project("repair_cost", "glass_cost", "profit")
     q["clean_rating"] = _project("customer_rating")
     q["clean_insurance"] = _project("insurance_claimed")
-    q["surrogate_keys"] = q_surrogate_keys
-    q["dq_not_null"] = q_dq_not_null
-    q["dq_unique_job"] = q_dq_unique_job
-    q["dq_unmapped"] = q_dq_unmapped
-    q["dq_valid_boolean"] = q_dq_valid_boolean
-    q["dq_summary"] = q_dq_summary
+    q["surrogate_keys"] = surrogate_keys
+    q["dq_not_null"] = lambda raw: not_null_violations(_staging(raw))
+    q["dq_unique_job"] = lambda raw: unique_violations(_staging(raw))
+    q["dq_unmapped"] = lambda raw: unmapped_violations(_staging(raw))
+    q["dq_valid_boolean"] = lambda raw: boolean_violations(_staging(raw))
+    q["dq_summary"] = dq_summary
+    return q
+
+
+def _on_fixture(fn: RawQuery, **variant) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(dirty_repairs(spark, sf_dir, **variant))
+
+    run.__name__ = getattr(fn, "__name__", "query")
+    return run
+
+
+def q_fact_repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fact_repairs(dirty_repairs(spark, sf_dir))
+
+
+def registry() -> dict[str, Query]:
+    """The driver's (spark, sf_dir) → DataFrame form of every query."""
+    q = {name: _on_fixture(fn) for name, fn in raw_queries().items()}
+    # Fan-out fixtures: one customer id with several customer rows; one
+    # technician key naming two technician rows.
+    q["fact_repairs_fanout"] = _on_fixture(fact_repairs, repeat_customers=True)
+    q["fact_repairs_tech_fanout"] = _on_fixture(fact_repairs, vary_technicians=True)
+    q["dim_technician_shared_keys"] = _on_fixture(_dim_query("dim_technician"), vary_technicians=True)
     return q

@@ -14,10 +14,15 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_MAX_ROWS = 200_000
 
 
-def local_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "glazework") -> SparkSession:
+def local_session(
+    master: str = "local[*]", shuffle_partitions: int = 8, app: str = "glazework", extra_conf: dict | None = None
+) -> SparkSession:
     """A local session for tests and the bench (UI off, AQE on)."""
+    builder = SparkSession.builder
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = (
-        SparkSession.builder.master(master)
+        builder.master(master)
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

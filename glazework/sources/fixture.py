@@ -13,7 +13,9 @@ work grows with ``orders``: one shuffle join with ``customer``; ``nation`` and
 ``region`` are broadcast by the planner's size threshold.
 
 Variant ``repeat_customers=True`` keys customers by the order's customer, so
-one customer id carries several attribute tuples (fan-out of the fact join).
+one customer id carries several attribute tuples (fan-out of the fact join);
+``vary_technicians=True`` does the same for technicians, whose key hashes the
+id alone, so one key names two dimension rows.
 """
 
 from __future__ import annotations
@@ -93,7 +95,7 @@ def _joined_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _column_sql(repeat_customers: bool) -> dict[str, str]:
+def _column_sql(repeat_customers: bool, vary_technicians: bool = False) -> dict[str, str]:
     """Each raw column as a Spark SQL expression over (k, cu, c_name, na, r_name, cents)."""
     g = _pick("garage_type", "(k * 7) % 5")
     b = _pick("vehicle_brand", "(k * 3) % 5")
@@ -169,7 +171,7 @@ def _column_sql(repeat_customers: bool) -> dict[str, str]:
         "insurance_claimed": _pick("insurance_claimed", "k % 9"),
         "technician_id": f"CAST({tech} AS BIGINT)",
         "technician_name": f"concat('Tech ', CAST({tech} AS STRING))",
-        "technician_mobile": f"concat('07', {_pad(tech, 9)})",
+        "technician_mobile": f"concat('07', {_pad(f'{tech} * 10 + (k div 550) % 2' if vary_technicians else tech, 9)})",
         "customer_id": f"CAST(1000 + {'cu' if repeat_customers else 'k'} AS BIGINT)",
         "vehicle_age_in_years": "CAST(k % 21 AS INT)",
         "weather_condition": f"CASE WHEN k % 33 = 0 THEN 'N/A' ELSE {_pick('weather_condition', '(k * 3) % 5')} END",
@@ -178,13 +180,19 @@ def _column_sql(repeat_customers: bool) -> dict[str, str]:
     }
 
 
-def dirty_repairs(spark: SparkSession, sf_dir: str, repeat_customers: bool = False) -> DataFrame:
+def dirty_repairs(
+    spark: SparkSession, sf_dir: str, repeat_customers: bool = False, vary_technicians: bool = False
+) -> DataFrame:
     """The raw repairs table (30 columns, RAW_SCHEMA order) for one scale factor.
 
+    ``vary_technicians`` gives every technician two mobiles (alternating with
+    each cycle of 550 orders),
+    so the technician dimension holds two rows under one key.
+
     Columns are Spark SQL expressions (one call each keeps plan building
     cheap). 1% of the orders emit a second, identical row in the same pass.
     """
     base = _joined_orders(spark, sf_dir)
-    sql = _column_sql(repeat_customers)
+    sql = _column_sql(repeat_customers, vary_technicians)
     copies = F.explode(F.sequence(F.lit(1), F.when(F.col("k") % 100 == 7, F.lit(2)).otherwise(F.lit(1))))
     return base.select(*[F.expr(sql[c]).alias(c) for c in RAW_COLUMNS], copies.alias("_copy")).drop("_copy")

@@ -72,3 +72,12 @@ def test_materialize_uses_checkpoint_dir(spark):
 
     base = urlparse(work_dir(spark)).path.rstrip("/")
     assert urlparse(df.inputFiles()[0]).path.startswith(base + "/glazework/probe-")
+
+
+def test_technician_key_repeats_and_fact_fans_out(spark):
+    wh = build_warehouse(dirty_repairs(spark, SF_SMALL, vary_technicians=True))
+    dim = wh.dims["dim_technician"]
+    assert dim.count() > dim.select("technician_key").distinct().count()   # one key, two rows
+    n_stage = wh.staging.count()
+    assert wh.fact.count() > n_stage
+    assert wh.fact.select("job_id").distinct().count() == n_stage
