@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from glazework.operators.date_spine import dim_date
 from glazework.operators.quality import quality_summary
@@ -52,12 +53,22 @@ def quality_report(wh: Warehouse) -> DataFrame:
     return quality_summary(wh.staging)
 
 
-def publish(wh: Warehouse, out_dir: str) -> dict[str, str]:
-    """S-05: write every table as Parquet under ``out_dir`` (overwrite); returns paths."""
+def publish(wh: Warehouse, out_dir: str, partition_fact_by_year: bool = False) -> dict[str, str]:
+    """S-05: write every table as Parquet under ``out_dir`` (overwrite); returns paths.
+
+    With ``partition_fact_by_year`` the fact is written in ``repair_year=``
+    folders (from ``date_key``; NULL dates in the default partition), so
+    readers filtering on a year only list and read those folders.
+    """
     paths = {}
     for name, df in wh.tables().items():
         path = f"{out_dir.rstrip('/')}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        writer = df
+        if name == "fact_repairs" and partition_fact_by_year:
+            writer = df.withColumn("repair_year", (F.col("date_key") / 10000).cast("int"))
+            writer.write.mode("overwrite").partitionBy("repair_year").parquet(path)
+        else:
+            writer.write.mode("overwrite").parquet(path)
         paths[name] = path
     return paths
 

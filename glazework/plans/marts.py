@@ -86,6 +86,7 @@ def build_fact(
     """
     spec_on = {name: (spec.fact_on, spec.key) for name, spec in DIMENSIONS.items()}
     spec_on["dim_date"] = ([("repair_date", "full_date")], "date_key")
+
     def size(name: str) -> int:
         return DATE_SPINE_MAX_ROWS if name == "dim_date" else dims[name].count()
 

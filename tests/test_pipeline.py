@@ -63,6 +63,17 @@ def test_publish_and_views(spark, tmp_path):
     assert n == 1500
 
 
+def test_publish_fact_by_year(spark, tmp_path):
+    wh = build_warehouse(dirty_repairs(spark, SF_SMALL))
+    paths = publish(wh, str(tmp_path), partition_fact_by_year=True)
+    fact = spark.read.parquet(paths["fact_repairs"])
+    assert fact.count() == 1500
+    years = {r[0] for r in fact.select("repair_year").distinct().collect()}
+    assert years == set(range(2020, 2026))
+    one = fact.where("repair_year = 2021")
+    assert "PartitionFilters: [isnotnull(repair_year" in one._jdf.queryExecution().executedPlan().toString()
+
+
 def test_materialize_uses_checkpoint_dir(spark):
     from glazework.session import work_dir
 

@@ -26,3 +26,18 @@ def test_dq_summary_reads_few_columns(spark):
     df = registry()["dq_summary"](spark, SF_SMALL)
     plan = _plan(df)
     assert "customer_first_name" not in plan and "technician_mobile" not in plan
+
+
+def test_every_query_stays_in_the_jvm_and_pairs_nothing(spark):
+    """No Python evaluation, no cartesian or nested-loop joins in any registered query."""
+    for name, query in registry().items():
+        plan = _plan(query(spark, SF_SMALL))
+        for bad in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
+                    "CartesianProduct", "BroadcastNestedLoopJoin"):
+            assert bad not in plan, (name, bad)
+
+
+def test_scans_read_only_needed_columns(spark):
+    plan = _plan(registry()["clean_email"](spark, SF_SMALL))
+    # the fixture needs orders' key, customer key and price only
+    assert "o_orderdate" not in plan and "o_orderstatus" not in plan and "c_acctbal" not in plan
