@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -87,19 +85,17 @@ def _java_anchored(pattern: str) -> str:
 def clean_email(email: Column) -> Column:
     """E-08: valid → lower-trimmed; a known domain missing its '@' → repaired; else NULL.
 
-    The repair test looks at the raw value (untrimmed, case-sensitive): it must
-    end with the domain and contain no '@'. The '@' is then inserted before
-    every occurrence of the domain in the lower-trimmed value.
+    The repair looks at the raw value (untrimmed, case-sensitive): it must
+    contain no '@' and end with one of the domains, taken in list order. The
+    '@' is then put before every occurrence of that domain in the
+    lower-trimmed value: a plain string replace, which is what replacing the
+    escaped-domain pattern with ``@`` + the match does, in a fraction of the
+    generated code of one regex replace per domain.
     """
     lt = F.lower(F.trim(email))
-    expr = F.when(lt.rlike(_java_anchored(K.EMAIL_PATTERN)), lt)
-    no_at = ~email.like("%@%")
-    for domain in K.EMAIL_REPAIR_DOMAINS:
-        expr = expr.when(
-            email.like("%" + domain) & no_at,
-            F.regexp_replace(lt, "(" + re.escape(domain) + ")", "@$1"),
-        )
-    return expr.otherwise(_null_str())
+    domain = F.coalesce(*[F.when(email.endswith(d), F.lit(d)) for d in K.EMAIL_REPAIR_DOMAINS])
+    repaired = F.when(~email.contains("@"), F.replace(lt, domain, F.concat(F.lit("@"), domain)))
+    return F.when(lt.rlike(_java_anchored(K.EMAIL_PATTERN)), lt).otherwise(repaired)
 
 
 def uk_mobile(mobile: Column) -> Column:
@@ -118,9 +114,9 @@ def _before_space(s: Column) -> Column:
 
 
 def _after_space(s: Column) -> Column:
-    """Text after the first space ('' when there is none)."""
-    at = F.instr(s, " ")
-    return F.when(at > 0, s.substr(at + 1, F.length(s))).otherwise(F.lit(""))
+    """Text after the first space ('' when there is none: the start then lies
+    past the end of the string)."""
+    return s.substr(F.length(_before_space(s)) + 2, F.length(s))
 
 
 def parse_full_name(name: Column) -> Column:
