@@ -55,8 +55,8 @@ MODEL_KEEP_VERBATIM = "R 1250 GS"
 
 # Repair-date formats, as (strftime form, Spark pattern).
 DATE_FORMAT_DAY_MON_YY = ("%d-%b-%y", "d-MMM-yy")
-DATE_FORMAT_US = ("%m/%d/%Y", "M/d/yyyy")
-DATE_FORMAT_UK = ("%d/%m/%Y", "d/M/yyyy")
+DATE_FORMAT_US = ("%m/%d/%Y", "M/d/y")
+DATE_FORMAT_UK = ("%d/%m/%Y", "d/M/y")
 # Two-digit years 69..99 are 1969..1999, 00..68 are 2000..2068.
 TWO_DIGIT_YEAR_PIVOT = 2069
 

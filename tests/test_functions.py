@@ -118,6 +118,7 @@ def test_parse_repair_date(spark):
         ("05-Mar-75", dt.date(1975, 3, 5)),
         ("05-Mar-68", dt.date(2068, 3, 5)),
         ("2021-03-05", None),
+        ("20/11/74", dt.date(74, 11, 20)),        # %Y reads the digits given: year 74, outside the calendar
         ("bad", None),
         (None, None),
     ], G.parse_repair_date)
