@@ -59,6 +59,9 @@ DATE_FORMAT_US = ("%m/%d/%Y", "M/d/y")
 DATE_FORMAT_UK = ("%d/%m/%Y", "d/M/y")
 # Two-digit years 69..99 are 1969..1999, 00..68 are 2000..2068.
 TWO_DIGIT_YEAR_PIVOT = 2069
+# Range of a DATE; a parse outside it (year 0, 10000, negative) is no date.
+DATE_MIN_YEAR = 1
+DATE_MAX_YEAR = 9999
 
 # Word delimiters for title-casing: whitespace plus these characters.
 INITCAP_DELIMITER_CHARS = '[](){}/|\\<>!?@"^#$&~_,.:;*%+-'

@@ -17,7 +17,8 @@ def parse_repair_date(raw: Column) -> Column:
     """E-11: ``dd-Mon-yy`` first; else ``m/d/Y`` when the 2nd '/' part is > 12, else ``d/m/Y``.
 
     Day-first wins whenever the second part is a valid month, so US dates with
-    a day ≤ 12 are read day-first, as modelled. Unparsable input gives NULL
+    a day ≤ 12 are read day-first, as modelled. A year outside 1…9999 (the
+    slash formats read the year as written) is no date. Unparsable input gives NULL
     (never an error): a missing second part or a non-numeric one falls through
     to the day-first parse, which then fails softly.
     """
@@ -31,7 +32,8 @@ def parse_repair_date(raw: Column) -> Column:
             F.try_to_date(raw, K.DATE_FORMAT_UK[1])
         ),
     )
-    return F.coalesce(dash, slash)
+    parsed = F.coalesce(dash, slash)
+    return F.when(F.year(parsed).between(K.DATE_MIN_YEAR, K.DATE_MAX_YEAR), parsed)
 
 
 def date_key(d: Column) -> Column:

@@ -119,6 +119,8 @@ def test_parse_repair_date(spark):
         ("05-Mar-68", dt.date(2068, 3, 5)),
         ("2021-03-05", None),
         ("20/11/74", dt.date(74, 11, 20)),        # %Y reads the digits given: year 74, outside the calendar
+        ("05/06/00", None),                       # year 0 is no date
+        ("05/06/10000", None),
         ("bad", None),
         (None, None),
     ], G.parse_repair_date)
