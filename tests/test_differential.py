@@ -127,3 +127,45 @@ def test_spark_matches_duckdb(spark, name, gen, spark_fn, sql_fn):
     want = dict(con.execute(f"SELECT i, {sql_fn('x')} FROM t").fetchall())
     bad = [(values[i], got[i], want[i]) for i in got if got[i] != want[i]]
     assert not bad, bad[:5]
+
+
+def gen_models(rng):
+    pool = ["r 1250 gs", "R 1250 GS", " r 1250 gs ", "XC40", "t-roc", "Lion's City", "n/a", "N/A", ""]
+    return gen_words(rng)[: N // 2] + [_pad(rng, _case(rng, rng.choice(pool))) for _ in range(N // 2)]
+
+
+def _pairs_case(spark, name, left, right, spark_fn, sql_fn):
+    values = list(zip(left, right)) + [(None, None), (None, "x"), ("x", None)]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(values)], "i int, a string, b string")
+    got = {r["i"]: r["y"] for r in df.select("i", spark_fn(F.col("a"), F.col("b")).alias("y")).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t(i INTEGER, a VARCHAR, b VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?, ?, ?)", [(i, a, b) for i, (a, b) in enumerate(values)])
+    want = dict(con.execute(f"SELECT i, {sql_fn('a', 'b')} FROM t").fetchall())
+    bad = [(values[i], got[i], want[i]) for i in got if got[i] != want[i]]
+    assert not bad, (name, bad[:5])
+
+
+def test_model_matches_duckdb(spark):
+    rng = random.Random(zlib.crc32(b"model") + SEED_OFFSET)
+    values = gen_models(rng) + [None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x string")
+    got = {r["i"]: r["y"] for r in df.select("i", G.clean_vehicle_model(F.col("x")).alias("y")).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t(i INTEGER, x VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(values)))
+    want = dict(con.execute(f"SELECT i, {D.model('x')} FROM t").fetchall())
+    assert all(got[i] == want[i] for i in got), [(values[i], got[i], want[i]) for i in got if got[i] != want[i]][:5]
+
+
+def test_region_matches_duckdb(spark):
+    rng = random.Random(zlib.crc32(b"region") + SEED_OFFSET)
+    regions = [rng.choice(["N/A", "n/a", "", " ", None, "north west", " SOUTH-EAST ", "x_y"]) for _ in range(N)]
+    looked = [rng.choice([None, "", " Wales ", "north-east", "N/A"]) for _ in range(N)]
+    _pairs_case(spark, "region", regions, looked, G.clean_region, D.region)
+
+
+def test_profit_matches_duckdb(spark):
+    rng = random.Random(zlib.crc32(b"profit") + SEED_OFFSET)
+    _pairs_case(spark, "profit", gen_costs(rng), gen_costs(rng),
+                lambda a, b: G.money_difference(G.clean_currency(a), G.clean_currency(b)), D.profit)
