@@ -44,17 +44,27 @@ def local_session(
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for materialised tables: the cluster's checkpoint dir.
 
-    Read from the session (``spark.checkpoint.dir`` / the context's checkpoint
-    dir). Only a local-mode session without one gets a fresh temporary folder;
-    on a cluster a machine-local folder would not be visible to executors.
+    Read from the session (the context's checkpoint dir, else the
+    ``spark.checkpoint.dir`` setting). Only a local-mode session without one
+    gets a fresh temporary folder; on a cluster a machine-local folder would
+    not be visible to executors, so that is an error.
     """
-    sc = spark.sparkContext
-    found = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no context on the client
+        sc = None
+    if sc is not None:
+        found = sc.getCheckpointDir() or found
     if not found:
-        if not sc.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         found = tempfile.mkdtemp(prefix="glazework-")
-        sc.setCheckpointDir(found)
+        if sc is not None:
+            sc.setCheckpointDir(found)
+        else:
+            spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
