@@ -32,9 +32,10 @@ EMAIL_REPAIR_DOMAINS = [
     "example.org",
 ]
 
-# UK mobile numbers, matched on the digits-only string.
-UK_MOBILE_NATIONAL = r"^07[0-9]{9}$"
-UK_MOBILE_INTERNATIONAL = r"^447[0-9]{9}$"
+# UK mobile numbers, matched on the digits-only string:
+# "07" + 9 digits (national) and "447" + 9 digits (international).
+UK_MOBILE_NATIONAL = ("07", 11)          # (leading digits, total digits)
+UK_MOBILE_INTERNATIONAL = ("447", 12)
 UK_COUNTRY_PREFIX = "+44"
 
 # Currency: every character outside this class is dropped before the cast.

@@ -25,7 +25,8 @@ def parse_repair_date(raw: Column) -> Column:
     # A format can only match when its separator is present; checking first
     # avoids a failed (exception-raising) parse attempt on most rows.
     dash = F.when(raw.contains("-"), _two_digit_year_pivot(F.try_to_date(raw, K.DATE_FORMAT_DAY_MON_YY[1])))
-    second = F.get(F.split(raw, "/"), 1).try_cast("int")
+    # text between the first and the second '/' (to the end when there is one)
+    second = F.substring_index(F.substring_index(raw, "/", 2), "/", -1).try_cast("int")
     slash = F.when(
         raw.contains("/"),
         F.when(second > 12, F.try_to_date(raw, K.DATE_FORMAT_US[1])).otherwise(
