@@ -92,3 +92,18 @@ def test_technician_key_repeats_and_fact_fans_out(spark):
     n_stage = wh.staging.count()
     assert wh.fact.count() > n_stage
     assert wh.fact.select("job_id").distinct().count() == n_stage
+
+
+def test_expected_counts_at_sf001(spark):
+    """The expected shapes at sf0.01 (15,150 raw rows, 1% exact copies)."""
+    from tests.conftest import SF_MID
+
+    wh = build_warehouse(dirty_repairs(spark, SF_MID))
+    assert wh.staging.count() == 15000
+    assert wh.staging.where(F.col("region").isNull()).count() == 40
+    garage = wh.dims["dim_garage"]
+    assert garage.count() == 923
+    assert garage.where(F.col("garage_type").isNull()).count() == 423
+    assert wh.dims["dim_technician"].count() == 550
+    assert wh.fact.count() == 15000
+    assert wh.fact.where(F.col("garage_key").isNull()).count() == 1596
