@@ -54,7 +54,8 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "run":
         if not args.out:
             raise SystemExit("run needs --out")
-        for name, path in publish(build_warehouse(raw, seeds), args.out).items():
+        wh = build_warehouse(raw, seeds, publish_dir=args.out)  # staging and dims written in place
+        for name, path in publish(wh, args.out).items():
             print(f"{name}\t{path}")
         return 0
     summary = quality_summary(materialize(build_staging(raw, seeds), "stg_repairs")).orderBy("test_name")

@@ -20,6 +20,7 @@ class Warehouse:
     staging: DataFrame
     dims: dict[str, DataFrame] = field(default_factory=dict)
     fact: DataFrame | None = None
+    published_dir: str | None = None  # where staging and the dimensions already live
 
     def tables(self) -> dict[str, DataFrame]:
         out = {"stg_repairs": self.staging, **self.dims}
@@ -32,20 +33,30 @@ def build_warehouse(
     raw: DataFrame,
     seeds: dict[str, DataFrame] | None = None,
     max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    publish_dir: str | None = None,
 ) -> Warehouse:
-    """staging → dimensions → fact, each step written to the shared work folder.
+    """staging → dimensions → fact, each step written before the next reads it.
 
     Staging is written once and read by the six dimension jobs and the fact
     job (each reads only its columns). Written steps also mean a lost
     executor costs a re-read of files, not a replay of the build.
+
+    With ``publish_dir`` the staging table and the dimensions are written
+    straight to their published locations (no second copy); ``publish`` then
+    only has the fact and the calendar left to write.
     """
     spark = raw.sparkSession
     seeds = seeds if seeds is not None else load_seeds(spark)
-    staging = materialize(build_staging(raw, seeds, max_broadcast_rows=max_broadcast_rows), "stg_repairs")
-    dims = build_dimensions(staging)
+    out = publish_dir.rstrip("/") if publish_dir else None
+    staging = materialize(
+        build_staging(raw, seeds, max_broadcast_rows=max_broadcast_rows),
+        "stg_repairs",
+        path=f"{out}/stg_repairs" if out else None,
+    )
+    dims = build_dimensions(staging, out_dir=out)
     dims["dim_date"] = dim_date(spark)
     fact = build_fact(staging, dims, max_broadcast_rows)
-    return Warehouse(staging, dims, fact)
+    return Warehouse(staging, dims, fact, published_dir=out)
 
 
 def quality_report(wh: Warehouse) -> DataFrame:
@@ -56,20 +67,24 @@ def quality_report(wh: Warehouse) -> DataFrame:
 def publish(wh: Warehouse, out_dir: str, partition_fact_by_year: bool = False) -> dict[str, str]:
     """S-05: write every table as Parquet under ``out_dir`` (overwrite); returns paths.
 
-    With ``partition_fact_by_year`` the fact is written in ``repair_year=``
-    folders (from ``date_key``; NULL dates in the default partition), so
-    readers filtering on a year only list and read those folders.
+    Tables the build already wrote to ``out_dir`` are not written again. With
+    ``partition_fact_by_year`` the fact is written in ``repair_year=`` folders
+    (from ``date_key``; NULL dates in the default partition), so readers
+    filtering on a year only list and read those folders.
     """
+    out = out_dir.rstrip("/")
+    already = wh.published_dir == out
     paths = {}
     for name, df in wh.tables().items():
-        path = f"{out_dir.rstrip('/')}/{name}"
-        writer = df
+        path = f"{out}/{name}"
+        paths[name] = path
+        if already and name != "fact_repairs" and name != "dim_date":
+            continue
         if name == "fact_repairs" and partition_fact_by_year:
-            writer = df.withColumn("repair_year", (F.col("date_key") / 10000).cast("int"))
-            writer.write.mode("overwrite").partitionBy("repair_year").parquet(path)
+            df = df.withColumn("repair_year", (F.col("date_key") / 10000).cast("int"))
+            df.write.mode("overwrite").partitionBy("repair_year").parquet(path)
         else:
-            writer.write.mode("overwrite").parquet(path)
-        paths[name] = path
+            df.write.mode("overwrite").parquet(path)
     return paths
 
 

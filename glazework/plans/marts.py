@@ -56,17 +56,21 @@ FACT_COLUMNS = [
 _FACT_JOINS = ["dim_garage", "dim_customer", "dim_technician", "dim_vehicle", "dim_date", "dim_repair_details", "dim_job_context"]
 
 
-def build_dimensions(staging: DataFrame, persist: bool = True, parallel: int = 6) -> dict[str, DataFrame]:
+def build_dimensions(
+    staging: DataFrame, persist: bool = True, parallel: int = 6, out_dir: str | None = None
+) -> dict[str, DataFrame]:
     """J-02: the six attribute dimensions, each written out (so its size is known).
 
     They are independent jobs over the same staging table, so they are
     submitted from a few driver threads at once and share the executors
-    (the same way independent models are built side by side).
+    (the same way independent models are built side by side). With
+    ``out_dir`` each is written straight to its published location.
     """
 
     def one(name: str) -> tuple[str, DataFrame]:
         dim = build_dimension(staging, DIMENSIONS[name])
-        return name, (materialize(dim, name) if persist else dim)
+        target = f"{out_dir.rstrip('/')}/{name}" if out_dir else None
+        return name, (materialize(dim, name, path=target) if persist else dim)
 
     if not persist or parallel <= 1:
         return dict(one(n) for n in DIMENSIONS)

@@ -68,15 +68,19 @@ def work_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` as Parquet under the shared work folder and read it back.
+def materialize(
+    df: DataFrame, name: str, partition_by: list[str] | None = None, path: str | None = None
+) -> DataFrame:
+    """Write ``df`` as Parquet and read it back.
 
     This cuts the lineage (a lost executor re-reads files instead of replaying
     the whole build), lets later jobs prune columns, and makes row counts a
-    metadata read. Each call gets its own folder.
+    metadata read. Without ``path`` each call gets its own folder under the
+    shared work folder; with ``path`` (a publish location) the table is
+    written there, once, and read back from there.
     """
     spark = df.sparkSession
-    path = f"{work_dir(spark)}/glazework/{name}-{uuid.uuid4().hex}"
+    path = path or f"{work_dir(spark)}/glazework/{name}-{uuid.uuid4().hex}"
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

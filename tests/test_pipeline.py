@@ -63,6 +63,17 @@ def test_publish_and_views(spark, tmp_path):
     assert n == 1500
 
 
+def test_build_in_place_writes_each_table_once(spark, tmp_path):
+    out = str(tmp_path / "wh")
+    wh = build_warehouse(dirty_repairs(spark, SF_SMALL), publish_dir=out)
+    assert wh.staging.inputFiles()[0].split("stg_repairs")[0].endswith(out.rstrip("/") + "/")
+    paths = publish(wh, out)
+    for name, path in paths.items():
+        assert spark.read.parquet(path).count() > 0, name
+    assert spark.read.parquet(paths["fact_repairs"]).count() == 1500
+    assert spark.read.parquet(paths["stg_repairs"]).count() == 1500
+
+
 def test_publish_fact_by_year(spark, tmp_path):
     wh = build_warehouse(dirty_repairs(spark, SF_SMALL))
     paths = publish(wh, str(tmp_path), partition_fact_by_year=True)
