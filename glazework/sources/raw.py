@@ -48,14 +48,16 @@ RAW_COLUMNS = [f.name for f in RAW_SCHEMA.fields]
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     """S-02: header CSV, UTF-8, explicit schema (no inference pass); empty → NULL.
 
-    Header names are matched case-insensitively by position, so ``Job_ID`` or
-    ``Repair_Date`` headers load into the lower-case schema.
+    The header is checked against the schema, position by position and
+    ignoring case (``Job_ID`` / ``Repair_Date`` load into the lower-case
+    schema); a file whose columns are in another order fails instead of
+    loading shifted values.
     """
     return (
         spark.read.option("header", True)
         .option("encoding", "UTF-8")
         .option("mode", "PERMISSIVE")
-        .option("enforceSchema", True)
+        .option("enforceSchema", False)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .schema(RAW_SCHEMA)

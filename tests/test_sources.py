@@ -23,3 +23,14 @@ def test_csv_headers_any_case(spark, tmp_path):
     path.write_text(header + "\n" + row + "\n")
     df = read_raw_csv(spark, str(path))
     assert df.first()["job_id"] == 1
+
+
+def test_csv_header_order_is_checked(spark, tmp_path):
+    import pytest
+
+    path = tmp_path / "swapped.csv"
+    cols = list(RAW_COLUMNS)
+    cols[0], cols[1] = cols[1], cols[0]
+    path.write_text(",".join(cols) + "\n" + ",".join(["01/02/2021", "1"] + [""] * (len(cols) - 2)) + "\n")
+    with pytest.raises(Exception):
+        read_raw_csv(spark, str(path)).collect()
