@@ -10,6 +10,15 @@ plain data; the logic lives in ``functions`` and ``operators``.
 # FIXED VALUES (must equal the modelled warehouse; do not edit to make tests pass)
 # ---------------------------------------------------------------------------
 
+# TRIM removes leading and trailing whitespace: the Unicode White_Space
+# characters U+0009..U+000D, U+0020, U+0085, U+00A0, U+1680, U+2000..U+200A,
+# U+2028, U+2029, U+202F, U+205F, U+3000.
+TRIM_WHITESPACE = (
+    "\u0009\u000a\u000b\u000c\u000d\u0020\u0085\u00a0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 # Missing-value marker used by the source system.
 NA_TOKEN = "N/A"
 

@@ -24,6 +24,7 @@ from glazework.functions.text import (
     clean_vehicle_model,
     initcap_words,
     parse_full_name,
+    trim_ws,
     uk_mobile,
 )
 
@@ -48,5 +49,6 @@ __all__ = [
     "parse_repair_date",
     "prefixed_id",
     "surrogate_key",
+    "trim_ws",
     "uk_mobile",
 ]

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from glazework import constants as K
+from glazework.functions.text import trim_ws
 
 
 def clean_currency(raw: Column) -> Column:
@@ -31,7 +32,7 @@ def clean_rating(raw: Column) -> Column:
     The cast is attempted only on integer-shaped text: a failing cast costs an
     exception per row, ten times the price of the pattern test.
     """
-    lt = F.lower(F.trim(raw))
+    lt = F.lower(trim_ws(raw))
     expr = F.when(lt.isin(K.RATING_NULL_WORDS), F.lit(None).cast("bigint"))
     for word, value in K.RATING_WORDS:
         expr = expr.when(lt == word, F.lit(value).cast("bigint"))
@@ -40,7 +41,7 @@ def clean_rating(raw: Column) -> Column:
 
 def clean_boolean(raw: Column) -> Column:
     """E-19: yes/y/true/1 → TRUE, no/n/false/0 → FALSE, anything else → NULL."""
-    lt = F.lower(F.trim(raw))
+    lt = F.lower(trim_ws(raw))
     return (
         F.when(lt.isin(K.BOOLEAN_TRUE_WORDS), F.lit(True))
         .when(lt.isin(K.BOOLEAN_FALSE_WORDS), F.lit(False))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glazework import constants as K
+from glazework.functions.text import trim_ws
 from glazework.session import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small
 
 
@@ -17,7 +18,7 @@ def region_lookup(raw: DataFrame) -> DataFrame:
     The group-by combines map-side first, so a city holding a third of all
     rows still ships one partial row per task.
     """
-    city, region = F.trim("city"), F.trim("region")
+    city, region = trim_ws(F.col("city")), trim_ws(F.col("region"))
     usable = (
         region.isNotNull() & (region != K.NA_TOKEN) & (region != "")
         & city.isNotNull() & (city != K.NA_TOKEN) & (city != "")
@@ -37,7 +38,7 @@ def with_region_lookup(
     """
     right = lookup.select(F.col("city").alias("_lookup_city"), F.col("region").alias("_lookup_region"))
     right = broadcast_if_small(right, max_rows)
-    return raw.join(right, F.lower(F.trim(raw["city"])) == right["_lookup_city"], "left")
+    return raw.join(right, F.lower(trim_ws(raw["city"])) == right["_lookup_city"], "left")
 
 
 def mapped_name(column: str) -> str:
@@ -56,6 +57,6 @@ def map_codes(df: DataFrame, seeds: dict[str, DataFrame], columns: list[str] | N
     """
     for column in columns or K.MAPPED_COLUMNS:
         key, value = f"_seed_key_{column}", mapped_name(column)
-        seed = seeds[column].select(F.upper(F.trim("raw_value")).alias(key), F.col("clean_value").alias(value))
-        df = df.join(F.broadcast(seed), F.upper(F.trim(df[column])) == seed[key], "left")
+        seed = seeds[column].select(F.upper(trim_ws(F.col("raw_value"))).alias(key), F.col("clean_value").alias(value))
+        df = df.join(F.broadcast(seed), F.upper(trim_ws(df[column])) == seed[key], "left")
     return df

@@ -20,6 +20,7 @@ from glazework.functions import (
     parse_full_name,
     parse_repair_date,
     prefixed_id,
+    trim_ws,
     uk_mobile,
 )
 from glazework.operators.dedupe import dedupe_rows
@@ -53,7 +54,7 @@ def cleaned_columns(src: DataFrame, looked_up_region: Column | None = None) -> d
         "repair_date": parse_repair_date(c("repair_date")),
         "region": clean_region(c("region"), lookup),
         "city": clean_city(c("city")),
-        "garage_name": F.trim(c("garage_name")),
+        "garage_name": trim_ws(c("garage_name")),
         "vehicle_brand": clean_vehicle_brand(c("vehicle_brand")),
         "vehicle_model": clean_vehicle_model(c("vehicle_model")),
         "repair_cost": repair_cost,

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glazework.constants import MAPPED_COLUMNS
+from glazework.constants import MAPPED_COLUMNS, TRIM_WHITESPACE
 
 SEED_DIR = Path(__file__).with_name("seeds")
 SEED_SCHEMA = T.StructType([T.StructField("raw_value", T.StringType()), T.StructField("clean_value", T.StringType())])
@@ -39,7 +39,7 @@ def seed_rows(column: str) -> list[tuple[str, str]]:
 def check_unique_keys(column: str, rows: list[tuple[str, str]]) -> None:
     seen: dict[str, str] = {}
     for raw, clean in rows:
-        key = raw.strip().upper()
+        key = raw.strip(TRIM_WHITESPACE).upper()
         if key in seen:
             raise ValueError(f"seed {column}: raw value {raw!r} collides with {seen[key]!r}")
         seen[key] = raw
@@ -78,7 +78,7 @@ def load_seeds(spark: SparkSession, seed_dir: str | None = None) -> dict[str, Da
         else:
             df = spark.read.option("header", True).schema(SEED_SCHEMA).csv(f"{seed_dir}/{seed_name(column)}.csv")
             dup = (
-                df.groupBy(F.upper(F.trim("raw_value")).alias("k"))
+                df.groupBy(F.upper(F.trim(F.col("raw_value"), F.lit(TRIM_WHITESPACE))).alias("k"))
                 .count()
                 .where("count > 1")
                 .limit(1)

@@ -22,7 +22,8 @@ def _rand_text(rng, alphabet, max_len=14):
 
 
 def _pad(rng, s):
-    return rng.choice(["", " ", "  "]) + s + rng.choice(["", " "])
+    ws = ["", " ", "  ", "\t", "\u00a0", " \u3000", "\n"]
+    return rng.choice(ws) + s + rng.choice(ws)
 
 
 def _case(rng, s):

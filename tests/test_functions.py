@@ -46,7 +46,8 @@ def test_clean_region_uses_lookup_only_when_missing(spark):
 
 
 def test_clean_city(spark):
-    check(spark, [(" N/A ", None), ("CITY-ON-2", "City-On-2"), ("City-On-2", "City-On-2"), (None, None)], G.clean_city)
+    check(spark, [(" N/A ", None), ("CITY-ON-2", "City-On-2"), ("City-On-2", "City-On-2"), (None, None),
+                  ("\t leeds\u3000", "Leeds"), ("\u00a0N/A\n", None)], G.clean_city)
 
 
 def test_vehicle_brand_and_model(spark):
@@ -64,6 +65,7 @@ def test_clean_postcode(spark):
 def test_clean_email(spark):
     check(spark, [
         (" User@Example.COM ", "user@example.com"),
+        ("\tUser@Example.COM\u00a0", "user@example.com"),   # TRIM removes all Unicode whitespace
         ("u1gmail.com", "u1@gmail.com"),
         (" u1gmail.com", "u1@gmail.com"),        # raw ends with the domain: repaired after trim
         ("u1gmail.com ", None),                   # raw does not end with it: not repaired
