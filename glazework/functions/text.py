@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from glazework import constants as K
 
+
 def _null_str() -> Column:
     return F.lit(None).cast("string")
 
@@ -29,7 +30,7 @@ def initcap_words(col: Column) -> Column:
     Spark's ``initcap`` starts words only after a space, so a space is put
     after every delimiter, ``initcap`` runs, and exactly that space is taken
     out again (a left-to-right scan pairs each delimiter with the space that
-    follows it). Three built-in string functions, no arrays or lambdas.
+    follows it). Built-in string functions only, no arrays or lambdas.
     """
     spaced = F.regexp_replace(F.lower(col), f"({_DELIM})", "$1 ")
     return F.regexp_replace(F.initcap(spaced), f"({_DELIM}) ", "$1")
