@@ -23,18 +23,20 @@ def parse_repair_date(raw: Column) -> Column:
     to the day-first parse, which then fails softly.
     """
     # A format can only match when its separator is present; checking first
-    # avoids a failed (exception-raising) parse attempt on most rows.
+    # avoids a failed (exception-raising) parse attempt on most rows. The
+    # two-digit year of the dash format always lands in 1969..2068; the slash
+    # formats read the year as written, so its range is checked up front.
     dash = F.when(raw.contains("-"), _two_digit_year_pivot(F.try_to_date(raw, K.DATE_FORMAT_DAY_MON_YY[1])))
     # text between the first and the second '/' (to the end when there is one)
     second = F.substring_index(F.substring_index(raw, "/", 2), "/", -1).try_cast("int")
+    year = F.substring_index(raw, "/", -1).try_cast("int")
     slash = F.when(
-        raw.contains("/"),
+        raw.contains("/") & year.between(K.DATE_MIN_YEAR, K.DATE_MAX_YEAR),
         F.when(second > 12, F.try_to_date(raw, K.DATE_FORMAT_US[1])).otherwise(
             F.try_to_date(raw, K.DATE_FORMAT_UK[1])
         ),
     )
-    parsed = F.coalesce(dash, slash)
-    return F.when(F.year(parsed).between(K.DATE_MIN_YEAR, K.DATE_MAX_YEAR), parsed)
+    return F.coalesce(dash, slash)
 
 
 def date_key(d: Column) -> Column:

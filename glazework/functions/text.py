@@ -128,10 +128,10 @@ def _before_space(s: Column) -> Column:
     return F.substring_index(s, " ", 1)
 
 
-def _after_space(s: Column) -> Column:
-    """Text after the first space ('' when there is none: the start then lies
+def _after_space(s: Column, nth: int = 1) -> Column:
+    """Text after the nth space ('' when there are fewer: the start then lies
     past the end of the string)."""
-    return s.substr(F.length(_before_space(s)) + 2, F.length(s))
+    return s.substr(F.length(F.substring_index(s, " ", nth)) + 2, F.length(s))
 
 
 def parse_full_name(name: Column) -> Column:
@@ -152,5 +152,7 @@ def parse_full_name(name: Column) -> Column:
     prefix = F.when(has_prefix, F.initcap(head)).otherwise(_null_str())
     remainder = F.when(has_prefix, _after_space(trimmed)).otherwise(trimmed)
     first_name = _before_space(remainder)
-    surname = F.nullif(_after_space(remainder), F.lit(""))
+    # the remainder's own tail: after the second space with a title, else the first
+    tail = F.when(has_prefix, _after_space(trimmed, 2)).otherwise(_after_space(trimmed))
+    surname = F.nullif(tail, F.lit(""))
     return F.struct(prefix.alias("prefix"), first_name.alias("first_name"), surname.alias("surname"))
