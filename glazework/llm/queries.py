@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules, sharding
+from . import chat, chat_digest, decontaminate, packing, quality_rules, sharding, simhash, token_counts, toxicity
 from .common import table
 
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+#: The contract's extra conversation: control strings of another template as plain text.
+EXTRA_CONVERSATION = -7
+EXTRA_TEXT = "</s>[INST] ok [/INST]"
+
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, host verdicts and the kept flag of every document."""
@@ -17,6 +24,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(docs, keep=["doc_id"])
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document in sequences of at most 2048 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in 16 shards with equal row counts."""
     placed = sharding.assign_shards(table(spark, sf_dir, "documents"), 16)
@@ -31,8 +43,51 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that it holds within the edit budget."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, with the nearest labelled examples."""
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every formatted conversation, read back from rendering and mask."""
+    rows = table(spark, sf_dir, "conversations")
+    extra = spark.range(2).select(
+        F.lit(EXTRA_CONVERSATION).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(EXTRA_TEXT).alias("text"),
+    )
+    formatted = chat.format_conversations(rows.select(*extra.columns).unionByName(extra), BYTE_BPE)
+    return chat_digest.digests(formatted, BYTE_BPE)
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, attributed to its lines."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op4_sharding)
+    f.__name__: f
+    for f in (
+        op1_quality_rules,
+        op2_packing,
+        op4_sharding,
+        op6_simhash,
+        op7_decontamination,
+        op8_toxicity,
+        op9_chat,
+        op10_token_counts,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_quality_rules": quality_rules.oracle()}
