@@ -22,14 +22,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, f"llm-{name}")
 
 
-def fresh_name(df: DataFrame, wanted: str) -> str:
-    """``wanted``, with underscores until no column of ``df`` has that name."""
-    taken = {c.lower() for c in df.columns}
-    while wanted.lower() in taken:
-        wanted = f"_{wanted}"
-    return wanted
-
-
 def word_array(text: Column) -> Column:
     """The words of a text as an array; empty for null and for white space only."""
     trimmed = F.btrim(text, F.lit(SPACE_CHARS))

@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, chat_digest, decontaminate, packing, quality_rules, sharding, simhash, token_counts, toxicity
+from . import (
+    chat,
+    chat_digest,
+    decontaminate,
+    html_blocks,
+    lm_scoring,
+    packing,
+    quality_rules,
+    sharding,
+    simhash,
+    token_counts,
+    toxicity,
+)
 from .common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -29,6 +41,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pseudo-log-likelihood of every document under a network trained on all of them."""
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in 16 shards with equal row counts."""
     placed = sharding.assign_shards(table(spark, sf_dir, "documents"), 16)
@@ -43,6 +60,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_blocks.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
@@ -81,7 +103,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_quality_rules,
         op2_packing,
+        op3_lm_scoring,
         op4_sharding,
+        op5_html,
         op6_simhash,
         op7_decontamination,
         op8_toxicity,
