@@ -24,7 +24,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from glazework.plans.queries import raw_queries, registry  # noqa: E402
 from glazework.session import local_session, materialize  # noqa: E402
-from glazework.sources.fixture import dirty_repairs  # noqa: E402
+from checks.fixture import dirty_repairs  # noqa: E402
 
 HEADLINE = ["raw_repairs", "stg_repairs", "dim_customer", "fact_repairs", "dq_summary"]
 

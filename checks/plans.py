@@ -40,7 +40,7 @@ def main(argv: list[str]) -> None:
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     from glazework.plans.queries import raw_queries
     from glazework.session import local_session, materialize
-    from glazework.sources.fixture import dirty_repairs
+    from checks.fixture import dirty_repairs
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.1"
     spark = local_session("local[8]", 16)

@@ -7,10 +7,9 @@ cleaning rules are built-in Column expressions (no Python UDFs).
 
 Layout:
   functions/  Column expressions (text, dates, numbers, keys)
-  sources/    raw table schema and readers, mapping seeds, the test fixture
+  sources/    raw table schema and readers, mapping seeds
   operators/  lookups, mapping joins, dedupe, dimension build, date spine, quality
   plans/      staging, marts and the whole build; the named query registry
-  streaming/  notes only: the modelled warehouse has no streaming
 """
 
 __version__ = "0.1.0"

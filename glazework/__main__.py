@@ -1,13 +1,13 @@
 """Command line: ``python -m glazework run|test``.
 
-  run   build staging, the dimensions and the fact from a raw table and publish
-        them as Parquet under --out
-  test  run the 15 data tests on the staging built from the raw table; print the
-        summary and exit 1 if any test of severity ``error`` fails (``warn``
-        failures are reported only)
+  run   build staging, the dimensions and the fact from a raw table, publish
+        them as Parquet in a new run folder under --out, and switch to it
+  test  run the 15 data tests and print the summary; exit 1 if any test of severity
+        ``error`` fails (``warn`` failures are reported only). With --out and no raw
+        table, on the published staging table; else on the staging built from the raw table
 
-The raw table is a CSV (--raw-csv), a Parquet path (--raw-parquet) or the
-fixture derived from driver tables (--sf-dir). The session comes from
+The raw table is a CSV (--raw-csv; it is parsed once, rejected records are counted
+and kept), a Parquet path (--raw-parquet) or a catalog table (--raw-table). The session comes from
 spark-submit / the cluster defaults; --local starts a local one.
 """
 
@@ -20,16 +20,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def _raw(spark: SparkSession, args) -> DataFrame:
-    from glazework.sources import read_raw_csv, read_raw_parquet
-    from glazework.sources.fixture import dirty_repairs
+    from glazework.sources import land_raw_csv, read_raw_parquet, read_raw_table
 
     if args.raw_csv:
-        return read_raw_csv(spark, args.raw_csv)
+        good, rejects = land_raw_csv(spark, args.raw_csv, args.landed, args.multi_line)
+        n = rejects.count()
+        if n:
+            print(f"{n} rejected records", file=sys.stderr)
+        return good
     if args.raw_parquet:
         return read_raw_parquet(spark, args.raw_parquet)
-    if args.sf_dir:
-        return dirty_repairs(spark, args.sf_dir)
-    raise SystemExit("give --raw-csv, --raw-parquet or --sf-dir")
+    if args.raw_table:
+        return read_raw_table(spark, args.raw_table)
+    raise SystemExit("give --raw-csv, --raw-parquet or --raw-table")
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -37,29 +40,35 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("command", choices=["run", "test"])
     p.add_argument("--raw-csv")
     p.add_argument("--raw-parquet")
-    p.add_argument("--sf-dir")
+    p.add_argument("--raw-table", help="catalog name of the raw table")
+    p.add_argument("--landed", help="where a CSV's rows and rejects are kept as Parquet (default: the work folder)")
+    p.add_argument("--multi-line", action="store_true", help="quoted CSV fields may hold line ends")
     p.add_argument("--seed-dir", help="folder with <column>_mapping.csv seeds on shared storage")
-    p.add_argument("--out", help="publish folder (run)")
+    p.add_argument("--out", help="warehouse folder: published to (run), read from (test)")
+    p.add_argument("--schema", help="catalog schema whose views are pointed to the new run")
     p.add_argument("--local", action="store_true", help="start a local session")
     args = p.parse_args(argv)
 
-    from glazework.plans import build_staging, build_warehouse, publish
     from glazework.operators import quality_summary
-    from glazework.session import local_session, materialize
+    from glazework.plans import build_warehouse, publish, published
+    from glazework.plans.queries import dq_summary
+    from glazework.session import local_session
     from glazework.sources.seeds import load_seeds
 
     spark = local_session() if args.local else SparkSession.builder.getOrCreate()
-    raw = _raw(spark, args)
     seeds = load_seeds(spark, args.seed_dir)
     if args.command == "run":
         if not args.out:
             raise SystemExit("run needs --out")
-        wh = build_warehouse(raw, seeds, publish_dir=args.out)  # staging and dims written in place
-        for name, path in publish(wh, args.out).items():
+        wh = build_warehouse(_raw(spark, args), seeds, publish_dir=args.out)
+        for name, path in publish(wh, args.out, schema=args.schema).items():
             print(f"{name}\t{path}")
         return 0
-    summary = quality_summary(materialize(build_staging(raw, seeds), "stg_repairs")).orderBy("test_name")
-    rows = summary.collect()  # 15 rows
+    if args.out and not (args.raw_csv or args.raw_parquet or args.raw_table):
+        summary = quality_summary(published(spark, args.out, "stg_repairs"))
+    else:
+        summary = dq_summary(_raw(spark, args), seeds)
+    rows = summary.orderBy("test_name").collect()  # 15 rows
     for r in rows:
         print(f"{r['status']:5} {r['failures']:>10} {r['severity']:5} {r['test_name']}")
     return 1 if any(r["status"] == "fail" for r in rows) else 0

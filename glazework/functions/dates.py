@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from glazework import constants as K
+from glazework.functions.text import trim_ws
 
 
 def _two_digit_year_pivot(d: Column) -> Column:
@@ -17,11 +18,12 @@ def parse_repair_date(raw: Column) -> Column:
     """E-11: ``dd-Mon-yy`` first; else ``m/d/Y`` when the 2nd '/' part is > 12, else ``d/m/Y``.
 
     Day-first wins whenever the second part is a valid month, so US dates with
-    a day ≤ 12 are read day-first, as modelled. A year outside 1…9999 (the
+    a day ≤ 12 are read day-first, as modelled. White space around the date is ignored. A year outside 1…9999 (the
     slash formats read the year as written) is no date. Unparsable input gives NULL
     (never an error): a missing second part or a non-numeric one falls through
     to the day-first parse, which then fails softly.
     """
+    raw = trim_ws(raw)
     # A format can only match when its separator is present; checking first
     # avoids a failed (exception-raising) parse attempt on most rows. The
     # two-digit year of the dash format always lands in 1969..2068; the slash

@@ -14,10 +14,12 @@ def clean_currency(raw: Column) -> Column:
 
     A minus sign or a currency word is dropped with the other characters;
     ``1.2.3`` and ``.`` fail the cast and give NULL. Spark rounds the decimal
-    form of the double half-up, so ``1.005`` → 1.01.
+    form of the double half-up, so ``1.005`` → 1.01. More digits than a double
+    can hold are no amount either: NULL, not infinity.
     """
     kept = F.nullif(F.regexp_replace(raw, K.CURRENCY_STRIP, ""), F.lit(""))
-    return F.round(kept.try_cast("double"), K.MONEY_SCALE)
+    amount = kept.try_cast("double")
+    return F.round(F.nullif(amount, F.lit(float("inf"))), K.MONEY_SCALE)
 
 
 def money_difference(a: Column, b: Column) -> Column:

@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from glazework import constants as K
 from glazework.functions.dates import date_key, day_name, day_of_week, is_weekend, month_name
 
-# Rows of the calendar: a fixed bound, so the dimension is always safe to broadcast.
-DATE_SPINE_MAX_ROWS = 366 * 12
-
 
 def date_spine(
     spark: SparkSession, start: str = K.DATE_SPINE_START, end_exclusive: str = K.DATE_SPINE_END_EXCLUSIVE

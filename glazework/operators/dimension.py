@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glazework.functions.keys import surrogate_key
-from glazework.session import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small
+from glazework.session import DEFAULT_BROADCAST_MAX_BYTES, broadcast_if_small
 
 
 @dataclass(frozen=True)
@@ -39,19 +39,19 @@ def build_dimension(staging: DataFrame, spec: DimensionSpec) -> DataFrame:
 
 def lookup_key(
     fact: DataFrame, dim: DataFrame, on: list[tuple[str, str]], key: str,
-    broadcast: bool | None = None, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    broadcast: bool | None = None, max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """Left join ``dim`` on plain equality (a NULL never matches) and add ``key``.
 
     Only the join columns and the key leave the dimension. It is broadcast
-    when ``broadcast`` is true, or, when that is None, when its counted rows
-    are within ``max_rows``; otherwise both sides shuffle on the join columns
+    when ``broadcast`` is true, or, when that is None, when its size
+    is within ``max_bytes``; otherwise both sides shuffle on the join columns
     (AQE splits a skewed fact partition). Several dimension rows for one fact
     row multiply it, as a SQL left join does.
     """
     right = dim.select(*[F.col(d).alias(f"_{key}_{d}") for _, d in on], F.col(key))
     if broadcast is None:
-        right = broadcast_if_small(right, max_rows)
+        right = broadcast_if_small(right, max_bytes)
     elif broadcast:
         right = F.broadcast(right)
     cond = _all([fact[f] == right[f"_{key}_{d}"] for f, d in on])

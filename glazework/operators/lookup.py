@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from glazework import constants as K
 from glazework.functions.text import trim_ws
-from glazework.session import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small
+from glazework.session import DEFAULT_BROADCAST_MAX_BYTES, broadcast_if_small
 
 
 def region_lookup(raw: DataFrame) -> DataFrame:
@@ -27,17 +27,17 @@ def region_lookup(raw: DataFrame) -> DataFrame:
 
 
 def with_region_lookup(
-    raw: DataFrame, lookup: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS
+    raw: DataFrame, lookup: DataFrame, max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES
 ) -> DataFrame:
     """R-02: left join the lookup on ``lower(trim(city))``; adds ``_lookup_region``
     (and the helper ``_lookup_city``, pruned by the staging projection).
 
-    ``lookup`` should be materialised: it is counted, and broadcast when it is
-    within ``max_rows``; a larger one is joined by shuffle (AQE splits skewed
-    city partitions).
+    ``lookup`` should be materialised, so that its size is known: it is broadcast when
+    it is within ``max_bytes``; a larger one is joined by shuffle (AQE splits
+    skewed city partitions).
     """
     right = lookup.select(F.col("city").alias("_lookup_city"), F.col("region").alias("_lookup_region"))
-    right = broadcast_if_small(right, max_rows)
+    right = broadcast_if_small(right, max_bytes)
     return raw.join(right, F.lower(trim_ws(raw["city"])) == right["_lookup_city"], "left")
 
 
@@ -45,18 +45,21 @@ def mapped_name(column: str) -> str:
     return f"_mapped_{column}"
 
 
-def map_codes(df: DataFrame, seeds: dict[str, DataFrame], columns: list[str] | None = None) -> DataFrame:
+def map_codes(
+    df: DataFrame, seeds: dict[str, DataFrame], columns: list[str] | None = None,
+    max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
+) -> DataFrame:
     """R-03: for each column, left join its seed on ``UPPER(TRIM(..))``.
 
     Adds ``_mapped_<column>`` = the seed's clean value (NULL when unmatched)
     and the helper key ``_seed_key_<column>`` (pruned by the next projection;
     no per-join drop, which would re-analyse the growing plan each time).
-    Seeds are bounded by ``load_seeds`` and broadcast, so all joins run
-    map-side in one stage. Duplicate seed keys would fan rows out; loading
-    rejects them.
+    A seed within ``max_bytes`` is broadcast, so the usual eight joins run
+    map-side in one stage; a larger one is joined by shuffle. Several seed rows
+    with one key give a row each.
     """
-    for column in columns or K.MAPPED_COLUMNS:
+    for column in K.MAPPED_COLUMNS if columns is None else columns:
         key, value = f"_seed_key_{column}", mapped_name(column)
         seed = seeds[column].select(F.upper(trim_ws(F.col("raw_value"))).alias(key), F.col("clean_value").alias(value))
-        df = df.join(F.broadcast(seed), F.upper(trim_ws(df[column])) == seed[key], "left")
+        df = df.join(broadcast_if_small(seed, max_bytes), F.upper(trim_ws(df[column])) == seed[key], "left")
     return df

@@ -19,8 +19,9 @@ def _unmapped(column: str) -> Column:
 
 
 def _not_boolean(column: str) -> Column:
-    c = F.col(column)
-    return ~c.isin(True, False) & c.isNotNull()
+    """Neither TRUE nor FALSE nor NULL; on a text column, any text but these two words."""
+    c = F.lower(F.col(column).cast("string"))
+    return ~c.isin("true", "false") & c.isNotNull()
 
 
 def not_null_violations(staging: DataFrame) -> DataFrame:
@@ -52,8 +53,11 @@ def unmapped_violations(staging: DataFrame) -> DataFrame:
 
 
 def boolean_violations(staging: DataFrame, column: str = "insurance_claimed") -> DataFrame:
-    """Q-04: values that are neither TRUE nor FALSE nor NULL (none on a boolean column)."""
-    return staging.where(_not_boolean(column)).select(column)
+    """Q-04: the rows whose ``column`` is neither TRUE nor FALSE nor NULL, all columns.
+
+    None on a column that is boolean already; useful on the raw text column.
+    """
+    return staging.where(_not_boolean(column))
 
 
 def _test_catalogue() -> list[tuple[str, str, str, Column]]:
@@ -64,6 +68,11 @@ def _test_catalogue() -> list[tuple[str, str, str, Column]]:
     return tests
 
 
+def columns_of_tests() -> list[str]:
+    """The staging columns that the fifteen tests read."""
+    return list(dict.fromkeys(["job_id", *[column for _, column, _, _ in _test_catalogue()]]))
+
+
 def _as_rows(one_row: DataFrame, tests: list[tuple[str, str, str]]) -> DataFrame:
     structs = [
         F.struct(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,16 +12,20 @@ from glazework.operators.date_spine import dim_date
 from glazework.operators.quality import quality_summary
 from glazework.plans.marts import build_dimensions, build_fact
 from glazework.plans.staging import build_staging
-from glazework.session import DEFAULT_BROADCAST_MAX_ROWS, materialize
+from glazework.session import DEFAULT_BROADCAST_MAX_BYTES, materialize
 from glazework.sources.seeds import load_seeds
 
+#: The log of published runs inside a warehouse folder; its last row names the current one.
+RUN_LOG = "published_runs"
+
 
 @dataclass
 class Warehouse:
     staging: DataFrame
     dims: dict[str, DataFrame] = field(default_factory=dict)
     fact: DataFrame | None = None
-    published_dir: str | None = None  # where staging and the dimensions already live
+    published_dir: str | None = None  # the warehouse folder, and
+    run_dir: str | None = None  # the run folder where staging and the dimensions already live
 
     def tables(self) -> dict[str, DataFrame]:
         out = {"stg_repairs": self.staging, **self.dims}
@@ -29,10 +34,14 @@ class Warehouse:
         return out
 
 
+def _new_run(out_dir: str) -> str:
+    return f"{out_dir.rstrip('/')}/run-{uuid.uuid4().hex}"
+
+
 def build_warehouse(
     raw: DataFrame,
     seeds: dict[str, DataFrame] | None = None,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    max_broadcast_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
     publish_dir: str | None = None,
 ) -> Warehouse:
     """staging → dimensions → fact, each step written before the next reads it.
@@ -42,21 +51,21 @@ def build_warehouse(
     executor costs a re-read of files, not a replay of the build.
 
     With ``publish_dir`` the staging table and the dimensions are written
-    straight to their published locations (no second copy); ``publish`` then
-    only has the fact and the calendar left to write.
+    straight to a new run folder in it (no second copy), beside what is published
+    there; ``publish`` writes the fact and the calendar, and then switches to the run.
     """
     spark = raw.sparkSession
     seeds = seeds if seeds is not None else load_seeds(spark)
-    out = publish_dir.rstrip("/") if publish_dir else None
+    run = _new_run(publish_dir) if publish_dir else None
     staging = materialize(
-        build_staging(raw, seeds, max_broadcast_rows=max_broadcast_rows),
+        build_staging(raw, seeds, max_broadcast_bytes=max_broadcast_bytes),
         "stg_repairs",
-        path=f"{out}/stg_repairs" if out else None,
+        path=f"{run}/stg_repairs" if run else None,
     )
-    dims = build_dimensions(staging, out_dir=out)
+    dims = build_dimensions(staging, out_dir=run)
     dims["dim_date"] = dim_date(spark)
-    fact = build_fact(staging, dims, max_broadcast_rows)
-    return Warehouse(staging, dims, fact, published_dir=out)
+    fact = build_fact(staging, dims, max_broadcast_bytes)
+    return Warehouse(staging, dims, fact, publish_dir.rstrip("/") if publish_dir else None, run)
 
 
 def quality_report(wh: Warehouse) -> DataFrame:
@@ -64,31 +73,59 @@ def quality_report(wh: Warehouse) -> DataFrame:
     return quality_summary(wh.staging)
 
 
-def publish(wh: Warehouse, out_dir: str, partition_fact_by_year: bool = False) -> dict[str, str]:
-    """S-05: write every table as Parquet under ``out_dir`` (overwrite); returns paths.
+def publish(
+    wh: Warehouse, out_dir: str, partition_fact_by_year: bool = False, schema: str | None = None
+) -> dict[str, str]:
+    """S-05: every table as Parquet in a run folder under ``out_dir``, then the switch; returns paths.
 
-    Tables the build already wrote to ``out_dir`` are not written again. With
+    Nothing that is published gets overwritten: a run that fails half-way leaves the former tables
+    as they were. The switch is one row appended to the run log, which :func:`published`
+    reads. With ``schema``, a catalog view of each table is then pointed to the run, so
+    models and tools read them by name in any session of that catalog.
+
+    Tables that the build already wrote are not written again. With
     ``partition_fact_by_year`` the fact is written in ``repair_year=`` folders
     (from ``date_key``; NULL dates in the default partition), so readers
     filtering on a year only list and read those folders.
     """
     out = out_dir.rstrip("/")
-    already = wh.published_dir == out
+    built_here = wh.published_dir == out and wh.run_dir is not None
+    run = wh.run_dir if built_here else _new_run(out)
     paths = {}
     for name, df in wh.tables().items():
-        path = f"{out}/{name}"
-        paths[name] = path
-        if already and name != "fact_repairs" and name != "dim_date":
+        paths[name] = f"{run}/{name}"
+        if built_here and name not in ("fact_repairs", "dim_date"):
             continue
+        writer = df.write
         if name == "fact_repairs" and partition_fact_by_year:
-            df = df.withColumn("repair_year", (F.col("date_key") / 10000).cast("int"))
-            df.write.mode("overwrite").partitionBy("repair_year").parquet(path)
-        else:
-            df.write.mode("overwrite").parquet(path)
+            writer = df.withColumn("repair_year", (F.col("date_key") / 10000).cast("int")).write
+            writer = writer.partitionBy("repair_year")
+        writer.mode("overwrite").parquet(paths[name])
+    spark = wh.staging.sparkSession
+    log = spark.range(1).select(F.lit(run).alias("run"), F.current_timestamp().alias("published_at"))
+    log.coalesce(1).write.mode("append").parquet(f"{out}/{RUN_LOG}")
+    if schema:
+        for name, path in paths.items():
+            spark.sql(f"CREATE OR REPLACE VIEW `{schema}`.`{name}` AS SELECT * FROM parquet.`{path}`")
     return paths
 
 
+def current_run(spark: SparkSession, out_dir: str) -> str:
+    """The run folder that ``out_dir`` was last switched to."""
+    out = out_dir.rstrip("/")
+    log = spark.read.schema("run string, published_at timestamp").parquet(f"{out}/{RUN_LOG}")
+    last = log.agg(F.max_by("run", "published_at")).first()[0]
+    if last is None:
+        raise ValueError(f"nothing is published in {out}")
+    return last
+
+
+def published(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
+    """A published table by name."""
+    return spark.read.parquet(f"{current_run(spark, out_dir)}/{name}")
+
+
 def register_views(spark: SparkSession, wh: Warehouse) -> None:
-    """S-04 / S-05: every table as a temporary view, for SQL consumers."""
+    """S-04 / S-05: every table as a temporary view, for SQL consumers in this session."""
     for name, df in wh.tables().items():
         df.createOrReplaceTempView(name)

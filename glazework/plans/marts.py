@@ -7,9 +7,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glazework.operators.date_spine import DATE_SPINE_MAX_ROWS
 from glazework.operators.dimension import DimensionSpec, build_dimension, lookup_key
-from glazework.session import DEFAULT_BROADCAST_MAX_ROWS, materialize
+from glazework.session import DEFAULT_BROADCAST_MAX_BYTES, materialize, planned_bytes
 
 
 def _same(cols: list[str]) -> list[tuple[str, str]]:
@@ -79,28 +78,21 @@ def build_dimensions(
 
 
 def build_fact(
-    staging: DataFrame, dims: dict[str, DataFrame], max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS
+    staging: DataFrame, dims: dict[str, DataFrame], max_broadcast_bytes: int = DEFAULT_BROADCAST_MAX_BYTES
 ) -> DataFrame:
     """J-03 / R-09 / R-10: look up the seven surrogate keys for every staging row.
 
-    Each dimension is counted: small ones are broadcast and applied first
-    (map-side, no shuffle); the rest (typically the customer dimension, which
+    Each dimension's size is known from its files: small ones are broadcast and applied
+    first (map-side, no shuffle); the rest (typically the customer dimension, which
     grows with the fact) join afterwards by shuffle on their keys, with only
     the columns still needed travelling.
     """
     spec_on = {name: (spec.fact_on, spec.key) for name, spec in DIMENSIONS.items()}
     spec_on["dim_date"] = ([("repair_date", "full_date")], "date_key")
 
-    def size(name: str) -> int:
-        return DATE_SPINE_MAX_ROWS if name == "dim_date" else dims[name].count()
-
-    with ThreadPoolExecutor(max_workers=len(_FACT_JOINS)) as pool:
-        sizes = dict(zip(_FACT_JOINS, pool.map(size, _FACT_JOINS)))
-    order = [n for n in _FACT_JOINS if sizes[n] <= max_broadcast_rows] + [
-        n for n in _FACT_JOINS if sizes[n] > max_broadcast_rows
-    ]
+    small = {n: planned_bytes(dims[n]) <= max_broadcast_bytes for n in _FACT_JOINS}
     fact = staging
-    for name in order:
+    for name in sorted(_FACT_JOINS, key=lambda n: not small[n]):
         on, key = spec_on[name]
-        fact = lookup_key(fact, dims[name], on, key, broadcast=sizes[name] <= max_broadcast_rows)
+        fact = lookup_key(fact, dims[name], on, key, broadcast=small[name])
     return fact.select(*[F.col(c) for c in FACT_COLUMNS])

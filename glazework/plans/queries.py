@@ -1,11 +1,7 @@
 """Named queries, one per operator of the inventory.
 
 Each query is first a function of the raw repairs table (``RAW_QUERIES``:
-DataFrame → DataFrame), so it runs on any stored raw table. ``registry()``
-wraps them for the driver contract, (spark, sf_dir) → DataFrame, with the
-raw table derived from the driver tables at ``sf_dir``
-(``glazework.sources.fixture``), so every query's work grows with them.
-Per-expression queries project the raw rows (one scan, no shuffle); the
+DataFrame → DataFrame), so it runs on any stored raw table. Per-expression queries project the raw rows (one scan, no shuffle); the
 relational ones run the real staging / mart jobs.
 """
 
@@ -13,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glazework import constants as K
@@ -26,22 +22,21 @@ from glazework.operators.quality import (
     boolean_violations,
     not_null_violations,
     quality_summary,
+    columns_of_tests,
     unique_violations,
     unmapped_violations,
 )
 from glazework.plans.build import build_warehouse
 from glazework.plans.marts import DIMENSIONS
-from glazework.plans.staging import build_staging, clean_rows, cleaned_columns
+from glazework.plans.staging import build_staging, clean_columns, clean_rows, cleaned_columns
 from glazework.session import materialize
-from glazework.sources.fixture import dirty_repairs
 from glazework.sources.seeds import load_seeds
 
-Query = Callable[[SparkSession, str], DataFrame]
 RawQuery = Callable[[DataFrame], DataFrame]
 
 
-def _staging(raw: DataFrame) -> DataFrame:
-    return build_staging(raw, load_seeds(raw.sparkSession))
+def _staging(raw: DataFrame, seeds: dict[str, DataFrame] | None = None) -> DataFrame:
+    return build_staging(raw, seeds or load_seeds(raw.sparkSession))
 
 
 def _project(*names: str, raw_id: bool = True) -> RawQuery:
@@ -80,7 +75,8 @@ def dedupe_repairs(raw: DataFrame) -> DataFrame:
 
 def _dim_query(name: str) -> RawQuery:
     def run(raw: DataFrame) -> DataFrame:
-        return build_dimension(_staging(raw), DIMENSIONS[name])
+        spec = DIMENSIONS[name]
+        return build_dimension(clean_columns(raw, load_seeds(raw.sparkSession), spec.attributes), spec)
 
     run.__name__ = name
     return run
@@ -105,10 +101,10 @@ def surrogate_keys(raw: DataFrame) -> DataFrame:
     return stg.select("job_id", *keys)
 
 
-def dq_summary(raw: DataFrame) -> DataFrame:
-    """J-04: tests run on the written staging table, as after a build; the
-    uniqueness pass then reads only ``job_id`` instead of re-running staging."""
-    return quality_summary(materialize(_staging(raw), "stg_repairs"))
+def dq_summary(raw: DataFrame, seeds: dict[str, DataFrame] | None = None) -> DataFrame:
+    """J-04 without a built staging table: the fourteen tested columns of its rows are
+    written once, after the DISTINCT; the uniqueness pass then reads only ``job_id``."""
+    return quality_summary(materialize(_staging(raw, seeds).select(*columns_of_tests()), "tested"))
 
 
 def raw_queries() -> dict[str, RawQuery]:
@@ -144,29 +140,6 @@ def raw_queries() -> dict[str, RawQuery]:
     q["dq_not_null"] = lambda raw: not_null_violations(_staging(raw))
     q["dq_unique_job"] = lambda raw: unique_violations(_staging(raw))
     q["dq_unmapped"] = lambda raw: unmapped_violations(_staging(raw))
-    q["dq_valid_boolean"] = lambda raw: boolean_violations(_staging(raw))
+    q["dq_valid_boolean"] = boolean_violations
     q["dq_summary"] = dq_summary
     return q
-
-
-def _on_fixture(fn: RawQuery, **variant) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(dirty_repairs(spark, sf_dir, **variant))
-
-    run.__name__ = getattr(fn, "__name__", "query")
-    return run
-
-
-def q_fact_repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fact_repairs(dirty_repairs(spark, sf_dir))
-
-
-def registry() -> dict[str, Query]:
-    """The driver's (spark, sf_dir) → DataFrame form of every query."""
-    q = {name: _on_fixture(fn) for name, fn in raw_queries().items()}
-    # Fan-out fixtures: one customer id with several customer rows; one
-    # technician key naming two technician rows.
-    q["fact_repairs_fanout"] = _on_fixture(fact_repairs, repeat_customers=True)
-    q["fact_repairs_tech_fanout"] = _on_fixture(fact_repairs, vary_technicians=True)
-    q["dim_technician_shared_keys"] = _on_fixture(_dim_query("dim_technician"), vary_technicians=True)
-    return q

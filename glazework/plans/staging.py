@@ -25,7 +25,7 @@ from glazework.functions import (
 )
 from glazework.operators.dedupe import dedupe_rows
 from glazework.operators.lookup import map_codes, mapped_name, region_lookup, with_region_lookup
-from glazework.session import DEFAULT_BROADCAST_MAX_ROWS, materialize
+from glazework.session import DEFAULT_BROADCAST_MAX_BYTES, materialize
 
 STAGING_COLUMNS = [
     "job_id", "repair_date", "region", "city", "garage_name", "garage_type",
@@ -94,7 +94,7 @@ def build_staging(
     raw: DataFrame,
     seeds: dict[str, DataFrame],
     lookup: DataFrame | None = None,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    max_broadcast_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """R-01 … R-05: lookup → back-fill join → 8 mapping joins → clean → DISTINCT.
 
@@ -105,5 +105,21 @@ def build_staging(
     """
     if lookup is None:
         lookup = materialize(region_lookup(raw), "region_lookup")
-    joined = map_codes(with_region_lookup(raw, lookup, max_broadcast_rows), seeds)
+    joined = map_codes(
+        with_region_lookup(raw, lookup, max_broadcast_bytes), seeds, max_bytes=max_broadcast_bytes
+    )
     return dedupe_rows(clean_rows(joined))
+
+
+def clean_columns(raw: DataFrame, seeds: dict[str, DataFrame], columns: list[str]) -> DataFrame:
+    """Some staging columns of every raw row, with only the joins that these need.
+
+    Not de-duplicated: for callers that take distinct values of the columns (a
+    dimension), which no join or DISTINCT over other columns can change.
+    """
+    src = raw
+    if "region" in columns:
+        src = with_region_lookup(raw, materialize(region_lookup(raw), "region_lookup"))
+    src = map_codes(src, seeds, [c for c in K.MAPPED_COLUMNS if c in columns])
+    exprs = cleaned_columns(src, F.col("_lookup_region") if "region" in columns else None)
+    return src.select(*[exprs[c].alias(c) for c in columns])

@@ -8,18 +8,21 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest number of rows we ship to every executor as a broadcast side. The
-# broadcast sides here carry a few short columns (join keys + a 32-character
-# key), so this stays in the tens of megabytes.
-DEFAULT_BROADCAST_MAX_ROWS = 200_000
+# Largest table, in bytes as written, that is shipped to every executor as a broadcast side.
+DEFAULT_BROADCAST_MAX_BYTES = 32 * 1024 * 1024
 
 
 def local_session(
-    master: str = "local[*]", shuffle_partitions: int = 8, app: str = "glazework", extra_conf: dict | None = None
+    master: str = "local[*]", shuffle_partitions: int = 8, app: str = "glazework", extra_conf: dict | None = None,
+    work_folder: str | None = None,
 ) -> SparkSession:
-    """A local session for tests and the bench (UI off, AQE on)."""
+    """A local session for tests and the bench (UI off, AQE on).
+
+    ``work_folder``: where intermediate tables go (see :func:`work_dir`).
+    """
     builder = SparkSession.builder
-    for k, v in (extra_conf or {}).items():
+    conf = ({"spark.checkpoint.dir": work_folder} if work_folder else {}) | (extra_conf or {})
+    for k, v in conf.items():
         builder = builder.config(k, v)
     spark = (
         builder.master(master)
@@ -76,24 +79,37 @@ def materialize(
     This cuts the lineage (a lost executor re-reads files instead of replaying
     the whole build), lets later jobs prune columns, and makes row counts a
     metadata read. Without ``path`` each call gets its own folder under the
-    shared work folder; with ``path`` (a publish location) the table is
-    written there, once, and read back from there.
+    shared work folder, which the session deletes when it ends; with ``path`` (a
+    publish location) the table is written there, once, and read back from there.
     """
     spark = df.sparkSession
-    path = path or f"{work_dir(spark)}/glazework/{name}-{uuid.uuid4().hex}"
+    target = path or f"{work_dir(spark)}/glazework/{name}-{uuid.uuid4().hex}"
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.parquet(path)
+    writer.parquet(target)
+    if path is None:
+        _delete_at_exit(spark, target)
+    return spark.read.parquet(target)
+
+
+def _delete_at_exit(spark: SparkSession, path: str) -> None:
+    """The session's file system removes ``path`` when it is closed (classic sessions only)."""
+    if hasattr(spark, "_jvm"):
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
+def planned_bytes(df: DataFrame) -> int:
+    """The planner's size of ``df``: file bytes of a written table, scaled to the columns read."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting ``df``; beyond the bound, leave the
-    join to a shuffle (sort-merge with AQE skew splitting).
+def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+    """Hint a broadcast only when ``df`` is at most ``max_bytes``; beyond that,
+    leave the join to the planner (a shuffle, with AQE skew splitting).
 
-    Call on small, already materialised inputs (seeds, published dims), where
-    the count is cheap.
+    The size is known for written tables, files and inline tables; anything the planner can't
+    size counts as large.
     """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if hasattr(df, "_jdf") and planned_bytes(df) <= max_bytes else df

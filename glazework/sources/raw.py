@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from glazework.session import materialize
+
 _S, _L, _I, _D = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType()
 
 # Column order of the source file.
@@ -45,9 +48,21 @@ RAW_SCHEMA = T.StructType(
 RAW_COLUMNS = [f.name for f in RAW_SCHEMA.fields]
 
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+#: Holds the text of a CSV record that doesn't fit the schema; NULL for a good one.
+REJECT_COLUMN = "_corrupt_record"
+
+
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """S-02: header CSV, UTF-8, explicit schema (no inference pass); empty → NULL.
 
+    Quoted fields follow RFC 4180: a doubled quote is a quote, a backslash is a
+    backslash. ``multi_line`` lets a quoted field hold line ends; it is off by default, as
+    such files can't be split over tasks (a record with a line end is then rejected).
+
+    A record with a field too many or too few, or with text where a number
+    belongs, is kept: its text is in the column ``_corrupt_record``, which is NULL
+    for good records. :func:`land_raw_csv` takes the two apart.
+
     The header is checked against the schema, position by position and
     ignoring case (``Job_ID`` / ``Repair_Date`` load into the lower-case
     schema); a file whose columns are in another order fails instead of
@@ -60,11 +75,34 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
         .option("enforceSchema", False)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .schema(RAW_SCHEMA)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", multi_line)
+        .option("columnNameOfCorruptRecord", REJECT_COLUMN)
+        .schema(T.StructType([*RAW_SCHEMA.fields, T.StructField(REJECT_COLUMN, _S)]))
         .csv(path)
     )
 
 
+def land_raw_csv(
+    spark: SparkSession, path: str, landed: str | None = None, multi_line: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """(raw rows, rejected records) of a CSV, which is parsed once.
+
+    Everything is written to ``landed`` (by default a folder of the session's work folder) as
+    Parquet, good rows and rejects side by side; both results, and all later scans, read that.
+    """
+    table = materialize(read_raw_csv(spark, path, multi_line), "landed", path=landed)
+    good = table.where(F.col(REJECT_COLUMN).isNull()).select(*RAW_COLUMNS)
+    return good, table.where(F.col(REJECT_COLUMN).isNotNull()).select(REJECT_COLUMN)
+
+
+def read_raw_table(spark: SparkSession, name: str) -> DataFrame:
+    """S-01: the raw table by its catalog name; column order and extra columns don't matter."""
+    table = spark.table(name)
+    return table.select(*[table[f.name].cast(f.dataType).alias(f.name) for f in RAW_SCHEMA.fields])
+
+
 def read_raw_parquet(spark: SparkSession, path: str) -> DataFrame:
     """S-01: the raw table stored as Parquet (scan prunes to the columns used)."""
     return spark.read.schema(RAW_SCHEMA).parquet(path)
@@ -83,5 +121,6 @@ def write_raw_csv(df: DataFrame, path: str) -> None:
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .option("escape", '"')
         .csv(path)
     )

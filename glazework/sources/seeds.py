@@ -2,13 +2,15 @@
 
 Seeds are data, not code: the CSV files next to this module can be replaced,
 or a folder on shared storage can be given instead. They are matched on
-``UPPER(TRIM(raw_value))``; a seed with two rows for one key would multiply
-staging rows, so loading checks that every key is unique.
+``UPPER(TRIM(raw_value))``. A seed may be of any length and may hold a key
+several times: the mapping join then gives a row for each, and the DISTINCT of
+staging merges equal ones. A NULL key never matches.
 """
 
 from __future__ import annotations
 
 import csv
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +21,6 @@ from glazework.constants import MAPPED_COLUMNS, TRIM_WHITESPACE
 
 SEED_DIR = Path(__file__).with_name("seeds")
 SEED_SCHEMA = T.StructType([T.StructField("raw_value", T.StringType()), T.StructField("clean_value", T.StringType())])
-# A seed is a short code list; anything longer is a mistake, not a seed.
-MAX_SEED_ROWS = 10_000
 
 
 def seed_name(column: str) -> str:
@@ -28,69 +28,64 @@ def seed_name(column: str) -> str:
 
 
 def seed_rows(column: str) -> list[tuple[str, str]]:
-    """Rows of one packaged seed, read on the driver (tiny, bounded)."""
+    """Rows of one packaged seed, read on the driver (a short file of this package)."""
     with open(SEED_DIR / f"{seed_name(column)}.csv", newline="", encoding="utf-8") as fh:
-        rows = [(r["raw_value"], r["clean_value"]) for r in csv.DictReader(fh)]
-    if len(rows) > MAX_SEED_ROWS:
-        raise ValueError(f"seed {column} has {len(rows)} rows, more than {MAX_SEED_ROWS}")
-    return rows
+        return [(r["raw_value"], r["clean_value"]) for r in csv.DictReader(fh)]
 
 
-def check_unique_keys(column: str, rows: list[tuple[str, str]]) -> None:
-    seen: dict[str, str] = {}
-    for raw, clean in rows:
-        key = raw.strip(TRIM_WHITESPACE).upper()
-        if key in seen:
-            raise ValueError(f"seed {column}: raw value {raw!r} collides with {seen[key]!r}")
-        seen[key] = raw
-
-
-def _local_table(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
-    """A seed as an inline table (a local relation: broadcast without a job)."""
+def inline_seed(spark: SparkSession, rows: list[tuple[str | None, str | None]]) -> DataFrame:
+    """A seed as an inline table (a local relation, whose size the planner knows without a job)."""
     values = ", ".join(f"(:r{i}, :c{i})" for i in range(len(rows)))
     args = {}
     for i, (raw, clean) in enumerate(rows):
         args[f"r{i}"], args[f"c{i}"] = raw, clean
-    return spark.sql(f"SELECT * FROM VALUES {values} AS t(raw_value, clean_value)", args=args)
+    inline = spark.sql(f"SELECT * FROM VALUES {values} AS t(raw_value, clean_value)", args=args)
+    return inline.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SEED_SCHEMA.fields])
+
+
+def read_seed(spark: SparkSession, path: str) -> DataFrame:
+    """A seed file on shared storage; the header is checked, quotes are doubled as in RFC 4180."""
+    return (
+        spark.read.option("header", True)
+        .option("enforceSchema", False)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("mode", "FAILFAST")
+        .schema(SEED_SCHEMA)
+        .csv(path)
+    )
 
 
 _PACKAGED: dict[int, tuple[SparkSession, dict[str, DataFrame]]] = {}
 
 
 def load_seeds(spark: SparkSession, seed_dir: str | None = None) -> dict[str, DataFrame]:
-    """All eight seeds as DataFrames (raw_value, clean_value), each proven to
-    hold at most ``MAX_SEED_ROWS`` rows (so they are safe to broadcast).
+    """All eight seeds as DataFrames (raw_value, clean_value).
 
-    Default: the packaged CSVs, as inline tables (local relations). With ``seed_dir``
-    (shared storage), each ``<column>_mapping.csv`` is read by Spark and its
-    key uniqueness is checked with a small aggregate.
+    Default: the packaged CSVs, as inline tables. With ``seed_dir`` (shared
+    storage), each ``<column>_mapping.csv`` is read by Spark.
     """
-    if seed_dir is None:
-        cached = _PACKAGED.get(id(spark))
-        if cached is not None and cached[0] is spark:
-            return dict(cached[1])
-    out: dict[str, DataFrame] = {}
-    for column in MAPPED_COLUMNS:
-        if seed_dir is None:
-            rows = seed_rows(column)
-            check_unique_keys(column, rows)
-            out[column] = _local_table(spark, rows)
-        else:
-            df = spark.read.option("header", True).schema(SEED_SCHEMA).csv(f"{seed_dir}/{seed_name(column)}.csv")
-            dup = (
-                df.groupBy(F.upper(F.trim(F.col("raw_value"), F.lit(TRIM_WHITESPACE))).alias("k"))
-                .count()
-                .where("count > 1")
-                .limit(1)
-                .collect()
-            )
-            if dup:
-                raise ValueError(f"seed {column}: raw value key {dup[0]['k']!r} is not unique")
-            n = df.count()
-            if n > MAX_SEED_ROWS:
-                raise ValueError(f"seed {column} has {n} rows, more than {MAX_SEED_ROWS}")
-            out[column] = df
-    if seed_dir is None:
-        # The packaged seeds never change: keep this session's inline tables.
-        _PACKAGED[id(spark)] = (spark, out)
-    return dict(out)
+    if seed_dir is not None:
+        return {c: read_seed(spark, f"{seed_dir}/{seed_name(c)}.csv") for c in MAPPED_COLUMNS}
+    cached = _PACKAGED.get(id(spark))
+    if cached is None or cached[0] is not spark:
+        # the packaged seeds never change: keep this session's inline tables
+        cached = _PACKAGED[id(spark)] = (spark, {c: inline_seed(spark, seed_rows(c)) for c in MAPPED_COLUMNS})
+    return dict(cached[1])
+
+
+def repeated_keys(seeds: dict[str, DataFrame]) -> DataFrame:
+    """(column_name, key, n_values, n_rows) of keys that a seed holds more than once: a report, not an error."""
+    parts = [
+        seed.select(
+            F.lit(column).alias("column_name"),
+            F.upper(F.trim(F.col("raw_value"), F.lit(TRIM_WHITESPACE))).alias("key"),
+            "clean_value",
+        )
+        for column, seed in seeds.items()
+    ]
+    keyed = reduce(DataFrame.unionByName, parts).where(F.col("key").isNotNull())
+    counted = keyed.groupBy("column_name", "key").agg(
+        F.count_distinct("clean_value").alias("n_values"), F.count(F.lit(1)).alias("n_rows")
+    )
+    return counted.where(F.col("n_rows") > 1)

@@ -74,7 +74,7 @@ def gen_costs(rng):
     out = []
     for _ in range(N):
         num = f"{rng.randint(0, 99999)}.{rng.randint(0, 9999):0{rng.choice([1, 2, 3, 4])}d}"
-        s = rng.choice(["", "£", "GBP ", "-", "$"]) + rng.choice([num, num.replace(".", ","), "1.2.3", ".", "unknown", "N/A", "5", "1,234.5"]) + rng.choice(["", " GBP", "p"])
+        s = rng.choice(["", "£", "GBP ", "-", "$"]) + rng.choice([num, num.replace(".", ","), "1.2.3", ".", "unknown", "N/A", "5", "1,234.5", "9" * 330, "8" * 35]) + rng.choice(["", " GBP", "p"])
         out.append(s)
     return out
 
@@ -92,10 +92,10 @@ def gen_dates(rng):
     out = []
     for _ in range(N):
         d, m, y = rng.randint(0, 33), rng.randint(0, 14), rng.randint(1965, 2031)
-        out.append(rng.choice([
+        out.append(_pad(rng, "") + rng.choice([
             f"{d:02d}/{m:02d}/{y}", f"{m}/{d}/{y}", f"{d}-{rng.choice(mons)}-{y % 100:02d}", f"{d}/{m}",
             f"{y}-{m:02d}-{d:02d}", "bad", "", f"{d:02d}/{m:02d}/{y % 100:02d}",
-        ]))
+        ]) + _pad(rng, ""))
     return out
 
 

@@ -111,6 +111,9 @@ def test_parse_full_name(spark):
 def test_parse_repair_date(spark):
     check(spark, [
         ("05-Mar-21", dt.date(2021, 3, 5)),
+        (" 03/04/2021", dt.date(2021, 4, 3)),         # padding is ignored
+        ("03/04/2021 ", dt.date(2021, 4, 3)),
+        ("\t03-Jan-21\u00a0", dt.date(2021, 1, 3)),
         ("05-MAR-21", dt.date(2021, 3, 5)),
         ("13/05/2021", dt.date(2021, 5, 13)),
         ("05/13/2021", dt.date(2021, 5, 13)),
@@ -140,6 +143,8 @@ def test_clean_currency_and_profit(spark):
         ("£1,234.56", 1234.56), ("1234.5637", 1234.56), ("12.345", 12.35), ("1.005", 1.01),
         ("100 GBP", 100.0), ("-5.00", 5.0), ("unknown", None), ("N/A", None), ("1.2.3", None),
         (".", None), ("", None), (None, None),
+        ("9" * 330, None),                            # beyond a double: no amount, not infinity
+        ("1" + "0" * 40, 1e40),
     ], G.clean_currency)
     df = spark.createDataFrame([(123.45, 67.89), (None, 1.0), (10.0, 10.01)], "a double, b double")
     out = [r[0] for r in df.select(G.money_difference(F.col("a"), F.col("b"))).collect()]

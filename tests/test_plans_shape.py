@@ -1,6 +1,12 @@
 """Physical-plan checks: broadcasts where bounded, pruned scans, no Python in the hot path."""
 
-from glazework.plans.queries import registry
+import pytest
+
+from checks.fixture import dirty_repairs
+from checks.registry import registry
+from glazework.operators.quality import columns_of_tests
+from glazework.plans.queries import raw_queries
+from glazework.session import materialize
 from tests.conftest import SF_SMALL
 
 
@@ -15,17 +21,31 @@ def test_staging_plan(spark):
     assert "SortMergeJoin" in plan                        # orders ⋈ customer by shuffle
 
 
-def test_expression_query_prunes_columns(spark):
-    df = registry()["clean_email"](spark, SF_SMALL)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "o_totalprice" not in plan or "customer_email" in df.columns
+@pytest.fixture(scope="module")
+def stored_raw(spark):
+    return materialize(dirty_repairs(spark, SF_SMALL), "raw")
+
+
+def test_expression_query_prunes_columns(spark, stored_raw):
+    plan = _plan(raw_queries()["clean_email"](stored_raw))
+    assert "ReadSchema: struct<job_id:bigint,customer_email:string>" in plan
     assert "BatchEvalPython" not in plan
 
 
-def test_dq_summary_reads_few_columns(spark):
-    df = registry()["dq_summary"](spark, SF_SMALL)
-    plan = _plan(df)
-    assert "customer_first_name" not in plan and "technician_mobile" not in plan
+@pytest.mark.parametrize("name, joins", [
+    ("dim_customer", 0), ("dim_technician", 0), ("dim_garage", 2), ("dim_vehicle", 1),
+    ("dim_repair_details", 4), ("dim_job_context", 2),
+])
+def test_dimensions_join_only_what_they_read(spark, stored_raw, name, joins):
+    """A mapping join per coded attribute, and the region lookup for the garage alone."""
+    plan = _plan(raw_queries()[name](stored_raw))
+    assert plan.count("BroadcastHashJoin") + plan.count("SortMergeJoin") == joins, plan
+
+
+def test_dq_summary_writes_the_columns_of_tests_only(spark, stored_raw):
+    assert len(columns_of_tests()) == 14
+    plan = raw_queries()["dq_summary"](stored_raw)._jdf.queryExecution().analyzed().toString()
+    assert "customer_first_name" not in plan and "technician_mobile" not in plan and "insurance_claimed" in plan
 
 
 def test_every_query_stays_in_the_jvm_and_pairs_nothing(spark):

@@ -6,7 +6,7 @@ from glazework.operators import lookup_key, region_lookup
 from glazework.plans.marts import build_dimensions, build_fact
 from glazework.plans.staging import build_staging
 from glazework.session import materialize
-from glazework.sources.fixture import dirty_repairs
+from checks.fixture import dirty_repairs
 from glazework.sources.seeds import load_seeds
 from glazework.operators.date_spine import dim_date
 from tests.conftest import SF_SMALL
@@ -24,7 +24,7 @@ def test_region_lookup_shuffle_path_matches(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        big = build_staging(raw, seeds, lookup=lk, max_broadcast_rows=0)
+        big = build_staging(raw, seeds, lookup=lk, max_broadcast_bytes=0)
         plan = big._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan
         assert small == _rows(big)
@@ -44,7 +44,7 @@ def test_fact_shuffle_path_matches(spark):
     for k in keys:
         spark.conf.set(k, "-1")
     try:
-        shuffled = build_fact(stg, dims, max_broadcast_rows=0)
+        shuffled = build_fact(stg, dims, max_broadcast_bytes=0)
         plan = shuffled._jdf.queryExecution().executedPlan().toString()
         assert plan.count("SortMergeJoin") >= 6
         assert broadcast == _rows(shuffled)
