@@ -2,8 +2,8 @@
 
 1. Examples: labelled rows that may be learnt from, at most ``max_examples`` of
    them by the hash of their id (the documented bound of the sample).
-2. Vocabulary: words of the examples that go with label 1 (``MIN_Z`` standard
-   deviations over the base rate, in ``MIN_DF`` examples or more), at most ``max_terms``.
+2. Vocabulary: words of the examples that go with label 1, in ``MIN_DF`` examples or more and
+   so often that less than one word of all would be there by chance; at most ``max_terms``.
 3. Every document's counts of those words, from its whole text; document frequencies
    are counted over all documents. Weights are (1 + ln tf) * idf, of length one.
 4. Index: postings by word, examples in blocks with the largest weight of each word and
@@ -44,7 +44,6 @@ from .common import stored
 MAX_EXAMPLES = 8000
 MAX_TERMS = 2048
 MIN_DF = 3
-MIN_Z = 5.0
 NEIGHBOURS = 10
 BLOCK = 64
 #: Blocks scored before the bound is used.
@@ -165,22 +164,20 @@ class Model:
 
 
 def _term_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(toxic, half, term) for each distinct word of each example."""
+    """(toxic, term) for each distinct word of each example."""
     for batch in batches:
-        toxic, half, terms = [], [], []
-        for y, h, text in zip(batch.column(0), batch.column(1), batch.column(2)):
+        toxic, terms = [], []
+        for y, text in zip(batch.column(0), batch.column(1)):
             found = sorted(set(words(text.as_py())))
             terms += found
             toxic += [y.as_py()] * len(found)
-            half += [h.as_py()] * len(found)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(toxic, pa.int32()), pa.array(half, pa.int32()), pa.array(terms, pa.string())],
-            names=["toxic", "half", "term"],
+            [pa.array(toxic, pa.int32()), pa.array(terms, pa.string())], names=["toxic", "term"]
         )
 
 
 def examples(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, max_examples: int) -> DataFrame:
-    """(id, toxic, half, text) of the labelled documents that are learnt from."""
+    """(id, toxic, text) of the labelled documents that are learnt from."""
     chosen = (
         labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
         .groupBy(F.col(id_col).alias("_ex_id"))
@@ -193,24 +190,27 @@ def examples(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, max
     )  # at most max_examples rows of two numbers
     return joined.groupBy(F.col("_ex_id").alias("_id")).agg(
         F.max("toxic").alias("toxic"),
-        F.pmod(F.xxhash64("_ex_id"), F.lit(2)).cast("int").alias("half"),
         F.min("_text").alias("_text"),
     )
 
 
 def vocabulary(sample: DataFrame, max_terms: int) -> list[str]:
-    """Words that go with label 1, most telling first; found in both halves where there is enough."""
+    """Words that go with label 1, most telling first."""
     n, toxic = sample.agg(F.count(F.lit(1)), F.sum("toxic")).first()
     rate = (toxic or 0) / n if n else 0.0
     if not 0 < rate < 1:
         return []
-    counted = sample.select("toxic", "half", "_text").mapInArrow(
-        _term_batches, "toxic int, half int, term string"
+    counted = sample.select("toxic", "_text").mapInArrow(
+        _term_batches, "toxic int, term string"
     ).groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("toxic").alias("hits"))
-    df = F.col("df")
-    z = (F.col("hits") - df * rate) / F.sqrt(df * rate * (1 - rate))
-    top = counted.where(df >= MIN_DF).withColumn("z", z).where(F.col("z") >= MIN_Z)
-    return [r["term"] for r in top.orderBy(F.desc("z"), "term").limit(max_terms).collect()]
+    counted = stored(counted, "example-terms")
+    df, hits = F.col("df"), F.col("hits")
+    misses = df - hits
+    # Chernoff: so many hits or more have a chance of exp(-gain) at most
+    gain = hits * F.log(hits / (df * rate)) + F.when(misses > 0, misses * F.log(misses / (df * (1 - rate)))).otherwise(0.0)
+    over = (df >= MIN_DF) & (hits > df * rate)
+    top = counted.where(over).withColumn("gain", gain).where(F.col("gain") >= math.log(max(counted.count(), 1)))
+    return [r["term"] for r in top.orderBy(F.desc("gain"), "term").limit(max_terms).collect()]
 
 
 def _count_batches(terms: list[str]):
