@@ -161,9 +161,11 @@ def quality_rules(
     """
     results = (*COUNTS, "base_failed", "host_rejected", "kept")
     carry = [c for c in (keep if keep is not None else docs.columns) if c not in results]
-    side = [c for c in (host_col, text_col) if c not in carry]
-    counted = base_counts(docs.select(*carry, *side), text_col).withColumn("_host", F.col(host_col))
-    counted = stored(counted.select(*carry, "_host", *COUNTS), "quality")
+    # the carried columns travel in one struct, so no name of theirs meets a working column
+    plain = docs.select(
+        F.struct(*carry).alias("_row"), F.col(host_col).alias("_host"), F.col(text_col).alias("_text")
+    )
+    counted = stored(base_counts(plain, "_text").drop("_text"), "quality")
     rejected = stored(
         host_verdicts(counted, "_host").where("host_rejected").select(F.col("host").alias("_bad_host")),
         "rejected-hosts",
@@ -176,7 +178,7 @@ def quality_rules(
         "base_failed": (n < MIN_WORDS) | (100 * r > MAX_REPEAT_PCT * n),
         "host_rejected": F.coalesce(F.col("_bad"), F.lit(False)),
     }).withColumn("kept", ~F.col("base_failed") & ~F.col("host_rejected"))
-    return out.select(*carry, *results)
+    return out.select("_row.*", *results)
 
 
 def oracle() -> str:

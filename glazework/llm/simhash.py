@@ -221,7 +221,8 @@ def link_fingerprints(nodes: DataFrame, max_bits: int = 4) -> DataFrame:
     )
     dealt = (
         cells.join(hot.select("cell", "blocks"), "cell", "left")
-        .select(F.xxhash64("cell", F.explode(pairs).alias("p")).alias("unit"), "fp")
+        .select("cell", "fp", F.explode(pairs).alias("pair"))
+        .select(F.xxhash64("cell", "pair").alias("unit"), "fp")
         if not hot.isEmpty()
         else cells.withColumnRenamed("cell", "unit")
     )

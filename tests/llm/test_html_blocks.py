@@ -1,0 +1,102 @@
+"""Operator 5: parsing, the network's gradient, held-out labels, whole pages."""
+
+import html as library
+import re
+
+import numpy as np
+import pytest
+
+from glazework.llm import html_blocks as H
+from glazework.llm.html_pages import leaf_blocks
+from glazework.llm.html_train import made_up_page, word_pool
+from tests.conftest import SF_SMALL
+
+
+@pytest.fixture(scope="module")
+def model():
+    return H.train()
+
+
+def texts(page):
+    return [b.text for b in leaf_blocks(page)]
+
+
+def test_blocks_of_odd_markup():
+    assert texts(None) == texts("") == texts("<p> \n </p>") == texts("<!-- x") == texts("<script>if (a<b) x()") == []
+    assert texts("a <b>b</b>c<br>d<p>e<p>f") == ["a bc d", "e", "f"]
+    assert texts("<p>x &amp; y &#233; &am") == ["x & y \xe9 &am"]
+    assert texts("<p title='a>b'>one</p><p class=x>two") == ["one", "two"]
+    assert texts("<p>cut off in a <a href='x") == ["cut off in a"]
+    assert texts('<p>1</p><style>p{}</style><script>var t="</p>";</script><title>t</title><p>2') == ["1", "2"]
+    assert texts("5 < 6 and 7 > 2") == ["5 < 6 and 7 > 2"]
+    path = leaf_blocks('<div class="Side-bar main"><ul id=nav><li>x')[0].path
+    assert path == (("div", "side", "bar", "main"), ("ul", "nav"), ("li",))
+
+
+def test_gradient_by_differences():
+    rng = np.random.default_rng(1)
+    pool = word_pool(rng, 200)
+    pages = [made_up_page(rng, pool) for _ in range(3)]
+    x, mask = H.padded([H.vectors([b for b, _ in p]) for p in pages])
+    y = np.zeros_like(mask)
+    for row, p in zip(y, pages):
+        row[: len(p)] = [label for _, label in p]
+    model = H.Labeller(rng)
+    grad, _ = model.gradients(x, mask, y)
+    for name, param in model.p.items():
+        flat, g = param.reshape(-1), grad[name].reshape(-1)
+        for i in np.argsort(-np.abs(g))[:3]:
+            old = flat[i]
+            flat[i] = old + 5e-3
+            _, up = model.gradients(x, mask, y)
+            flat[i] = old - 5e-3
+            _, down = model.gradients(x, mask, y)
+            flat[i] = old
+            assert (up - down) / 1e-2 == pytest.approx(g[i], rel=0.05, abs=1e-4), name
+
+
+def test_held_out_made_up_pages(model):
+    rng = np.random.default_rng(99)
+    pool = word_pool(rng)
+    pages = [made_up_page(rng, pool) for _ in range(200)]
+    labels = model.label([[b for b, _ in p] for p in pages])
+    wrong = sum(a != bool(b) for page, row in zip(pages, labels) for (_, b), a in zip(page, row))
+    assert wrong / sum(map(len, pages)) < 0.03
+
+
+def article(page):
+    body = re.search(r"<article>(.*?)(</article>|\Z)", page, re.S)[1]
+    blocks = re.split(r"</?(?:p|h1)>", body.replace("<br>", " "))
+    plain = (" ".join(library.unescape(re.sub(r"<[^>]*(>|\Z)", "", b)).split()) for b in blocks)
+    return "\n\n".join(b for b in plain if b)
+
+
+def test_pages_of_the_corpus(spark, model):
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
+    out = H.extract_main_text(pages, model=model).collect()
+    htmls = {r["page_id"]: r["html"] for r in pages.collect()}
+    assert len(out) == len(htmls)
+    for r in out:
+        assert r["text"] == article(htmls[r["page_id"]]) and r["n_chars"] == len(r["text"])
+
+
+def test_page_of_another_make(model):
+    page = """<html><body><div class="cookie-notice">We use cookies</div><header><h1>Site name</h1></header>
+    <div id="sidebar"><p>Popular posts this week and other things to read on a long day</p></div>
+    <main><article><h1>Title here</h1><p>First paragraph of the text, with several words in it.</p>
+    <div class="ad">Buy now, the best price you will find anywhere today.</div><p>Second paragraph goes on &amp; on.</p>
+    </article><section class="comments"><p>What a nice article, thank you very much.</p></section></main>
+    <form><p>Subscribe to our newsletter</p></form><footer>All rights reserved</footer></body></html>"""
+    got = H.main_texts(model, [page])[0]
+    assert got == "Title here\n\nFirst paragraph of the text, with several words in it.\n\nSecond paragraph goes on & on."
+
+
+def test_odd_rows(spark, model):
+    long = "<article>" + "<p>many words in one page</p>" * 20_000 + "</article>"
+    rows = [(1, "u", None), (2, None, ""), (3, "u", "<nav><a>menu</a></nav>"), (3, "u", long), (None, "u", "<article><p>x y z")]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").selectExpr("*", "'t' AS text", "1 AS _html")
+    out = H.extract_main_text(df, model=model).collect()
+    assert len(out) == 5 and out[0].asDict().keys() == {"page_id", "url", "text", "n_chars"}
+    by = sorted((r["n_chars"], r["page_id"] or -1) for r in out)
+    assert by[:3] == [(0, 1), (0, 2), (0, 3)] and by[-1][0] == 20_000 * 24 - 2 and by[3] == (5, -1)
+    assert H.extract_main_text(df.where("false"), model=model).collect() == []

@@ -1,0 +1,112 @@
+"""Operator 2: ids, coverage, capacity, balance."""
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from glazework.llm import packing as P
+from glazework.llm.queries import WORD_BPE
+from glazework.llm.word_bpe import CACHE_CHUNKS, encoder
+from tests.conftest import SF_SMALL
+from tests.llm.conftest import ODD
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def test_ids_are_the_library_s(spark, library):
+    mine = encoder(WORD_BPE)
+    rng = random.Random(2)
+    odd = [t or "" for t in ODD] + ["it's I'VE we'll", "\x85\xa0x y", "İIΣς", "12ab3 a_b!!c", "a\x1cb \x1d", "<|startoftext|>x"]
+    odd += ["".join(chr(rng.choice([rng.randrange(32, 127), rng.randrange(0xA0, 0x250), rng.randrange(1, 0x3000)]))
+                    for _ in range(30)) for _ in range(500)]
+    odd += [r["text"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    for text in odd:
+        assert mine.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids, text[:80]
+
+
+def test_cache_is_bounded(monkeypatch, library):
+    from glazework.llm import word_bpe
+
+    assert CACHE_CHUNKS > 0
+    monkeypatch.setattr(word_bpe, "CACHE_CHUNKS", 10)
+    small = word_bpe.WordBpe(WORD_BPE)
+    text = " ".join(f"word{i}" for i in range(100))
+    for _ in range(3):
+        assert small.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(small.cache) <= 100
+
+
+def test_pack_block_properties():
+    rng = random.Random(3)
+    for _ in range(100):
+        lengths = [max(1, int(rng.lognormvariate(6, 1.5))) for _ in range(rng.randrange(1, 300))]
+        room = P.capacities(sum(lengths))
+        assert sum(room) == sum(lengths) and all(c == P.SEQ_LEN or c & (c - 1) == 0 for c in room)
+        by_seq, by_doc = {}, {}
+        for doc, start, n, seq, offset in P.pack_block(lengths):
+            by_seq.setdefault(seq, []).append((offset, n))
+            by_doc.setdefault(doc, []).append((start, n))
+        for found, totals in ((by_seq, room), (by_doc, lengths)):
+            for k, total in enumerate(totals):
+                at = 0
+                for start, n in sorted(found[k]):
+                    assert start == at and n > 0
+                    at += n
+                assert at == total
+
+
+def test_costs_are_balanced_without_more_cuts():
+    rng = random.Random(4)
+    lengths = [rng.randrange(20, 1500) for _ in range(1500)]
+    pieces = P.pack_block(lengths)
+    costs = {}
+    for _, _, n, seq, _ in pieces:
+        costs[seq] = costs.get(seq, 0.0) + P.cost(n)
+    whole = [costs[s] for s, c in enumerate(P.capacities(sum(lengths))) if c == P.SEQ_LEN]
+    naive, used, cut = {}, 0, 0
+    for d in range(len(lengths)):  # documents in turn, cut at the sequence ends
+        left = lengths[d]
+        while left:
+            n = min(left, P.SEQ_LEN - used % P.SEQ_LEN)
+            naive[used // P.SEQ_LEN] = naive.get(used // P.SEQ_LEN, 0.0) + P.cost(n)
+            used, left, cut = used + n, left - n, cut + 1
+    assert np.std(whole) < np.std(list(naive.values())[:-1])
+    assert len(pieces) <= cut + 11  # the short sequences
+
+
+def test_documents_round_trip(spark, documents, library):
+    texts = ODD + ["word " * 9000, "tie one", "tie two"]
+    docs = documents(texts, extra=["1 AS start", "2 AS _text"])
+    out = P.pack_documents(docs, WORD_BPE, keep=["start"]).collect()
+    by_doc, by_seq = {}, {}
+    for r in out:
+        by_doc.setdefault(r["doc_id"], []).append(r)
+        by_seq.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for i, text in enumerate(texts):
+        ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, P.END_ID], dtype="<u4")
+        at = 0
+        for r in sorted(by_doc[i], key=lambda r: r["start"]):
+            part = ids[at : at + r["length"]]
+            assert (r["start"], r["doc_tokens"], r["ids_crc32"]) == (at, len(ids), zlib.crc32(part.tobytes()))
+            at += r["length"]
+        assert at == len(ids)
+    padding = 0
+    for pieces in by_seq.values():
+        at = 0
+        for offset, n in sorted(pieces):
+            assert offset == at
+            at += n
+        assert at <= P.SEQ_LEN
+        padding += 0 if at & (at - 1) == 0 else P.SEQ_LEN - at
+    assert padding == 0
+
+
+def test_empty_table(spark, documents):
+    assert P.pack_documents(documents(["x"]).where("false"), WORD_BPE).collect() == []

@@ -1,0 +1,81 @@
+"""Operator 4: the law, the slots and the movement."""
+
+import zlib
+
+from glazework.llm import sharding as S
+from glazework.llm.queries import QUERIES
+from tests.conftest import SF_SMALL
+from tests.llm.conftest import ODD
+
+
+def check_law(rows, shards):
+    by = {}
+    for r in rows:
+        by.setdefault(r["shard"], []).append(r["slot"])
+    sizes = [len(by.get(s, [])) for s in range(shards)]
+    assert max(sizes) - min(sizes) <= 1 and sum(sizes) == len(rows)
+    assert all(sorted(v) == list(range(len(v))) for v in by.values()) and set(by) <= set(range(shards))
+
+
+def test_query_holds_the_rows_law(spark):
+    out = QUERIES["op4_sharding"](spark, SF_SMALL).collect()
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    assert len(out) == len(texts)
+    check_law(out, 16)
+    for r in out:
+        raw = texts[r["doc_id"]].encode()
+        assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(raw) + 1, zlib.crc32(raw), "rows", None)
+
+
+def test_odd_texts_null_and_hot_keys(spark, documents):
+    ids = [7] * 400 + [None] * 5 + list(range(100, 295))  # two thirds of the rows on one key
+    texts = [ODD[i % len(ODD)] for i in range(600)]
+    out = S.assign_shards(documents(texts, ids=ids), 16).collect()
+    check_law(out, 16)
+    assert sorted((r["doc_id"] is None, r["doc_id"]) for r in out if r["doc_id"]) == sorted((False, i) for i in ids if i)
+
+
+def test_fewer_rows_than_shards_and_none(spark, documents):
+    check_law(S.assign_shards(documents(["a", "b", None]), 16).collect(), 16)
+    assert S.assign_shards(documents(["a"]).where("false"), 4).collect() == []
+
+
+def test_one_more_shard_moves_little(spark, documents):
+    docs = documents(["t"] * 4000)
+    before = {r["doc_id"]: r["shard"] for r in S.assign_shards(docs, 16).collect()}
+    after = {r["doc_id"]: r["shard"] for r in S.assign_shards(docs, 17).collect()}
+    moved = sum(before[i] != after[i] for i in before) / len(before)
+    assert 1 / 17 - 0.01 < moved < 0.2  # a modulo would move 94 %
+
+
+def test_plan_places_every_rank_once():
+    counts = {p: (p * 37) % 11 for p in range(0, S.POINTS, 3)} | {5: 9000}
+    plan = S.plan_loads(counts, 16)
+    for point, n in counts.items():
+        at = 0
+        for _, lo, hi, _, _ in sorted(x for x in plan if x[0] == point):
+            assert lo == at
+            at = hi
+        assert at == n
+    loads = [0] * 16
+    for _, lo, hi, shard, slot in sorted(plan, key=lambda x: (x[3], x[4])):
+        assert slot == loads[shard]
+        loads[shard] += hi - lo
+    assert max(loads) - min(loads) <= 1
+
+
+def test_keys_stay_on_their_arc_while_there_is_room():
+    """Most rows sit where the plain ring puts them; the rest went clockwise from there."""
+    from bisect import bisect_left
+
+    counts = dict.fromkeys(range(S.POINTS), 5)
+    nodes = S.ring(16)
+    points = [p for p, _ in nodes]
+    home = {p: nodes[bisect_left(points, p) % len(nodes)][1] for p in counts}
+    stay = sum(hi - lo for p, lo, hi, s, _ in S.plan_loads(counts, 16) if home[p] == s)
+    assert stay / (5 * S.POINTS) > 0.85
+
+
+def test_clashing_columns(spark, documents):
+    docs = documents(["a", "b"], extra=["1 AS shard", "2 AS _rid", "3 AS size", "4 AS p"])
+    assert S.assign_shards(docs, 2).columns == ["doc_id", "size", "text_crc32", "shard", "slot"]

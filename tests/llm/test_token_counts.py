@@ -1,0 +1,64 @@
+"""Operator 10 against a byte-by-byte count."""
+
+import pytest
+
+from glazework.llm import token_counts as C
+from glazework.llm.byte_bpe import byte_encoder
+from glazework.llm.queries import BYTE_BPE, QUERIES
+from tests.conftest import SF_SMALL
+from tests.llm.conftest import ODD
+
+
+def by_bytes(text, rule, separator="\n"):
+    """(tokens of each section, tokens that cross), one byte at a time."""
+    raw, sep = text.encode(), separator.encode()
+    section, home, at = 0, [], 0
+    while at < len(raw):
+        step = len(sep) if raw.startswith(sep, at) else 1
+        home += [section] * step
+        section += step > 1 or raw[at : at + 1] == sep
+        at += step
+    counts, crossing, at = [0] * (section + 1), 0, 0
+    engine = byte_encoder(BYTE_BPE).engine
+    for token in engine.encode_ordinary(text):
+        n = len(engine.decode_single_token_bytes(token))
+        span = home[at : at + n]
+        at += n
+        crossing += len(set(span)) > 1
+        best = span[0] if rule == "first" else max(sorted(set(span)), key=lambda s: (span.count(s), -s))
+        counts[best] += 1
+    return counts, crossing
+
+
+TEXTS = [t or "" for t in ODD] + ["\n\n\n\n", "a\n\n\nb", "x. \n  y\n", "end.\n\n", "a\n" * 400]
+
+
+@pytest.mark.parametrize("rule", C.RULES)
+@pytest.mark.parametrize("separator", ["\n", ". "])
+def test_documents_by_brute_force(spark, documents, rule, separator):
+    docs = documents(TEXTS, extra=["1 AS n_tokens", "2 AS _text"])
+    out = {r["doc_id"]: r for r in C.count_tokens(docs, BYTE_BPE, separator=separator, rule=rule).collect()}
+    assert out[0]["section_tokens"] == [] and out[0]["n_tokens"] == 0 == out[0]["n_sections"]  # null
+    for i, text in enumerate(TEXTS[1:], 1):
+        r = out[i]
+        assert (list(r["section_tokens"]), r["n_crossing"]) == by_bytes(text, rule, separator), (text[:50], rule)
+        assert sum(r["section_tokens"]) == r["n_tokens"] and len(r["section_tokens"]) == r["n_sections"]
+
+
+def test_some_tokens_cross():
+    _, crossing = by_bytes("a\n\n\nb", "most")
+    assert crossing > 0
+
+
+def test_empty_table_and_rule_names(spark, documents):
+    assert C.count_tokens(documents(["x"]).where("false"), BYTE_BPE).collect() == []
+    with pytest.raises(ValueError):
+        C.count_tokens(documents(["x"]), BYTE_BPE, rule="last")
+
+
+def test_query(spark):
+    out = QUERIES["op10_token_counts"](spark, SF_SMALL).collect()
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    assert len(out) == len(texts)
+    for r in out[:40]:
+        assert (list(r["section_tokens"]), r["n_crossing"]) == by_bytes(texts[r["doc_id"]], "most")

@@ -1,0 +1,114 @@
+"""Operator 8: exact neighbours, held-out accuracy, odd inputs."""
+
+import math
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from glazework.llm import toxicity as T
+from glazework.llm.queries import QUERIES
+from tests.llm.conftest import ODD
+
+BAD = ["vile", "rotten", "nasty", "awful"]
+
+
+def made_corpus(n=900, seed=1):
+    """(texts, labels): every tenth text has a few bad words in it."""
+    rng = random.Random(seed)
+    words = ["".join(rng.choice("aeioklmnprst") for _ in range(rng.randrange(2, 7))) for _ in range(400)]
+    texts, toxic = [], []
+    for i in range(n):
+        body = [rng.choice(words) for _ in range(rng.randrange(20, 80))]
+        if i % 10 == 0:
+            for _ in range(rng.randrange(2, 6)):
+                body[rng.randrange(len(body))] = rng.choice(BAD)
+        texts.append(" ".join(body))
+        toxic.append(int(i % 10 == 0))
+    return texts, toxic
+
+
+@pytest.fixture(scope="module")
+def corpus(spark, documents):
+    texts, toxic = made_corpus()
+    labels = spark.createDataFrame([(i, 0, y) for i, y in enumerate(toxic)], "doc_id bigint, quality int, toxic int")
+    return documents(texts), labels, texts, toxic
+
+
+def test_nearest_by_brute_force():
+    rng = np.random.default_rng(2)
+    vectors = []
+    for _ in range(700):
+        terms = rng.choice(40, rng.integers(1, 8), replace=False)
+        vectors.append(T.unit({int(t): int(rng.integers(1, 4)) for t in terms}, np.linspace(1, 3, 40)))
+    index = T.BlockMaxIndex(vectors, 40, block=16)
+    dense = np.zeros((len(vectors), 40))
+    for row, v in zip(dense, vectors):
+        for t, w in v.items():
+            row[t] = w
+    for i in range(0, 700, 7):
+        for without in (-1, i):
+            cosines = dense @ dense[i]
+            if without >= 0:
+                cosines[without] = 0
+            order = np.lexsort((np.arange(700), -np.round(cosines, 12)))[:10]
+            order = order[cosines[order] > 0]
+            rows, got = index.nearest(vectors[i], 10, without)
+            assert np.allclose(got, cosines[order]) and len(rows) == len(order)
+    assert index.nearest({}, 10)[0].size == 0
+
+
+def test_held_out_accuracy_and_no_leak(spark, corpus):
+    docs, labels, texts, toxic = corpus
+    out = {r["doc_id"]: r for r in T.score_documents(docs, labels).collect()}
+    held = [i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert [i for i in sorted(out) if out[i]["held_out"]] == held
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.7) for r in out.values())
+    right = sum(out[i]["predicted"] == toxic[i] for i in held)
+    caught = sum(out[i]["predicted"] for i in held if toxic[i])
+    assert right / len(held) > 0.98 and caught / sum(toxic[i] for i in held) > 0.9
+    assert not {n for r in out.values() for n in r["neighbours"]} & set(held)  # evidence comes from the others
+    # labels of the held-out rows change nothing
+    flipped = labels.selectExpr("doc_id", "quality", "CASE WHEN crc32(cast(cast(doc_id AS string) AS binary)) % 3 = 1 THEN 1 - toxic ELSE toxic END AS toxic")
+    again = {r["doc_id"]: r["score"] for r in T.score_documents(docs, flipped).collect()}
+    assert all(abs(again[i] - out[i]["score"]) < 1e-9 for i in out)
+
+
+def test_sample_bound_is_kept(corpus):
+    docs, labels, _, _ = corpus
+    assert T.examples(docs, labels, "doc_id", "text", 50).count() == 50
+
+
+def test_odd_texts_and_labels(spark, documents, corpus):
+    docs, labels, texts, toxic = corpus
+    odd = documents(ODD, ids=[None, *range(10_000, 10_000 + len(ODD) - 1)]).unionByName(docs).unionByName(docs.limit(5))
+    more = labels.unionByName(spark.createDataFrame([(None, 1, 1), (3, 1, None), (0, 1, 0)], labels.schema))
+    out = T.score_documents(odd, more).collect()
+    assert len(out) == len(ODD) + len(texts) + 5
+    low = [r["score"] for r in out if r["doc_id"] is None or r["doc_id"] >= 10_000]
+    assert len(set(low)) == 1 and low[0] < 0.2  # none has a telling word
+
+
+def test_without_examples(spark, documents, corpus):
+    _, labels, _, _ = corpus
+    docs = documents(["a b", None])
+    scores = [r["score"] for r in T.score_documents(docs, labels.where("false")).collect()]
+    assert scores == pytest.approx([0.0, 0.0], abs=1e-9)
+    assert T.score_documents(docs.where("false"), labels).collect() == []
+
+
+def test_stage_drops_what_the_query_predicts(corpus):
+    docs, labels, _, _ = corpus
+    wide = docs.selectExpr("*", "1 AS score", "2 AS _text")
+    kept = T.drop_toxic(wide, labels)
+    clean = {r["doc_id"] for r in T.score_documents(docs, labels).collect() if not r["predicted"]}
+    assert kept.columns == wide.columns and {r["doc_id"] for r in kept.collect()} == clean
+
+
+def test_query_returns_every_document(spark):
+    from tests.conftest import SF_SMALL
+
+    out = QUERIES["op8_toxicity"](spark, SF_SMALL).collect()
+    assert len(out) == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
+    assert not any(math.isnan(r["score"]) for r in out)
