@@ -32,10 +32,12 @@ from pyspark.sql import functions as F
 from .html_pages import Block, leaf_blocks
 from .html_train import made_up_page, word_pool
 
-PATH_DIMS, LAST_DIMS, WORD_DIMS, SIZES = 512, 256, 32, 5
+PATH_DIMS, LAST_DIMS, WORD_DIMS, SIZES = 512, 512, 32, 5
 DIMS = PATH_DIMS + LAST_DIMS + WORD_DIMS + SIZES
 HIDDEN = 24
-TRAIN_PAGES = 1200
+#: Salt of the hashed names, chosen so that few containers of the made-up pages share a place.
+SALT = 1315
+TRAIN_PAGES = 1600
 EPOCHS = 4
 BATCH_PAGES = 32
 RATE = 0.01
@@ -49,7 +51,7 @@ def path_slots(path: tuple[tuple[str, ...], ...]) -> tuple[int, ...]:
     slots = set()
     for depth, element in enumerate(reversed(path)):
         for i, word in enumerate(element):
-            key = f"{'w' if i else 'e'}:{word}".encode()
+            key = f"{SALT}{'w' if i else 'e'}:{word}".encode()
             slots.add(zlib.crc32(key) % PATH_DIMS)
             if depth < 2:
                 slots.add(PATH_DIMS + zlib.crc32(key, depth + 1) % LAST_DIMS)

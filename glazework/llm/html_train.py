@@ -83,11 +83,11 @@ def made_up_page(rng: np.random.Generator, pool: list[str]) -> list[tuple[Block,
         main = (*main, (("div",), ("section",), ("div", "body"))[rng.integers(3)])
     n = int(rng.integers(1, 14))
     for i in range(n):
-        if i and rng.random() < 0.08:
+        if i and rng.random() < 0.15:
             _around(rng, pool, main, out, 4)
         words = int(rng.integers(1, 12) if rng.random() < 0.4 else rng.integers(12, 120))
         out.append((Block(main + (_inner(rng, i == 0) if rng.random() < 0.95 else ()), _text(rng, pool, words, False)), 1))
-    for _ in range(int(rng.integers(0, 2))):
+    for _ in range(int(rng.integers(0, 3))):
         _around(rng, pool, main, out, 6)
     for _ in range(int(rng.integers(0, 4))):
         _around(rng, pool, path if rng.random() < 0.5 else top, out)

@@ -6,13 +6,13 @@ import numpy as np
 import pytest
 
 from glazework.llm import lm_scoring as L
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_MID
 from tests.llm.conftest import ODD
 
 
 @pytest.fixture(scope="module")
 def trained(spark):
-    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").repartition(2)
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").repartition(2)
     return docs, L.train(docs)
 
 
@@ -88,7 +88,7 @@ def test_order_matters(trained):
     docs, model = trained
     rng = np.random.default_rng(2)
     better = total = 0
-    for r in docs.where("n_chars > 800").limit(40).collect():
+    for r in docs.where("n_chars > 800").limit(20).collect():
         words = r["text"].split()
         shuffled = " ".join(rng.permutation(words))
         better += slow_score(model, " ".join(words)) > slow_score(model, shuffled)

@@ -36,7 +36,7 @@ TEXTS = [t or "" for t in ODD] + ["\n\n\n\n", "a\n\n\nb", "x. \n  y\n", "end.\n\
 @pytest.mark.parametrize("rule", C.RULES)
 @pytest.mark.parametrize("separator", ["\n", ". "])
 def test_documents_by_brute_force(spark, documents, rule, separator):
-    docs = documents(TEXTS, extra=["1 AS n_tokens", "2 AS _text"])
+    docs = documents([None, *TEXTS[1:]], extra=["1 AS n_tokens", "2 AS _text"])
     out = {r["doc_id"]: r for r in C.count_tokens(docs, BYTE_BPE, separator=separator, rule=rule).collect()}
     assert out[0]["section_tokens"] == [] and out[0]["n_tokens"] == 0 == out[0]["n_sections"]  # null
     for i, text in enumerate(TEXTS[1:], 1):
