@@ -16,7 +16,7 @@ import sys
 def _summary(plan: str) -> list[str]:
     out = []
     for line in plan.splitlines():
-        s = line.strip().lstrip(":+- ").strip()
+        s = re.sub(r"^[\s:+|-]*(\*?\s*\(\d+\)\s*)?", "", line)
         if s.startswith(("BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin", "BroadcastNestedLoopJoin",
                          "CartesianProduct")):
             out.append("join      " + re.sub(r"#\d+L?", "", s)[:150])
@@ -25,7 +25,7 @@ def _summary(plan: str) -> list[str]:
         elif s.startswith("HashAggregate"):
             out.append("aggregate " + re.sub(r"#\d+L?", "", s)[:110])
         elif s.startswith("FileScan") or s.startswith("Scan parquet"):
-            schema = re.search(r"ReadSchema: (struct<[^>]*>)", s)
+            schema = re.search(r"ReadSchema: (struct<.*>)", s)
             pushed = re.search(r"PushedFilters: (\[[^\]]*\])", s)
             where = re.search(r"Location: \w+\(\d+ paths\)\[([^\]]*)\]", s)
             name = os.path.basename((where.group(1) if where else "").rstrip("/,. ")).rsplit("-", 1)[0]
