@@ -35,7 +35,7 @@ MAX_DUP_LINE_PCT = 10
 #: A host is rejected when its shrunk failure rate of any rule is over this.
 HOST_LIMIT = 0.5
 #: Bounds of the prior's weight, in documents.
-PRIOR_WEIGHT = (1.0, 1000.0)
+PRIOR_WEIGHT = (10.0, 1000.0)
 RULES = ("short", "repeats", "symbols", "dup_lines")
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
