@@ -38,6 +38,7 @@ def _summary(plan: str) -> list[str]:
 
 def main(argv: list[str]) -> None:
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    from glazework.constants import TRIM_WHITESPACE
     from glazework.plans.queries import raw_queries
     from glazework.session import local_session, materialize
     from checks.fixture import dirty_repairs
@@ -56,7 +57,7 @@ def main(argv: list[str]) -> None:
         df = qs[name](raw)
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
-        lines = _summary(plan)
+        lines = _summary(plan.replace(TRIM_WHITESPACE, "white space"))  # it holds line ends
         print(f"## {name}\n\n```")
         print("\n".join(lines))
         print("```\n")
