@@ -34,7 +34,8 @@ class WordBpe:
 
     def __init__(self, path: str) -> None:
         self.plain = Tokenizer.from_file(path)
-        self.cache: dict[str, tuple[int, ...]] = {}
+        #: the little-endian uint32 ids of a chunk
+        self.cache: dict[str, bytes] = {}
         vocab = self.plain.get_vocab(with_added_tokens=False)
         alphabet = _byte_alphabet()
         ranks: dict[bytes, int] = {}
@@ -51,29 +52,29 @@ class WordBpe:
         if END.encode() not in ranks:
             ranks[END.encode()] = len(to_id)
             to_id.append(-1)
-        self.to_id = np.array(to_id, dtype=np.int64)
+        self.to_id = np.array(to_id).astype("<u4")
         self.ends = np.array([raw.endswith(END.encode()) for raw in ranks])
         self.engine = tiktoken.Encoding(
             "word-bpe", pat_str=f"[^{END}]+{END}", mergeable_ranks=ranks, special_tokens={}
         )
 
-    def _encode_new(self, new: list[str]) -> None:
+    def _encode_new(self, new: set[str]) -> None:
         """Put chunks that the cache lacks into it, in one call of each engine."""
-        fast = [c for c in new if PLAIN.fullmatch(c) and "<|" not in c]
+        fast = [c for c in new if (c.isascii() and c.isprintable() or PLAIN.fullmatch(c)) and "<|" not in c]
         if fast:
-            pieces = [find_pieces(c.lower()) for c in fast]
+            pieces = [[c.lower()] if c.isalpha() else find_pieces(c.lower()) for c in fast]
             joined = END.join(chain.from_iterable(pieces)) + END
             ranks = np.array(self.engine.encode_ordinary(joined), dtype=np.int64)
             # a chunk's ids end with its last piece, and a piece with a token that holds the end
             last = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces))) - 1
-            stops = (np.flatnonzero(self.ends[ranks])[last] + 1).tolist()
-            ids = self.to_id[ranks].tolist()
-            self.cache.update((c, tuple(ids[a:b])) for c, a, b in zip(fast, [0, *stops], stops))
+            stops = (4 * (np.flatnonzero(self.ends[ranks])[last] + 1)).tolist()
+            ids = self.to_id[ranks].tobytes()
+            self.cache.update((c, ids[a:b]) for c, a, b in zip(fast, [0, *stops], stops))
         if len(fast) < len(new):
             known = self.cache
             slow = [c for c in new if c not in known]
             encoded = self.plain.encode_batch(slow, add_special_tokens=False)
-            known.update((c, tuple(e.ids)) for c, e in zip(slow, encoded))
+            known.update((c, np.array(e.ids, dtype="<u4").tobytes()) for c, e in zip(slow, encoded))
 
     def ids(self, text: str) -> np.ndarray:
         # the separators \x1c-\x1f are white space to str.split, but not to the vocabulary
@@ -81,11 +82,10 @@ class WordBpe:
         distinct = set(chunks)
         if len(self.cache) + len(distinct) > CACHE_CHUNKS:
             self.cache.clear()
-        new = [c for c in distinct if c not in self.cache]
+        new = distinct.difference(self.cache)
         if new:
             self._encode_new(new)
-        flat = chain.from_iterable(map(self.cache.__getitem__, chunks))
-        return np.fromiter(flat, dtype=np.uint32)
+        return np.frombuffer(b"".join(map(self.cache.__getitem__, chunks)), dtype="<u4")
 
 
 def _byte_alphabet() -> dict[str, int]:
