@@ -1,37 +1,49 @@
 """Masked pseudo-likelihood of documents under a bidirectional window network (operator 3).
 
-Tokens are the lower-cased words of a whole text, in ``CLASSES`` classes: the ``OWN`` most
-frequent hash buckets of the corpus have one each, the other buckets share the rest.
-The network predicts a token from the ``SIDE`` tokens on either side: each neighbour
-adds the row of its position's table, tanh, then a softmax over the classes. A document's score
-is the sum of the log-probabilities of all its tokens, each given its neighbours.
+Tokens are the lower-cased words of a whole text. Each has one of ``CLASSES`` classes: the ``OWN``
+most frequent hash buckets of the corpus have one each, the other buckets share the rest. A token's
+probability is P(class | neighbours) * P(word | class):
+
+* the network predicts the class from the ``SIDE`` tokens on either side: each neighbour
+  adds the row of its position's table, tanh, then a softmax over the classes;
+* the word in its class goes by the counts of every word of the corpus, each plus one, and one
+  for all words that the corpus doesn't hold.
+
+A document's score is the sum of the log-probabilities of all its tokens, each given its neighbours.
 
 Training, in numpy on Spark's partitions: in each of ``ROUNDS`` rounds every task starts
 from the current weights, takes Adagrad steps on its own documents (one token in ``STRIDE``
 as the target, from a place that depends on the text, so every text takes part), and returns its
 weights times the number of its targets. Spark sums them by weight; their mean starts the next
-round. Bucket counts, too, are taken over all words of all documents.
+round. Word counts, too, are taken over all words of all documents.
 
 Defined results: a text without words (null, empty, blank) has 0 tokens, sum 0 and a null
 mean; repeated rows score alike; an empty table gives no rows (and no training). Extra columns are
 carried only if named.
 
-Scale: 2 + ``ROUNDS`` passes of the texts, without a shuffle of texts. Counts (at most
-``BUCKETS`` rows a task) and weights (some 41,000 rows a task) are summed by Spark with
-map-side combining. The driver gets the ``OWN`` best buckets and one set of weights.
+Scale: 2 + ``ROUNDS`` passes of the texts, without a shuffle of texts. Words are counted map-side
+and the table of all words is written; it grows with the corpus. Words with a share of 1 / ``HEAD``
+or more (so at most ``HEAD`` words) are sent to the tasks. The other words of each row
+meet the table by a join on the word, where none is frequent, and are summed by row. Weights (some
+41,000 rows a task) are summed with map-side combining. The driver gets at most ``BUCKETS`` counts,
+``HEAD`` words and one set of weights.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 BUCKETS = 1 << 16
 OWN, SHARED = 192, 64
 CLASSES = OWN + SHARED
@@ -47,6 +59,19 @@ RATE = 0.1
 SEED = 7
 #: Tokens scored at a time.
 CHUNK = 8192
+#: Words with this share of all words or more are sent to the tasks.
+HEAD = 1 << 16
+#: Distinct words counted in a task before they are passed on.
+HELD_WORDS = 1 << 18
+#: Longer words are kept by a digest.
+LONG_WORD = 64
+#: Log-counts are summed as whole numbers of 1 / ``UNIT``, so that their order doesn't matter.
+UNIT = 1 << 26
+
+
+def word_key(word: bytes) -> bytes:
+    """What a word is counted and joined by."""
+    return word if len(word) <= LONG_WORD else b" " + blake2b(word).digest()
 
 
 def buckets(raw: bytes | None) -> np.ndarray:
@@ -142,27 +167,63 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.R
             yield batch.slice(k, rows)
 
 
-def _bucket_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(BUCKETS, np.int64)
+def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts: Counter[bytes] = Counter()
+
+    def taken() -> pa.RecordBatch:
+        arrays = [
+            pa.array([word_key(w) for w in counts], pa.binary()),
+            pa.array([zlib.crc32(w) % BUCKETS for w in counts], pa.int32()),
+            pa.array(counts.values(), pa.int64()),
+        ]
+        counts.clear()
+        return pa.RecordBatch.from_arrays(arrays, names=["word", "bucket", "n"])
+
     for batch in batches:
         for text in batch.column(0):
-            counts += np.bincount(buckets(text.as_py()), minlength=BUCKETS)
-    some = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(counts[some], pa.int64())], names=["bucket", "n"])
+            counts.update((text.as_py() or b"").lower().split())
+            if len(counts) > HELD_WORDS:
+                yield taken()
+    yield taken()
+
+
+def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(word, bucket, n) of every word of all texts, written to the shared folder."""
+    raw = docs.select(F.col(text_col).cast("binary").alias("_raw"))
+    counted = raw.mapInArrow(_word_batches, "word binary, bucket int, n bigint")
+    return stored(counted.groupBy("word", "bucket").agg(F.sum("n").alias("n")), "words")
 
 
-def class_map(raw: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(class of each bucket, count of each class) from the words of all texts."""
-    sums = raw.mapInArrow(_bucket_batches, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
-    rows = sums.orderBy(F.desc("n"), "bucket").limit(OWN).collect()
+def class_map(words: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(class of each bucket, tokens in each class, words in each class) from the counts of all words."""
+    sums = np.zeros((2, BUCKETS))
+    for r in words.groupBy("bucket").agg(F.sum("n"), F.count(F.lit(1))).collect():  # at most BUCKETS rows
+        sums[:, r[0]] = r[1:]
     classes = OWN + np.arange(BUCKETS) % SHARED
-    for i, r in enumerate(rows):
-        classes[r["bucket"]] = i
-    total = sums.agg(F.sum("n")).first()[0] or 0
-    counts = np.zeros(CLASSES)
-    counts[: len(rows)] = [r["n"] for r in rows]
-    counts[OWN:] = (total - counts.sum()) / SHARED
-    return classes, counts
+    best = np.argsort(-sums[0], kind="stable")[:OWN]
+    best = best[sums[0][best] > 0]
+    classes[best] = np.arange(len(best))
+    counts = np.bincount(classes, sums[0], CLASSES)
+    return classes, counts, np.bincount(classes, sums[1], CLASSES)
+
+
+@dataclass
+class Words:
+    """Log-counts of words, for their probability within a class."""
+
+    table: DataFrame  # word, n
+    head: dict[bytes, int]  # ln(n + 1) of the frequent words, in UNIT
+    whole: np.ndarray  # ln(tokens + words + 1) of each class
+
+    @classmethod
+    def of(cls, words: DataFrame) -> Words:
+        _, tokens, kinds = class_map(words)
+        often = words.where(F.col("n") * HEAD >= float(tokens.sum())).collect()  # at most HEAD rows
+        return cls(words, {bytes(r["word"]): units(r["n"]) for r in often}, np.log(tokens + kinds + 1.0))
+
+
+def units(n: int) -> int:
+    return int(np.rint(np.log(n + 1.0) * UNIT))
 
 
 def _train_batches(shared, turn: int):
@@ -195,11 +256,13 @@ def _train_batches(shared, turn: int):
     return run
 
 
-def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+def train(
+    docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, words: DataFrame | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """(class of each bucket, weights) fitted to all documents."""
     sc = docs.sparkSession.sparkContext
     raw = docs.select(F.col(text_col).cast("binary").alias("_raw"))
-    classes, counts = class_map(raw)
+    classes, counts, _ = class_map(words or word_counts(docs, text_col))
     flat = Network.start(counts).flat()
     for turn in range(rounds):
         shared = sc.broadcast((classes, flat))
@@ -213,22 +276,46 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tupl
     return classes, flat
 
 
+def _rest(text: bytes | None, head: dict[bytes, int]) -> tuple[int, list[tuple[bytes, int]]]:
+    """(log-counts of a text's frequent words, its other words with their counts)."""
+    total, rest = 0, []
+    for word, n in Counter((text or b"").lower().split()).items():
+        key = word_key(word)
+        if key in head:
+            total += n * head[key]
+        else:
+            rest.append((key, n))
+    return total, rest
+
+
 def _score_batches(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, flat = shared.value
+        (classes, flat), head, whole = shared.value
         net = Network.of(flat)
         for batch in _slices(batches):
             carried = batch.num_columns - 1
-            line, places, sizes = padded_line([classes[buckets(t.as_py())] for t in batch.column(carried)])
-            run_sums = np.r_[0.0, np.cumsum(net.log_probs(line, places))]
+            texts = [t.as_py() for t in batch.column(carried)]
+            line, places, sizes = padded_line([classes[buckets(t)] for t in texts])
+            log_probs = net.log_probs(line, places)
+            if whole is not None:
+                log_probs -= whole[line[places]]
+            run_sums = np.r_[0.0, np.cumsum(log_probs)]
             ends = np.cumsum(sizes)
-            sums = run_sums[ends] - run_sums[ends - sizes]
-            means = [float(s / n) if n else None for s, n in zip(sums, sizes)]
             arrays = [
                 *(batch.column(i) for i in range(carried)),
-                pa.array(sizes, pa.int64()), pa.array(sums, pa.float64()), pa.array(means, pa.float64()),
+                pa.array(sizes, pa.int64()), pa.array(run_sums[ends] - run_sums[ends - sizes], pa.float64()),
             ]
-            names = [*batch.schema.names[:-1], "n_tokens", "log_likelihood", "mean_log_prob"]
+            names = [*batch.schema.names[:-1], "n_tokens", "log_likelihood"]
+            if whole is not None:
+                rest = [_rest(t, head) for t in texts]
+                offsets = np.cumsum([0, *(len(r) for _, r in rest)])
+                pairs = pa.StructArray.from_arrays(
+                    [pa.array([w for _, r in rest for w, _ in r], pa.binary()),
+                     pa.array([n for _, r in rest for _, n in r], pa.int64())], names=["word", "times"]
+                )
+                arrays += [pa.array([u for u, _ in rest], pa.int64()),
+                           pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs)]
+                names += ["_units", "_rest"]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return run
@@ -236,14 +323,35 @@ def _score_batches(shared):
 
 def score_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None,
-    model: tuple[np.ndarray, np.ndarray] | None = None,
+    model: tuple[np.ndarray, np.ndarray] | None = None, words: Words | None = None,
 ) -> DataFrame:
-    """(id, carried columns, n_tokens, log_likelihood, mean_log_prob) of every row."""
+    """(id, carried columns, n_tokens, log_likelihood, mean_log_prob) of every row.
+
+    Without a model, network and word counts are taken from ``docs``. A model without ``words`` scores
+    the classes only.
+    """
     own = {"n_tokens", "log_likelihood", "mean_log_prob"}
     carry = [id_col, *[c for c in (keep or []) if c != id_col and c not in own]]
-    shared = docs.sparkSession.sparkContext.broadcast(model or train(docs, text_col))
+    if model is None:
+        counted = words.table if words else word_counts(docs, text_col)
+        model, words = train(docs, text_col, words=counted), words or Words.of(counted)
+    shared = docs.sparkSession.sparkContext.broadcast((model, words and words.head, words and words.whole))
     plain = docs.select(*carry, F.col(text_col).cast("binary").alias("_raw"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields[:-1])
-    return plain.mapInArrow(
-        _score_batches(shared), f"{schema}, n_tokens bigint, log_likelihood double, mean_log_prob double"
-    )
+    schema += ", n_tokens bigint, log_likelihood double"
+    if words is None:
+        scored = plain.mapInArrow(_score_batches(shared), schema)
+    else:
+        scored = plain.mapInArrow(
+            _score_batches(shared), f"{schema}, _units bigint, _rest array<struct<word: binary, times: bigint>>"
+        )
+        scored = stored(scored.withColumn("_row", F.monotonically_increasing_id()), "class-scores")
+        units_of = F.rint(F.log(F.col("n") + 1.0) * UNIT).cast("long")
+        rest = scored.select("_row", F.inline("_rest")).join(words.table.select("word", units_of.alias("_each")), "word")
+        sums = rest.groupBy("_row").agg(F.sum(F.col("times") * F.col("_each")).alias("_more"))
+        known = (F.col("_units") + F.coalesce("_more", F.lit(0))) / UNIT
+        scored = scored.drop("_rest").join(sums, "_row", "left").withColumn("log_likelihood", F.col("log_likelihood") + known)
+    return scored.select(
+        *carry, "n_tokens", "log_likelihood",
+        F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")).alias("mean_log_prob"),
+    )

@@ -99,3 +99,36 @@ def test_order_matters(trained):
 def test_empty_table(spark, documents):
     docs = documents(["x"]).where("false")
     assert L.score_documents(docs).collect() == []
+
+
+def test_every_word_has_its_own_probability(spark, documents):
+    """Class and word in the class, from the counts of all words; a rare word is no other word of its class."""
+    texts = [f"the cat sat on the w{i} mat w{i % 40}" for i in range(3000)] + ["x" * 100 + " the", None, "the cat " + "x" * 100]
+    docs = documents(texts)
+    counted = L.word_counts(docs)
+    model, words = L.train(docs, words=counted), L.Words.of(counted)
+    n, tokens, kinds = {}, np.zeros(L.CLASSES), np.zeros(L.CLASSES)
+    for w in " ".join(t or "" for t in texts).encode().split():
+        n[w] = n.get(w, 0) + 1
+    of = {w: model[0][L.buckets(w)[0]] for w in n}
+    for w, c in n.items():
+        tokens[of[w]] += c
+        kinds[of[w]] += 1
+    same = [w for w in n if of[w] == of[b"w7"] and n[w] != n[b"w7"]] or [b"w7"]
+    asked = [*texts[:20], "the zyx", "the cat w7", f"the cat {same[0].decode()}", texts[-3]]
+
+    def slow(text):
+        said = (text or "").encode().split()
+        classes = [model[0][L.buckets(w)[0]] for w in said]
+        return slow_score(model, text) + sum(math.log((n.get(w, 0) + 1) / (tokens[c] + kinds[c] + 1)) for w, c in zip(said, classes))
+
+    few = L.Words(words.table, {w: u for w, u in words.head.items() if w in (b"the", b"cat")}, words.whole)
+    for some in (words, few):  # all words sent to the tasks, and most words joined
+        out = {r["doc_id"]: r for r in L.score_documents(documents(asked), model=model, words=some).collect()}
+        for i, text in enumerate(asked):
+            assert out[i]["log_likelihood"] == pytest.approx(slow(text), rel=1e-3, abs=1e-3)
+    own = {r["doc_id"]: r["log_likelihood"] for r in L.score_documents(docs).collect()}
+    assert len(own) == len(texts) and own[190] < slow_score(model, texts[190]) - 1
+    # the words of a class and the unknown word have all of its probability
+    for c in set(of.values()):
+        assert sum(n[w] + 1 for w in n if of[w] == c) + 1 == pytest.approx(math.exp(words.whole[c]))
