@@ -12,8 +12,8 @@ probability is P(class | neighbours) * P(word | class):
 A document's score is the sum of the log-probabilities of all its tokens, each given its neighbours.
 
 Training, in numpy on Spark's partitions: in each of ``ROUNDS`` rounds every task starts
-from the current weights, takes Adagrad steps on its own documents (one token in ``STRIDE``
-as the target, from a place that depends on the text, so every text takes part), and returns its
+from the current weights, takes Adagrad steps on its own documents (in each round one token in as many as
+there are rounds, from a place that depends on the text; over the rounds every token is the target once), and returns its
 weights times the number of its targets. Spark sums them by weight; their mean starts the next
 round. Word counts, too, are taken over all words of all documents.
 
@@ -53,14 +53,13 @@ SIDE = 2
 OFFSETS = tuple(o for o in range(-SIDE, SIDE + 1) if o)
 HIDDEN = 32
 ROUNDS = 2
-STRIDE = 8
 STEP = 1024
 RATE = 0.1
 SEED = 7
 #: Tokens scored at a time.
-CHUNK = 8192
+CHUNK = 1024
 #: Words with this share of all words or more are sent to the tasks.
-HEAD = 1 << 16
+HEAD = 1 << 18
 #: Distinct words counted in a task before they are passed on.
 HELD_WORDS = 1 << 18
 #: Longer words are kept by a digest.
@@ -76,8 +75,8 @@ def word_key(word: bytes) -> bytes:
 
 def buckets(raw: bytes | None) -> np.ndarray:
     """The hash bucket of each word of a text's UTF-8 bytes."""
-    crc = zlib.crc32
-    return np.array([crc(w) for w in (raw or b"").lower().split()], np.int64) % BUCKETS
+    words = (raw or b"").lower().split()
+    return np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % BUCKETS
 
 
 @dataclass
@@ -138,15 +137,14 @@ class Network:
         logits = h @ self.output + self.bias
         logits -= logits.max(axis=1, keepdims=True)
         p = np.exp(logits)
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(at)), line[at]] -= 1.0
-        p /= len(at)
+        p *= 1 / (len(at) * p.sum(axis=1, keepdims=True))
+        p[np.arange(len(at)), line[at]] -= 1 / len(at)
         back = (p @ self.output.T) * (1 - h * h)
         tables = np.empty_like(self.tables)
+        back = back.ravel()
         for i, offset in enumerate(OFFSETS):
-            hot = np.zeros((CLASSES + 1, len(at)), np.float32)
-            hot[line[at + offset], np.arange(len(at))] = 1.0
-            tables[i] = hot @ back
+            cells = (line[at + offset] * HIDDEN)[:, None] + np.arange(HIDDEN)
+            tables[i] = np.bincount(cells.ravel(), back, (CLASSES + 1) * HIDDEN).reshape(-1, HIDDEN)
         return tables, h.T @ p, p.sum(axis=0)
 
 
@@ -226,7 +224,15 @@ def units(n: int) -> int:
     return int(np.rint(np.log(n + 1.0) * UNIT))
 
 
-def _train_batches(shared, turn: int):
+def targets_of(places: np.ndarray, texts: list[np.ndarray], turn: int, rounds: int) -> np.ndarray:
+    """The tokens of a round: one in ``rounds`` of each text; the rounds' targets together are all tokens."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    first = np.repeat(np.cumsum(sizes) - sizes, sizes)
+    phase = np.repeat(np.array([int(t.sum()) + turn for t in texts], np.int64), sizes)
+    return places[(np.arange(len(places)) - first + phase) % rounds == 0]
+
+
+def _train_batches(shared, turn: int, rounds: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, flat = shared.value
         net = Network.of(flat)
@@ -235,10 +241,8 @@ def _train_batches(shared, turn: int):
         targets = 0
         for batch in _slices(batches):
             texts = [classes[buckets(t.as_py())] for t in batch.column(0)]
-            line, places, sizes = padded_line(texts)
-            first = np.repeat(np.cumsum(sizes) - sizes, sizes)
-            phase = np.repeat([(int(t.sum()) if len(t) else 0) + turn * (STRIDE // ROUNDS) for t in texts], sizes)
-            at = places[(np.arange(len(places)) - first + phase) % STRIDE == 0]
+            line, places, _ = padded_line(texts)
+            at = targets_of(places, texts, turn, rounds)
             at = at[np.random.default_rng(len(at) + turn).permutation(len(at))]
             for k in range(0, len(at), STEP):
                 part = at[k : k + STEP]
@@ -266,7 +270,7 @@ def train(
     flat = Network.start(counts).flat()
     for turn in range(rounds):
         shared = sc.broadcast((classes, flat))
-        sums = raw.mapInArrow(_train_batches(shared, turn), "i bigint, v double, n bigint").groupBy("i").agg(
+        sums = raw.mapInArrow(_train_batches(shared, turn, rounds), "i bigint, v double, n bigint").groupBy("i").agg(
             (F.sum("v") / F.sum("n")).alias("v")
         )
         rows = sums.collect()  # one row per weight, whatever the corpus

@@ -132,3 +132,12 @@ def test_every_word_has_its_own_probability(spark, documents):
     # the words of a class and the unknown word have all of its probability
     for c in set(of.values()):
         assert sum(n[w] + 1 for w in n if of[w] == c) + 1 == pytest.approx(math.exp(words.whole[c]))
+
+
+def test_every_token_is_a_target_once():
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(0, L.CLASSES, n) for n in (0, 1, 1, 2, 3, 7, 8, 50)]
+    _, places, _ = L.padded_line(texts)
+    for rounds in (1, L.ROUNDS, 5):
+        turns = [L.targets_of(places, texts, turn, rounds) for turn in range(rounds)]
+        assert sorted(np.concatenate(turns)) == sorted(places)
