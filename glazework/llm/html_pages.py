@@ -6,11 +6,11 @@ import html
 import re
 from dataclasses import dataclass
 
-#: Elements whose content is never text of the page.
-_OPAQUE = "script|style|noscript|template|svg|math|iframe|object|canvas|select|textarea|title"
+#: Elements whose content is never text of the page, nor markup; unclosed, they reach to its end.
+_OPAQUE = "script|style|noscript|template|iframe|textarea|title"
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<({_OPAQUE})\b[^>]*?(?:/>|>.*?(?:</\1\s*>|\Z))"
+    rf"|<({_OPAQUE})(?=[\s/>])[^>]*?(?:/>|>.*?(?:</\1\s*>|\Z))"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)",
     re.S | re.I,

@@ -100,3 +100,15 @@ def test_odd_rows(spark, model):
     by = sorted((r["n_chars"], r["page_id"] or -1) for r in out)
     assert by[:3] == [(0, 1), (0, 2), (0, 3)] and by[-1][0] == 20_000 * 24 - 2 and by[3] == (5, -1)
     assert H.extract_main_text(df.where("false"), model=model).collect() == []
+
+
+def test_only_raw_text_elements_are_dropped():
+    assert texts("<article><title-card>Head</title-card><p>Body text.</p></article>") == ["Head", "Body text."]
+    for name in ("svg-icon", "object-view", "select-box", "style-guide"):
+        assert texts(f"<p>1</p><{name}>2</{name}><p>3") == ["1", "2", "3"]
+    for name in ("canvas", "object", "svg", "math", "select"):
+        assert texts(f"<p>a</p><{name} id=c><p>rest") == ["a", "rest"]
+        assert texts(f"<article><p>a</p><{name}>b</{name}><p>c") == ["a", "b", "c"]
+        assert leaf_blocks(f"<article><{name}>b</{name}>")[0].path == (("article",), (name,))
+    for name in ("script", "style", "title", "textarea", "iframe", "noscript"):
+        assert texts(f"<p>1</p><{name} x>2</{name}><p>3") == ["1", "3"] and texts(f"<p>1</p><{name}>2<p>3") == ["1"]
