@@ -266,6 +266,14 @@ def components(edges: DataFrame) -> DataFrame:
     return roots
 
 
+def with_roots(nodes: DataFrame, max_bits: int = 4) -> DataFrame:
+    """``nodes`` (distinct fingerprints, column ``_fp``) with ``_root``, the fingerprint that names the group."""
+    roots = components(link_fingerprints(nodes, max_bits))
+    return nodes.join(roots, nodes["_fp"] == roots["node"], "left").select(
+        *(nodes[c] for c in nodes.columns), F.coalesce("root", "_fp").alias("_root")
+    )
+
+
 def simhash_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_bits: int = 4,
     keep: list[str] | None = None,
@@ -274,10 +282,7 @@ def simhash_groups(
     carry = [c for c in (keep or []) if c not in (id_col, "fingerprint", "component_id")]
     prints = stored(with_fingerprints(docs, [id_col, *carry], text_col, shingle), "prints")
     nodes = stored(prints.groupBy("_fp").agg(F.min(id_col).alias("_least")), "nodes")
-    roots = components(link_fingerprints(nodes, max_bits))
-    rooted = nodes.join(roots, nodes["_fp"] == roots["node"], "left").select(
-        "_fp", "_least", F.coalesce("root", "_fp").alias("_root")
-    )
+    rooted = with_roots(nodes, max_bits)
     least = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))
     groups = stored(rooted.join(least, "_root").select("_fp", "component_id"), "groups")
     return prints.join(groups, "_fp").select(

@@ -26,21 +26,19 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash group (operator 6), the document with the smallest id.
+    """Of each SimHash group (operator 6), the row with the smallest id, then the smallest text hash.
 
-    Rows with one id are one document: the row whose text has the smallest hash stays, once. The
-    groups are found on ids and fingerprints; the texts move once, to meet the chosen ids.
-    Rows that repeat both id and text are merged map-side, and apart from the others.
+    A null id is chosen only where all ids of the group are null. One row stays for each group, whatever ids
+    the groups share. They are found on ids, text hashes and fingerprints; the texts move once, to
+    meet the chosen rows. Rows that repeat both id and text are merged map-side, and apart from the others.
     """
-    groups = simhash.simhash_groups(docs.select("doc_id", "text"))
-    ids = groups.select(F.col("component_id").alias("_id")).distinct()
-    texts = docs.groupBy(F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_hash")).agg(
-        F.count(F.lit(1)).alias("_rows")
-    )
-    one = texts.groupBy("_doc").agg(F.min(F.struct("_hash", "_rows")).alias("_first"))
-    chosen = stored(
-        one.join(ids, one["_doc"].eqNullSafe(ids["_id"]), "left_semi").select("_doc", "_first.*"), "kept-ids"
-    )
+    named = docs.select("doc_id", "text", F.xxhash64("text").alias("_hash"))
+    prints = simhash.with_fingerprints(named, ["doc_id", "_hash"])
+    rows = prints.groupBy("_fp", "doc_id", "_hash").agg(F.count(F.lit(1)).alias("_rows"))
+    first = F.struct(F.isnull("doc_id").alias("_null"), F.col("doc_id").alias("_doc"), "_hash", "_rows")
+    nodes = stored(rows.groupBy("_fp").agg(F.min(first).alias("_first")), "nodes")
+    roots = simhash.with_roots(nodes)
+    chosen = stored(roots.groupBy("_root").agg(F.min("_first").alias("_first")).select("_first.*"), "kept-rows")
 
     def rows_of(picked: DataFrame) -> DataFrame:
         same = docs["doc_id"].eqNullSafe(picked["_doc"]) & (F.xxhash64(docs["text"]) == picked["_hash"])
@@ -48,7 +46,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     kept = rows_of(chosen.where("_rows = 1"))
     repeated = chosen.where("_rows > 1")
-    return kept if repeated.isEmpty() else kept.unionByName(rows_of(repeated).dropDuplicates(["doc_id"]))
+    return kept if repeated.isEmpty() else kept.unionByName(rows_of(repeated).dropDuplicates(["doc_id", "text"]))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

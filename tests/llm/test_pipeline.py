@@ -105,3 +105,13 @@ def test_empty_documents(spark):
 def test_fixed_values_are_named_once():
     source = open(corpus_pipeline.__file__).read()
     assert not re.search(r"limit\(|sample\(", source)
+
+
+def test_groups_of_null_and_shared_ids_each_keep_a_row(spark, documents):
+    words = lambda seed: " ".join(f"{seed}{i}" for i in range(80))
+    texts = [words("a"), words("a"), words("b"), words("c"), words("d"), words("e"), words("e"), words("f"), words("f")]
+    docs = documents(texts, ids=[None, None, None, None, 5, 5, 7, None, 6])
+    kept = stages.keep_one_of_each_group(spark, docs, SF_SMALL)
+    assert sorted((r["text"], r["doc_id"] or 0) for r in kept.collect()) == sorted(
+        [(words("a"), 0), (words("b"), 0), (words("c"), 0), (words("d"), 5), (words("e"), 5), (words("f"), 6)]
+    )
