@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glazework.session import materialize
+from glazework.session import _delete_at_exit, materialize, work_dir
 
 #: Java regex of the white space between words; a word is ``[^\x20\x09-\x0D]+``.
 SPACE = "[\\x20\\x09-\\x0D]"
@@ -22,6 +24,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, f"llm-{name}")
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared work folder, removed when the session ends."""
+    path = f"{work_dir(spark)}/glazework/llm-{name}-{uuid.uuid4().hex}"
+    _delete_at_exit(spark, path)
+    return path
+
+
 def word_array(text: Column) -> Column:
     """The words of a text as an array; empty for null and for white space only."""
     trimmed = F.btrim(text, F.lit(SPACE_CHARS))

@@ -20,8 +20,9 @@ from . import (
     simhash,
     token_counts,
     toxicity,
+    warc,
 )
-from .common import table
+from .common import scratch_folder, stored, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -98,6 +99,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a record, read back from the archives that were written."""
+    pages = table(spark, sf_dir, "pages")
+    archives = warc.write_archives(pages, scratch_folder(spark, "warc"))
+    recs = warc.with_referred(stored(warc.records(warc.read_chunks(archives)), "records"))
+    kind = pages.schema["page_id"].dataType
+    return recs.select(
+        F.col("row_id").cast(kind).alias("page_id"),
+        "payload_bytes",
+        F.col("payload_sha1").alias("payload_digest"),
+        "record_type",
+        F.col("refers_row").cast(kind).alias("refers_to"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -111,7 +127,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_chat,
         op10_token_counts,
+        op11_warc,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_quality_rules": quality_rules.oracle()}
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": quality_rules.oracle(), "op11_warc": warc.ORACLE}
