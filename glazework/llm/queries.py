@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    centroids,
     chat,
     chat_digest,
     decontaminate,
@@ -114,6 +115,11 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every embedding after five rounds of Lloyd's iteration with 40 centroids."""
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -128,7 +134,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_chat,
         op10_token_counts,
         op11_warc,
+        op12_centroids,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_quality_rules": quality_rules.oracle(), "op11_warc": warc.ORACLE}
+ORACLE_SQL: dict[str, str] = {
+    "op1_quality_rules": quality_rules.oracle(),
+    "op11_warc": warc.ORACLE,
+    "op12_centroids": centroids.oracle(),
+}
