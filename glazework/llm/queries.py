@@ -16,6 +16,7 @@ from . import (
     html_blocks,
     lm_scoring,
     packing,
+    prefix_trie,
     quality_rules,
     sharding,
     simhash,
@@ -120,6 +121,12 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of all conversations, each with a borrowed beginning."""
+    turns = prefix_trie.turn_rows(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    return prefix_trie.trie(prefix_trie.with_borrowed_beginnings(turns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -135,6 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_token_counts,
         op11_warc,
         op12_centroids,
+        op13_prefix_trie,
     )
 }
 
@@ -142,4 +150,5 @@ ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": quality_rules.oracle(),
     "op11_warc": warc.ORACLE,
     "op12_centroids": centroids.oracle(),
+    "op13_prefix_trie": prefix_trie.ORACLE,
 }
