@@ -1,14 +1,17 @@
-"""R-01 … R-03: the region lookup, the region back-fill join and the code-mapping joins."""
+"""R-01 … R-03: the region lookup, the region back-fill join and the code mappings."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glazework import constants as K
 from glazework.functions.text import trim_ws
 from glazework.session import DEFAULT_BROADCAST_MAX_BYTES, broadcast_if_small
 
+#: Most rows of a seed that becomes a literal in the plan (its look-up goes through them one by one).
+MAX_FUSED_ROWS = 64
+
 
 def region_lookup(raw: DataFrame) -> DataFrame:
     """R-01: one region per ``lower(trim(city))``, from rows where both are usable.
@@ -45,21 +48,49 @@ def mapped_name(column: str) -> str:
     return f"_mapped_{column}"
 
 
+def code_map(seed: DataFrame, max_rows: int = MAX_FUSED_ROWS) -> dict[str, str | None] | None:
+    """{key: clean value} of a seed that has at most ``max_rows`` rows and no key twice; else None.
+
+    NULL keys, which match nothing, are left out.
+    """
+    rows = _keyed(seed).limit(max_rows + 1).collect()  # bounded
+    if len(rows) > max_rows:
+        return None
+    found = {r["key"]: r["value"] for r in rows if r["key"] is not None}
+    return found if len(found) == sum(r["key"] is not None for r in rows) else None
+
+
+def _keyed(seed: DataFrame) -> DataFrame:
+    return seed.select(F.upper(trim_ws(F.col("raw_value"))).alias("key"), F.col("clean_value").alias("value"))
+
+
+def _from_map(codes: dict[str, str | None], key: Column) -> Column:
+    if not codes:
+        return F.lit(None).cast("string")
+    literal = F.create_map(*[F.lit(x).cast("string") for pair in codes.items() for x in pair])
+    return F.try_element_at(literal, key)
+
+
 def map_codes(
     df: DataFrame, seeds: dict[str, DataFrame], columns: list[str] | None = None,
-    max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
+    max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES, max_fused_rows: int = MAX_FUSED_ROWS, distinct: bool = False,
 ) -> DataFrame:
-    """R-03: for each column, left join its seed on ``UPPER(TRIM(..))``.
-
-    Adds ``_mapped_<column>`` = the seed's clean value (NULL when unmatched)
-    and the helper key ``_seed_key_<column>`` (pruned by the next projection;
-    no per-join drop, which would re-analyse the growing plan each time).
-    A seed within ``max_bytes`` is broadcast, so the usual eight joins run
-    map-side in one stage; a larger one is joined by shuffle. Several seed rows
-    with one key give a row each.
+    """R-03: for each column, its seed's value for ``UPPER(TRIM(..))`` as ``_mapped_<column>`` (NULL when unmatched).
+
+    A seed without repeated keys and of at most ``max_fused_rows`` rows becomes a literal map, and all such
+    columns are looked up in one projection, without a join. Any other is joined on the key
+    (helper column ``_seed_key_<column>``, pruned by the next projection): broadcast when it is within
+    ``max_bytes``, by shuffle beyond. Several seed rows with one key give a row each; with ``distinct``, equal ones
+    give one, so that no two rows made from one are equal.
     """
+    fused = {}
     for column in K.MAPPED_COLUMNS if columns is None else columns:
-        key, value = f"_seed_key_{column}", mapped_name(column)
-        seed = seeds[column].select(F.upper(trim_ws(F.col("raw_value"))).alias(key), F.col("clean_value").alias(value))
-        df = df.join(broadcast_if_small(seed, max_bytes), F.upper(trim_ws(df[column])) == seed[key], "left")
-    return df
+        codes = code_map(seeds[column], max_fused_rows)
+        if codes is not None:
+            fused[mapped_name(column)] = _from_map(codes, F.upper(trim_ws(F.col(column))))
+            continue
+        key = f"_seed_key_{column}"
+        seed = _keyed(seeds[column]).select(F.col("key").alias(key), F.col("value").alias(mapped_name(column)))
+        right = broadcast_if_small(seed.distinct() if distinct else seed, max_bytes)
+        df = df.join(right, F.upper(trim_ws(df[column])) == right[key], "left")
+    return df.withColumns(fused) if fused else df

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from glazework import constants as K
 from glazework.functions.keys import surrogate_key
 from glazework.operators.date_spine import dim_date
-from glazework.operators.dedupe import duplicate_report
+from glazework.operators.dedupe import cleaned_duplicate_report, repeated_ids
 from glazework.operators.dimension import build_dimension
 from glazework.operators.lookup import map_codes, mapped_name, region_lookup, with_region_lookup
 from glazework.operators.quality import (
@@ -23,12 +23,11 @@ from glazework.operators.quality import (
     not_null_violations,
     quality_summary,
     columns_of_tests,
-    unique_violations,
     unmapped_violations,
 )
 from glazework.plans.build import build_warehouse
 from glazework.plans.marts import DIMENSIONS
-from glazework.plans.staging import build_staging, clean_columns, clean_rows, cleaned_columns
+from glazework.plans.staging import KEPT_COLUMNS, build_staging, clean_columns, cleaned_columns, row_cleaner
 from glazework.session import materialize
 from glazework.sources.seeds import load_seeds
 
@@ -68,9 +67,12 @@ def _map_query(column: str) -> RawQuery:
 
 
 def dedupe_repairs(raw: DataFrame) -> DataFrame:
-    lookup = materialize(region_lookup(raw), "region_lookup")
-    cleaned = clean_rows(map_codes(with_region_lookup(raw, lookup), load_seeds(raw.sparkSession)))
-    return duplicate_report(cleaned)
+    return cleaned_duplicate_report(raw, row_cleaner(raw, load_seeds(raw.sparkSession)), KEPT_COLUMNS)
+
+
+def dq_unique_job(raw: DataFrame) -> DataFrame:
+    """Q-02 on the staging rows, from ids and fingerprints alone."""
+    return repeated_ids(raw, row_cleaner(raw, load_seeds(raw.sparkSession)), "job_id")
 
 
 def _dim_query(name: str) -> RawQuery:
@@ -138,7 +140,7 @@ def raw_queries() -> dict[str, RawQuery]:
     q["clean_insurance"] = _project("insurance_claimed")
     q["surrogate_keys"] = surrogate_keys
     q["dq_not_null"] = lambda raw: not_null_violations(_staging(raw))
-    q["dq_unique_job"] = lambda raw: unique_violations(_staging(raw))
+    q["dq_unique_job"] = dq_unique_job
     q["dq_unmapped"] = lambda raw: unmapped_violations(_staging(raw))
     q["dq_valid_boolean"] = boolean_violations
     q["dq_summary"] = dq_summary

@@ -23,7 +23,7 @@ from glazework.functions import (
     trim_ws,
     uk_mobile,
 )
-from glazework.operators.dedupe import dedupe_rows
+from glazework.operators.dedupe import Clean, dedupe_cleaned
 from glazework.operators.lookup import map_codes, mapped_name, region_lookup, with_region_lookup
 from glazework.session import DEFAULT_BROADCAST_MAX_BYTES, materialize
 
@@ -90,25 +90,42 @@ def clean_rows(joined: DataFrame) -> DataFrame:
     return joined.select(*[exprs[name].alias(name) for name in STAGING_COLUMNS])
 
 
+#: Raw columns that staging keeps as they are (ids with a prefix): rows that differ in one stay different.
+KEPT_COLUMNS = ["job_id", "technician_id", "customer_id", "vehicle_age_in_years", "job_duration_in_hours"]
+
+
+def row_cleaner(
+    raw: DataFrame,
+    seeds: dict[str, DataFrame],
+    lookup: DataFrame | None = None,
+    max_broadcast_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
+) -> Clean:
+    """R-01 … R-03, R-05 as a function of raw rows: the look-up made from all of ``raw``, the mappings, the projection.
+
+    The region lookup is a small aggregate of the raw table; it is written out first so its
+    size is known before choosing how to join it. No two rows made from one raw row are equal.
+    """
+    regions = lookup if lookup is not None else materialize(region_lookup(raw), "region_lookup")
+
+    def clean(rows: DataFrame) -> DataFrame:
+        joined = with_region_lookup(rows, regions, max_broadcast_bytes)
+        return clean_rows(map_codes(joined, seeds, max_bytes=max_broadcast_bytes, distinct=True))
+
+    return clean
+
+
 def build_staging(
     raw: DataFrame,
     seeds: dict[str, DataFrame],
     lookup: DataFrame | None = None,
     max_broadcast_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
 ) -> DataFrame:
-    """R-01 … R-05: lookup → back-fill join → 8 mapping joins → clean → DISTINCT.
+    """R-01 … R-05: lookup → back-fill join → 8 mappings → clean → DISTINCT of what may be repeated.
 
-    The region lookup is a small aggregate of the raw table; it is written out
-    first so its size is known before choosing how to join it. The mapping
-    joins are broadcast and run in the scan stage; the DISTINCT is the only
-    shuffle of the rows.
+    A narrow pass over ``KEPT_COLUMNS`` finds which rows may have a copy; only these (about as many as there are
+    copies) are shuffled, for an exact DISTINCT. All others go from the scan to the result in one stage.
     """
-    if lookup is None:
-        lookup = materialize(region_lookup(raw), "region_lookup")
-    joined = map_codes(
-        with_region_lookup(raw, lookup, max_broadcast_bytes), seeds, max_bytes=max_broadcast_bytes
-    )
-    return dedupe_rows(clean_rows(joined))
+    return dedupe_cleaned(raw, row_cleaner(raw, seeds, lookup, max_broadcast_bytes), KEPT_COLUMNS)
 
 
 def clean_columns(raw: DataFrame, seeds: dict[str, DataFrame], columns: list[str]) -> DataFrame:
