@@ -126,7 +126,7 @@ def value_sql(d: Dialect) -> dict[str, str]:
     return out
 
 
-def column_sql(d: Dialect, repeat_customers: bool = False, vary_technicians: bool = False) -> dict[str, str]:
+def column_sql(d: Dialect, repeat_customers: bool = False, vary_technicians: bool = False, clashing_garages: bool = False) -> dict[str, str]:
     """Each raw column over those and the values of :func:`value_sql`."""
 
     def money(c: str) -> str:
@@ -172,13 +172,17 @@ def column_sql(d: Dialect, repeat_customers: bool = False, vary_technicians: boo
         d.lit(NA_TOKEN), "'sw1a   1aa'", outward, d.join("' m'", d.chars("na"), "' 1ae '"), "''", d.lit(None),
     ], d.join(outward, "' 1AE'"))
 
+    garage, town = d.join("'Garage '", d.chars(d.draw("garage", 20)), "' Autoworks'"), "v_city"
+    if clashing_garages:  # 'Plaza-City' in 'on-7' and 'Plaza' in 'City-on-7'
+        garage = _cases("(k % 50)", ["'Plaza-City'", "'Plaza'"], garage)
+        town = f"CASE WHEN k % 50 = 0 THEN {d.join(chr(39) + 'on-' + chr(39), d.chars('na'))} ELSE v_city END"
     tech_number = f"tech * 10 + {d.draw('technician phone', 2)}" if vary_technicians else "tech"
     out = {
         "job_id": f"CASE WHEN {d.draw('no job', 331)} = 0 THEN NULL ELSE CAST(100000 + k AS BIGINT) END",
         "repair_date": date,
         "region": _dirty(d, "region", "v_region"),
-        "city": _dirty(d, "city", "v_city"),
-        "garage_name": d.join("'Garage '", d.chars(d.draw("garage", 20)), "' Autoworks'"),
+        "city": _dirty(d, "city", town),
+        "garage_name": garage,
         "repair_cost": paid("repair cost", "cents"),
         "glass_cost": paid("glass cost", "glass_cents"),
         "profit": d.lit(None),
@@ -241,19 +245,19 @@ def _joined_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dirty_repairs(
-    spark: SparkSession, sf_dir: str, repeat_customers: bool = False, vary_technicians: bool = False
+    spark: SparkSession, sf_dir: str, repeat_customers: bool = False, vary_technicians: bool = False, clashing_garages: bool = False
 ) -> DataFrame:
     """The raw repairs table (30 columns, RAW_SCHEMA order) for one scale factor."""
     base = _joined_orders(spark, sf_dir)
     copied = base.select("*", F.explode(F.expr(f"sequence(0, {COPIES} - 1)")).alias("copy"))
     copied = copied.select("*", *[F.expr(e).alias(c) for c, e in value_sql(SPARK).items()])
-    sql = column_sql(SPARK, repeat_customers, vary_technicians)
+    sql = column_sql(SPARK, repeat_customers, vary_technicians, clashing_garages)
     return copied.select(*[F.expr(sql[c]).alias(c) for c in RAW_COLUMNS])
 
 
-def recipe_sql(repeat_customers: bool = False, vary_technicians: bool = False) -> str:
+def recipe_sql(repeat_customers: bool = False, vary_technicians: bool = False, clashing_garages: bool = False) -> str:
     """The same rows in DuckDB SQL."""
-    sql = column_sql(DUCKDB, repeat_customers, vary_technicians)
+    sql = column_sql(DUCKDB, repeat_customers, vary_technicians, clashing_garages)
     columns = ",\n  ".join(f"{sql[c]} AS {c}" for c in RAW_COLUMNS)
     values = ", ".join(f"{e} AS {c}" for c, e in value_sql(DUCKDB).items())
     return f"""SELECT {columns} FROM (SELECT *, {values} FROM (

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from checks.fixture import dirty_repairs
 from glazework.operators.quality import boolean_violations
-from glazework.plans.queries import RawQuery, fact_repairs, raw_queries
+from glazework.plans.queries import RawQuery, fact_fanout_forecast, fact_repairs, key_collision_report, raw_queries
 from glazework.plans.staging import build_staging
 from glazework.sources.seeds import inline_seed, load_seeds, seed_rows
 
@@ -50,6 +50,9 @@ def registry() -> dict[str, Query]:
     q["fact_repairs_fanout"] = on_fixture(fact_repairs, repeat_customers=True)
     q["fact_repairs_tech_fanout"] = on_fixture(fact_repairs, vary_technicians=True)
     q["dim_technician_shared_keys"] = on_fixture(queries["dim_technician"], vary_technicians=True)
+    q["fact_fanout_forecast"] = on_fixture(fact_fanout_forecast, repeat_customers=True)
+    q["fact_tech_fanout_forecast"] = on_fixture(fact_fanout_forecast, vary_technicians=True)
+    q["key_collisions"] = on_fixture(key_collision_report, vary_technicians=True, clashing_garages=True)
     q["stg_repairs_seed_fanout"] = on_fixture(stg_repairs_seed_fanout)
     q["dq_valid_boolean_staging"] = on_fixture(lambda raw: boolean_violations(queries["stg_repairs"](raw)))
     return q

@@ -13,10 +13,15 @@ def prefixed_id(prefix: str, raw_id: Column) -> Column:
     return F.concat(F.lit(prefix), raw_id.cast("string"))
 
 
-def surrogate_key(*cols: Column | str) -> Column:
-    """E-21: md5 hex of the '-'-joined string forms, NULL spelled as a fixed token."""
+def surrogate_text(*cols: Column | str) -> Column:
+    """What a surrogate key hashes: the '-'-joined string forms, NULL spelled as a fixed token."""
     parts = [
         F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(K.SURROGATE_KEY_NULL))
         for c in cols
     ]
-    return F.md5(F.concat_ws(K.SURROGATE_KEY_SEPARATOR, *parts))
+    return F.concat_ws(K.SURROGATE_KEY_SEPARATOR, *parts)
+
+
+def surrogate_key(*cols: Column | str) -> Column:
+    """E-21: md5 hex of :func:`surrogate_text`."""
+    return F.md5(surrogate_text(*cols))

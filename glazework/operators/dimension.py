@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glazework.functions.keys import surrogate_key
+from glazework.functions.keys import surrogate_key, surrogate_text
 from glazework.session import DEFAULT_BROADCAST_MAX_BYTES, broadcast_if_small
 
 
@@ -37,6 +37,28 @@ def build_dimension(staging: DataFrame, spec: DimensionSpec) -> DataFrame:
     return rows.select(surrogate_key(*spec.key_columns).alias(spec.key), *spec.attributes)
 
 
+def key_collisions(dim: DataFrame, spec: DimensionSpec) -> DataFrame:
+    """E-21: (dimension, surrogate_key, n_rows, n_key_tuples, n_key_texts) of keys that several rows share.
+
+    ``n_key_tuples`` above 1 is a collision: different values in the key columns hash to one key. The join with a
+    separator makes ``('a-b', 'c')`` and ``('a', 'b-c')`` one text, and NULL equals the text that stands for it;
+    ``n_key_texts`` tells such tuples (1) from a true md5 collision (2 or more). With ``n_key_tuples`` 1 the rows differ only in
+    attributes outside the key, as modelled. A hash aggregate of narrow rows: per tuple, then per key.
+    """
+    text = surrogate_text(*spec.key_columns)
+    tuples = dim.groupBy(spec.key, *spec.key_columns).agg(F.count(F.lit(1)).alias("n"))
+    return (
+        tuples.groupBy(F.col(spec.key).alias("surrogate_key"))
+        .agg(
+            F.sum("n").alias("n_rows"),
+            F.count(F.lit(1)).alias("n_key_tuples"),
+            F.count_distinct(text).alias("n_key_texts"),
+        )
+        .where(F.col("n_rows") > 1)
+        .select(F.lit(spec.name).alias("dimension"), "surrogate_key", "n_rows", "n_key_tuples", "n_key_texts")
+    )
+
+
 def lookup_key(
     fact: DataFrame, dim: DataFrame, on: list[tuple[str, str]], key: str,
     broadcast: bool | None = None, max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from glazework import constants as K
@@ -68,11 +68,6 @@ def _test_catalogue() -> list[tuple[str, str, str, Column]]:
     return tests
 
 
-def columns_of_tests() -> list[str]:
-    """The staging columns that the fifteen tests read."""
-    return list(dict.fromkeys(["job_id", *[column for _, column, _, _ in _test_catalogue()]]))
-
-
 def _as_rows(one_row: DataFrame, tests: list[tuple[str, str, str]]) -> DataFrame:
     structs = [
         F.struct(
@@ -86,18 +81,46 @@ def _as_rows(one_row: DataFrame, tests: list[tuple[str, str, str]]) -> DataFrame
     return one_row.select(F.inline(F.array(*structs)))
 
 
-def quality_summary(staging: DataFrame) -> DataFrame:
+def row_test_counts() -> list[Column]:
+    """The failure count of each of the fourteen row-level tests, as aggregates over staging rows."""
+    return [F.count_if(cond).alias(name) for name, _, _, cond in _test_catalogue()]
+
+
+def observe_row_tests(staging: DataFrame, seen: Observation) -> DataFrame:
+    """``staging`` with the row-level tests counted in passing, when it is written.
+
+    The counts come with the finished tasks of the writing stage, so a task that is tried again counts once.
+    The counting must be the last step before the write: a stage that only shuffles may count a lost task twice.
+    """
+    return staging.observe(seen, *row_test_counts())
+
+
+def quality_summary(
+    staging: DataFrame,
+    observed: dict[str, int] | None = None,
+    repeated: DataFrame | None = None,
+    severities: dict[str, str] | None = None,
+) -> DataFrame:
     """Q-05: all 15 tests with their failure counts and a pass / warn / fail status.
 
     Fourteen row-level tests are conditional counts in one global aggregate
-    (map-side partial counts, no shuffle of rows); the uniqueness test is one
-    group-by on the id alone. Severity ``warn`` reports without failing.
+    (map-side partial counts, no shuffle of rows), or taken from ``observed``, the counts made while the table was
+    written, which reads no row. The uniqueness test is one group-by on the id alone, or the rows
+    of ``repeated`` (see ``repeated_ids``). Severity ``warn`` reports without failing; ``severities`` sets it by test name.
     """
-    tests = _test_catalogue()
-    counts = staging.agg(*[F.count_if(cond).alias(name) for name, _, _, cond in tests])
-    row_level = _as_rows(counts, [(n, c, s) for n, c, s, _ in tests])
-    dupes = unique_violations(staging).agg(F.count(F.lit(1)).alias("unique_job_id"))
-    unique = _as_rows(dupes, [("unique_job_id", "job_id", "error")])
+    severity = severities or {}
+    unknown = set(severity) - {"unique_job_id", *(t[0] for t in _test_catalogue())}
+    if unknown or set(severity.values()) - {"warn", "error"}:
+        raise ValueError(f"no such tests or severities: {sorted(unknown) or severity}")
+    tests = [(n, c, severity.get(n, s)) for n, c, s, _ in _test_catalogue()]
+    if observed is None:
+        counts = staging.agg(*row_test_counts())
+    else:
+        counts = staging.sparkSession.range(1).select(*[F.lit(observed[n]).alias(n) for n, _, _ in tests])
+    row_level = _as_rows(counts, tests)
+    again = repeated if repeated is not None else unique_violations(staging)
+    dupes = again.agg(F.count(F.lit(1)).alias("unique_job_id"))
+    unique = _as_rows(dupes, [("unique_job_id", "job_id", severity.get("unique_job_id", "error"))])
     summary = row_level.unionByName(unique)
     status = (
         F.when(F.col("failures") == 0, F.lit("pass"))

@@ -5,11 +5,11 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from glazework.operators.date_spine import dim_date
-from glazework.operators.quality import quality_summary
+from glazework.operators.quality import observe_row_tests, quality_summary
 from glazework.plans.marts import build_dimensions, build_fact
 from glazework.plans.staging import build_staging
 from glazework.session import DEFAULT_BROADCAST_MAX_BYTES, materialize
@@ -26,6 +26,7 @@ class Warehouse:
     fact: DataFrame | None = None
     published_dir: str | None = None  # the warehouse folder, and
     run_dir: str | None = None  # the run folder where staging and the dimensions already live
+    row_tests: dict[str, int] | None = None  # failures of the row-level tests, counted while staging was written
 
     def tables(self) -> dict[str, DataFrame]:
         out = {"stg_repairs": self.staging, **self.dims}
@@ -57,20 +58,24 @@ def build_warehouse(
     spark = raw.sparkSession
     seeds = seeds if seeds is not None else load_seeds(spark)
     run = _new_run(publish_dir) if publish_dir else None
+    seen = Observation("row_tests")
     staging = materialize(
-        build_staging(raw, seeds, max_broadcast_bytes=max_broadcast_bytes),
+        observe_row_tests(build_staging(raw, seeds, max_broadcast_bytes=max_broadcast_bytes), seen),
         "stg_repairs",
         path=f"{run}/stg_repairs" if run else None,
     )
     dims = build_dimensions(staging, out_dir=run)
     dims["dim_date"] = dim_date(spark)
     fact = build_fact(staging, dims, max_broadcast_bytes)
-    return Warehouse(staging, dims, fact, publish_dir.rstrip("/") if publish_dir else None, run)
+    return Warehouse(staging, dims, fact, publish_dir.rstrip("/") if publish_dir else None, run, seen.get)
 
 
-def quality_report(wh: Warehouse) -> DataFrame:
-    """J-04: the data tests over the built staging table."""
-    return quality_summary(wh.staging)
+def quality_report(wh: Warehouse, severities: dict[str, str] | None = None) -> DataFrame:
+    """J-04: the data tests of a built warehouse.
+
+    The row-level tests were counted while staging was written; only the ids are read, for the unique test.
+    """
+    return quality_summary(wh.staging, observed=wh.row_tests, severities=severities)
 
 
 def publish(

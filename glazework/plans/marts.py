@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glazework.operators.dimension import DimensionSpec, build_dimension, lookup_key
+from glazework.operators.fanout import fanout_forecast
 from glazework.session import DEFAULT_BROADCAST_MAX_BYTES, materialize, planned_bytes
 
 
@@ -77,6 +78,20 @@ def build_dimensions(
         return dict(pool.map(one, DIMENSIONS))
 
 
+def fact_lookups() -> dict[str, tuple[list[tuple[str, str]], str]]:
+    """For each dimension of the fact: (pairs of fact and dimension columns, key column)."""
+    found = {name: (spec.fact_on, spec.key) for name, spec in DIMENSIONS.items()}
+    found["dim_date"] = ([("repair_date", "full_date")], "date_key")
+    return {name: found[name] for name in _FACT_JOINS}
+
+
+def forecast_fact(staging: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """R-09: the fact's row count and the keys that multiply rows, without building it."""
+    columns = list(dict.fromkeys(f for on, _ in fact_lookups().values() for f, _ in on))
+    lookups = [(name, dims[name], on) for name, (on, _) in fact_lookups().items()]
+    return fanout_forecast(staging.select(*columns), lookups)
+
+
 def build_fact(
     staging: DataFrame, dims: dict[str, DataFrame], max_broadcast_bytes: int = DEFAULT_BROADCAST_MAX_BYTES
 ) -> DataFrame:
@@ -87,9 +102,7 @@ def build_fact(
     grows with the fact) join afterwards by shuffle on their keys, with only
     the columns still needed travelling.
     """
-    spec_on = {name: (spec.fact_on, spec.key) for name, spec in DIMENSIONS.items()}
-    spec_on["dim_date"] = ([("repair_date", "full_date")], "date_key")
-
+    spec_on = fact_lookups()
     small = {n: planned_bytes(dims[n]) <= max_broadcast_bytes for n in _FACT_JOINS}
     fact = staging
     for name in sorted(_FACT_JOINS, key=lambda n: not small[n]):

@@ -8,6 +8,7 @@ relational ones run the real staging / mart jobs.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,18 +16,17 @@ from pyspark.sql import functions as F
 from glazework import constants as K
 from glazework.functions.keys import surrogate_key
 from glazework.operators.date_spine import dim_date
-from glazework.operators.dedupe import cleaned_duplicate_report, repeated_ids
-from glazework.operators.dimension import build_dimension
+from glazework.operators.dedupe import cleaned_duplicate_report, dedupe_cleaned, repeated_ids
+from glazework.operators.dimension import build_dimension, key_collisions
 from glazework.operators.lookup import map_codes, mapped_name, region_lookup, with_region_lookup
 from glazework.operators.quality import (
     boolean_violations,
     not_null_violations,
     quality_summary,
-    columns_of_tests,
     unmapped_violations,
 )
-from glazework.plans.build import build_warehouse
-from glazework.plans.marts import DIMENSIONS
+from glazework.plans.build import build_warehouse, quality_report
+from glazework.plans.marts import DIMENSIONS, forecast_fact
 from glazework.plans.staging import KEPT_COLUMNS, build_staging, clean_columns, cleaned_columns, row_cleaner
 from glazework.session import materialize
 from glazework.sources.seeds import load_seeds
@@ -103,10 +103,33 @@ def surrogate_keys(raw: DataFrame) -> DataFrame:
     return stg.select("job_id", *keys)
 
 
-def dq_summary(raw: DataFrame, seeds: dict[str, DataFrame] | None = None) -> DataFrame:
-    """J-04 without a built staging table: the fourteen tested columns of its rows are
-    written once, after the DISTINCT; the uniqueness pass then reads only ``job_id``."""
-    return quality_summary(materialize(_staging(raw, seeds).select(*columns_of_tests()), "tested"))
+def dq_summary(
+    raw: DataFrame, seeds: dict[str, DataFrame] | None = None, severities: dict[str, str] | None = None
+) -> DataFrame:
+    """J-04 without a built staging table: nothing is written.
+
+    The row-level tests are counted where the rows are cleaned (only their fourteen columns are), and the unique test
+    takes ids and fingerprints.
+    """
+    clean = row_cleaner(raw, seeds or load_seeds(raw.sparkSession))
+    staging = dedupe_cleaned(raw, clean, KEPT_COLUMNS)
+    return quality_summary(staging, repeated=repeated_ids(raw, clean, "job_id"), severities=severities)
+
+
+def dq_summary_build(raw: DataFrame) -> DataFrame:
+    """J-04 after a build: the row-level tests were counted while staging was written."""
+    return quality_report(build_warehouse(raw))
+
+
+def fact_fanout_forecast(raw: DataFrame) -> DataFrame:
+    wh = build_warehouse(raw)
+    return forecast_fact(wh.staging, wh.dims)
+
+
+def key_collision_report(raw: DataFrame) -> DataFrame:
+    """E-21: keys that several rows of a dimension share, over the six dimensions."""
+    dims = build_warehouse(raw).dims
+    return reduce(DataFrame.unionByName, [key_collisions(dims[n], spec) for n, spec in DIMENSIONS.items()])
 
 
 def raw_queries() -> dict[str, RawQuery]:
@@ -144,4 +167,5 @@ def raw_queries() -> dict[str, RawQuery]:
     q["dq_unmapped"] = lambda raw: unmapped_violations(_staging(raw))
     q["dq_valid_boolean"] = boolean_violations
     q["dq_summary"] = dq_summary
+    q["dq_summary_build"] = dq_summary_build
     return q
