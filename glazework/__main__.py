@@ -1,7 +1,7 @@
 """Command line: ``python -m glazework run|test``.
 
   run   build staging, the dimensions and the fact from a raw table, publish
-        them as Parquet in a new run folder under --out, and switch to it
+        them as Parquet in a new run under --out, and switch to it
   test  run the 15 data tests and print the summary; exit 1 if any test of severity
         ``error`` fails (``warn`` failures are reported only). With --out and no raw
         table, on the published staging table; else on the staging built from the raw table
@@ -46,28 +46,43 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--seed-dir", help="folder with <column>_mapping.csv seeds on shared storage")
     p.add_argument("--out", help="warehouse folder: published to (run), read from (test)")
     p.add_argument("--schema", help="catalog schema whose views are pointed to the new run")
+    p.add_argument("--resume", action="store_true", help="take up a build of the same inputs that was broken off (run)")
+    p.add_argument("--gate", action="store_true", help="don't switch if a test of severity error fails (run); exit 1")
+    p.add_argument("--severity", action="append", default=[], metavar="TEST=warn|error", help="severity of a test")
+    p.add_argument("--keep-hours", type=float, help="after publishing, remove runs unused for longer (run)")
     p.add_argument("--local", action="store_true", help="start a local session")
     args = p.parse_args(argv)
 
     from glazework.operators import quality_summary
     from glazework.plans import build_warehouse, publish, published
+    from glazework.plans.build import FailedTests
     from glazework.plans.queries import dq_summary
+    from glazework.plans.runs import remove_old_runs
     from glazework.session import local_session
     from glazework.sources.seeds import load_seeds
 
     spark = local_session() if args.local else SparkSession.builder.getOrCreate()
     seeds = load_seeds(spark, args.seed_dir)
+    severities = dict(pair.split("=", 1) for pair in args.severity)
     if args.command == "run":
         if not args.out:
             raise SystemExit("run needs --out")
-        wh = build_warehouse(_raw(spark, args), seeds, publish_dir=args.out)
-        for name, path in publish(wh, args.out, schema=args.schema).items():
+        wh = build_warehouse(_raw(spark, args), seeds, publish_dir=args.out, resume=args.resume)
+        try:
+            paths = publish(wh, args.out, schema=args.schema, gate=args.gate, severities=severities)
+        except FailedTests as failed:
+            print(f"not published: {failed}", file=sys.stderr)
+            return 1
+        for name, path in paths.items():
             print(f"{name}\t{path}")
+        if args.keep_hours is not None:
+            for run in remove_old_runs(spark, args.out, int(args.keep_hours * 3600)):
+                print(f"removed {run}", file=sys.stderr)
         return 0
     if args.out and not (args.raw_csv or args.raw_parquet or args.raw_table):
-        summary = quality_summary(published(spark, args.out, "stg_repairs"))
+        summary = quality_summary(published(spark, args.out, "stg_repairs"), severities=severities)
     else:
-        summary = dq_summary(_raw(spark, args), seeds)
+        summary = dq_summary(_raw(spark, args), seeds, severities)
     rows = summary.orderBy("test_name").collect()  # 15 rows
     for r in rows:
         print(f"{r['status']:5} {r['failures']:>10} {r['severity']:5} {r['test_name']}")

@@ -12,7 +12,11 @@ from glazework.session import materialize
 #: Words of 64 bits in a sieve: it has at most so many rows (32 MB in all), whatever the input.
 SIEVE_WORDS = 1 << 21
 
-Clean = Callable[[DataFrame], DataFrame]
+#: Column that says whether a row may be repeated.
+MARK = "_may_be_repeated"
+
+#: Makes cleaned rows of raw ones; the named columns are passed along beside them.
+Clean = Callable[[DataFrame, list[str]], DataFrame]
 
 
 def row_fingerprint(*columns: str) -> tuple[Column, Column]:
@@ -46,20 +50,19 @@ def repeated_sieve(rows: DataFrame, columns: list[str], words: int = SIEVE_WORDS
     return materialize(marked.groupBy("word").agg(F.bit_or("bit").alias("bits")), "repeated_sieve")
 
 
-def split_by_sieve(
-    rows: DataFrame, sieve: DataFrame, columns: list[str], words: int = SIEVE_WORDS
-) -> tuple[DataFrame, DataFrame]:
-    """(rows whose fingerprint is certainly alone, rows that may be repeated).
+def with_mark(
+    rows: DataFrame, sieve: DataFrame, columns: list[str], mark: str = MARK, words: int = SIEVE_WORDS
+) -> DataFrame:
+    """``rows`` with the boolean ``mark``: false where the fingerprint is certainly alone, true where it may be repeated.
 
-    The sieve is broadcast: its rows are bounded by ``words``. A full one sends rows that are alone to
-    the second part too, never the other way.
+    The sieve is broadcast: its rows are bounded by ``words``. A full one marks rows that are alone,
+    too; it never misses one that is repeated.
     """
     word, bit = _place(row_fingerprint(*columns)[0], words)
     right = F.broadcast(sieve.select(F.col("word").alias("_sieve_word"), F.col("bits").alias("_sieve_bits")))
     met = rows.join(right, word == F.col("_sieve_word"), "left")
     held = F.call_function("shiftright", F.coalesce("_sieve_bits", F.lit(0).cast("bigint")), bit)
-    marked = held.bitwiseAND(F.lit(1).cast("bigint")) == 1
-    return met.where(~marked).select(*rows.columns), met.where(marked).select(*rows.columns)
+    return met.select(*rows.columns, (held.bitwiseAND(F.lit(1).cast("bigint")) == 1).alias(mark))
 
 
 def dedupe_rows(df: DataFrame) -> DataFrame:
@@ -73,15 +76,16 @@ def dedupe_rows(df: DataFrame) -> DataFrame:
 
 
 def dedupe_cleaned(raw: DataFrame, clean: Clean, kept: list[str], words: int = SIEVE_WORDS) -> DataFrame:
-    """``clean(raw).distinct()``, with only the rows that may be repeated in the DISTINCT.
+    """The distinct rows of ``clean(raw)``, with only the rows that may be repeated in the DISTINCT.
 
     ``kept``: raw columns that equal cleaned rows must share (their values pass ``clean`` unchanged, or
     changed one to one). Raw rows that are alone in these can't have a copy, so they are cleaned and
     passed on in the scan stage; the others are cleaned and compared exactly, in all columns. ``clean`` may give several
     rows for one, but no two equal ones.
     """
-    alone, suspects = split_by_sieve(raw, repeated_sieve(raw, kept, words), kept, words)
-    return clean(alone).unionByName(dedupe_rows(clean(suspects)))
+    cleaned = clean(with_mark(raw, repeated_sieve(raw, kept, words), kept, words=words), [MARK])
+    alone, suspects = cleaned.where(~F.col(MARK)).drop(MARK), cleaned.where(MARK).drop(MARK)
+    return alone.union(dedupe_rows(suspects))
 
 
 def duplicate_report(df: DataFrame, id_column: str = "job_id") -> DataFrame:
@@ -94,8 +98,8 @@ def cleaned_duplicate_report(
     raw: DataFrame, clean: Clean, kept: list[str], id_column: str = "job_id", words: int = SIEVE_WORDS
 ) -> DataFrame:
     """:func:`duplicate_report` of ``clean(raw)``; only rows that may be repeated are cleaned at all."""
-    _, suspects = split_by_sieve(raw, repeated_sieve(raw, kept, words), kept, words)
-    return duplicate_report(clean(suspects), id_column)
+    marked = with_mark(raw, repeated_sieve(raw, kept, words), kept, words=words)
+    return duplicate_report(clean(marked.where(MARK), []), id_column)
 
 
 def repeated_ids(
@@ -107,8 +111,8 @@ def repeated_ids(
     id's records are its distinct fingerprints. No wide row leaves its task, and rows without an id are dropped in the scan.
     """
     with_id = raw.where(F.col(raw_id).isNotNull())
-    _, suspects = split_by_sieve(with_id, repeated_sieve(with_id, [raw_id], words), [raw_id], words)
-    cleaned = clean(suspects)
+    marked = with_mark(with_id, repeated_sieve(with_id, [raw_id], words), [raw_id], words=words)
+    cleaned = clean(marked.where(MARK), [])
     high, low = row_fingerprint(*cleaned.columns)
     marks = cleaned.where(F.col(id_column).isNotNull()).select(id_column, high.alias("_high"), low.alias("_low"))
     return (

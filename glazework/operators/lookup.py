@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from weakref import WeakKeyDictionary
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from glazework import constants as K
@@ -11,6 +13,8 @@ from glazework.session import DEFAULT_BROADCAST_MAX_BYTES, broadcast_if_small
 
 #: Most rows of a seed that becomes a literal in the plan (its look-up goes through them one by one).
 MAX_FUSED_ROWS = 64
+#: Seeds that were read for a literal: (most rows asked for, the rows).
+_READ: WeakKeyDictionary[DataFrame, tuple[int, list[Row]]] = WeakKeyDictionary()
 
 
 def region_lookup(raw: DataFrame) -> DataFrame:
@@ -51,13 +55,15 @@ def mapped_name(column: str) -> str:
 def code_map(seed: DataFrame, max_rows: int = MAX_FUSED_ROWS) -> dict[str, str | None] | None:
     """{key: clean value} of a seed that has at most ``max_rows`` rows and no key twice; else None.
 
-    NULL keys, which match nothing, are left out.
+    NULL keys, which match nothing, are left out. The rows of a DataFrame are read once.
     """
-    rows = _keyed(seed).limit(max_rows + 1).collect()  # bounded
-    if len(rows) > max_rows:
+    rows = _READ.get(seed)
+    if rows is None or len(rows[1]) > rows[0] != max_rows:
+        rows = _READ[seed] = (max_rows, _keyed(seed).limit(max_rows + 1).collect())  # bounded
+    if len(rows[1]) > max_rows:
         return None
-    found = {r["key"]: r["value"] for r in rows if r["key"] is not None}
-    return found if len(found) == sum(r["key"] is not None for r in rows) else None
+    found = {r["key"]: r["value"] for r in rows[1] if r["key"] is not None}
+    return found if len(found) == sum(r["key"] is not None for r in rows[1]) else None
 
 
 def _keyed(seed: DataFrame) -> DataFrame:

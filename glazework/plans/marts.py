@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
@@ -57,23 +58,20 @@ _FACT_JOINS = ["dim_garage", "dim_customer", "dim_technician", "dim_vehicle", "d
 
 
 def build_dimensions(
-    staging: DataFrame, persist: bool = True, parallel: int = 6, out_dir: str | None = None
+    staging: DataFrame, write: Callable[[str, Callable[[], DataFrame]], DataFrame] | None = None, parallel: int = 6
 ) -> dict[str, DataFrame]:
     """J-02: the six attribute dimensions, each written out (so its size is known).
 
     They are independent jobs over the same staging table, so they are
     submitted from a few driver threads at once and share the executors
-    (the same way independent models are built side by side). With
-    ``out_dir`` each is written straight to its published location.
+    (the same way independent models are built side by side). ``write`` takes a name and what makes the
+    table, and returns the written table; by default it goes to the work folder.
     """
+    write = write or (lambda name, make: materialize(make(), name))
 
     def one(name: str) -> tuple[str, DataFrame]:
-        dim = build_dimension(staging, DIMENSIONS[name])
-        target = f"{out_dir.rstrip('/')}/{name}" if out_dir else None
-        return name, (materialize(dim, name, path=target) if persist else dim)
+        return name, write(name, lambda: build_dimension(staging, DIMENSIONS[name]))
 
-    if not persist or parallel <= 1:
-        return dict(one(n) for n in DIMENSIONS)
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         return dict(pool.map(one, DIMENSIONS))
 

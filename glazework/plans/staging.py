@@ -83,11 +83,11 @@ def cleaned_columns(src: DataFrame, looked_up_region: Column | None = None) -> d
     return out
 
 
-def clean_rows(joined: DataFrame) -> DataFrame:
-    """The 34-column projection of a raw row joined to the lookup and the seeds."""
+def clean_rows(joined: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """The 34-column projection of a raw row joined to the lookup and the seeds, and the columns ``keep``."""
     region = F.col("_lookup_region") if "_lookup_region" in joined.columns else None
     exprs = cleaned_columns(joined, region)
-    return joined.select(*[exprs[name].alias(name) for name in STAGING_COLUMNS])
+    return joined.select(*[exprs[name].alias(name) for name in STAGING_COLUMNS], *(keep or []))
 
 
 #: Raw columns that staging keeps as they are (ids with a prefix): rows that differ in one stay different.
@@ -107,9 +107,9 @@ def row_cleaner(
     """
     regions = lookup if lookup is not None else materialize(region_lookup(raw), "region_lookup")
 
-    def clean(rows: DataFrame) -> DataFrame:
+    def clean(rows: DataFrame, keep: list[str]) -> DataFrame:
         joined = with_region_lookup(rows, regions, max_broadcast_bytes)
-        return clean_rows(map_codes(joined, seeds, max_bytes=max_broadcast_bytes, distinct=True))
+        return clean_rows(map_codes(joined, seeds, max_bytes=max_broadcast_bytes, distinct=True), keep)
 
     return clean
 

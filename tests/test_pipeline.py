@@ -115,8 +115,9 @@ def test_run_folder_is_written_once_and_switched_to(spark, raw, tmp_path):
     first = publish(build_warehouse(raw, publish_dir=out), out)
     assert published(spark, out, "fact_repairs").count() == STAGED
     second = publish(build_warehouse(raw, publish_dir=out), out)
-    assert current_run(spark, out) == second["fact_repairs"].rsplit("/", 1)[0] != first["fact_repairs"].rsplit("/", 1)[0]
-    assert published(spark, out, "stg_repairs").inputFiles()[0].split("/run-")[1][:32] in second["stg_repairs"]
+    run_of = lambda path: path.split("/run=")[1]
+    assert current_run(spark, out) == run_of(second["fact_repairs"]) != run_of(first["fact_repairs"])
+    assert published(spark, out, "stg_repairs").inputFiles()[0].split("/run=")[1][:33] in second["stg_repairs"]
     assert spark.read.parquet(first["fact_repairs"]).count() == STAGED  # a reader of the former run goes on
 
 
