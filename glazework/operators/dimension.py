@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glazework.functions.keys import surrogate_key, surrogate_text
+from glazework.operators.dedupe import repeated_sieve, with_mark
 from glazework.session import DEFAULT_BROADCAST_MAX_BYTES, broadcast_if_small
 
 
@@ -79,3 +80,25 @@ def lookup_key(
     cond = _all([fact[f] == right[f"_{key}_{d}"] for f, d in on])
     # The helper columns are pruned by the caller's final projection.
     return fact.join(right, cond, "left")
+
+
+def lookup_key_in_place(fact: DataFrame, dim: DataFrame, spec: DimensionSpec) -> DataFrame:
+    """As :func:`lookup_key`, for a large dimension built from these very rows: most keys need no join.
+
+    A row that belongs to the dimension and whose join key stands in one dimension row only can but meet
+    the row made from itself, so its key is hashed from its own columns; a row with a NULL in its join key meets nothing.
+    Both are settled in the scan stage. What is left is shuffled and joined: rows that the dimension leaves out, and
+    keys of several dimension rows, which a bounded sieve tells (see ``repeated_sieve``; it may name too many keys, never too few).
+    A hot key of one dimension row is thus never shuffled; one of several is split by AQE.
+    """
+    left, right = [f for f, _ in spec.fact_on], [d for _, d in spec.fact_on]
+    has_key = _all([F.col(c).isNotNull() for c in left])
+    several = repeated_sieve(dim.where(_all([F.col(c).isNotNull() for c in right])), right)
+    mark = f"_several_{spec.key}"
+    marked = with_mark(fact, several, left, mark)
+    own = has_key & _all([F.col(c).isNotNull() for c in spec.not_null]) & ~F.col(mark)
+    columns = fact.columns
+    key = F.when(has_key, surrogate_key(*spec.key_columns)).alias(spec.key)
+    settled = marked.where(~has_key | own).select(*columns, key)
+    joined = lookup_key(marked.where(has_key & ~own).select(*columns), dim, spec.fact_on, spec.key, broadcast=False)
+    return settled.union(joined.select(*columns, spec.key))

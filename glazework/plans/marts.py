@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glazework.operators.dimension import DimensionSpec, build_dimension, lookup_key
+from glazework.operators.dimension import DimensionSpec, build_dimension, lookup_key, lookup_key_in_place
 from glazework.operators.fanout import fanout_forecast
 from glazework.session import DEFAULT_BROADCAST_MAX_BYTES, materialize, planned_bytes
 
@@ -96,14 +96,20 @@ def build_fact(
     """J-03 / R-09 / R-10: look up the seven surrogate keys for every staging row.
 
     Each dimension's size is known from its files: small ones are broadcast and applied
-    first (map-side, no shuffle); the rest (typically the customer dimension, which
-    grows with the fact) join afterwards by shuffle on their keys, with only
+    map-side, no shuffle. The largest of the rest (in practice the customer dimension, which
+    grows with the fact) is looked up in place first: only rows that can't tell their key from their own
+    columns are shuffled. Any other large one joins afterwards by shuffle on its key, with only
     the columns still needed travelling.
+
+    ``dims`` must be built from ``staging``.
     """
     spec_on = fact_lookups()
-    small = {n: planned_bytes(dims[n]) <= max_broadcast_bytes for n in _FACT_JOINS}
-    fact = staging
-    for name in sorted(_FACT_JOINS, key=lambda n: not small[n]):
+
+    size = {n: planned_bytes(dims[n]) for n in _FACT_JOINS}
+    small = {n: size[n] <= max_broadcast_bytes for n in _FACT_JOINS}
+    in_place = max((n for n in DIMENSIONS if not small[n]), key=size.get, default=None)
+    fact = lookup_key_in_place(staging, dims[in_place], DIMENSIONS[in_place]) if in_place else staging
+    for name in sorted((n for n in _FACT_JOINS if n != in_place), key=lambda n: not small[n]):
         on, key = spec_on[name]
         fact = lookup_key(fact, dims[name], on, key, broadcast=small[name])
     return fact.select(*[F.col(c) for c in FACT_COLUMNS])

@@ -1,5 +1,6 @@
 """The non-broadcast paths and hot keys give the same answers as the broadcast paths."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from glazework.operators import lookup_key, region_lookup
@@ -47,6 +48,7 @@ def test_fact_shuffle_path_matches(spark):
         shuffled = build_fact(stg, dims, max_broadcast_bytes=0)
         plan = shuffled._jdf.queryExecution().executedPlan().toString()
         assert plan.count("SortMergeJoin") >= 6
+        assert "_sieve_bits" in shuffled._jdf.queryExecution().optimizedPlan().toString()  # the largest is looked up in place
         assert broadcast == _rows(shuffled)
     finally:
         for k in keys:
@@ -98,3 +100,62 @@ def test_hot_copy_group_in_dedupe(spark):
     n = 30_000
     df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("v"))
     assert dedupe_rows(df).count() == 1 + (n - n // 3)
+
+
+LARGE_JOIN = {
+    "spark.sql.shuffle.partitions": "32",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+}
+
+
+@pytest.fixture
+def by_shuffle(spark):
+    old = {k: spark.conf.get(k, None) for k in LARGE_JOIN}
+    for k, v in LARGE_JOIN.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_large_lookup_in_place_ships_only_rows_it_must(by_shuffle):
+    """A third of the rows on one customer, a third without one: neither leaves the scan stage."""
+    from glazework.operators.dimension import DimensionSpec, build_dimension, lookup_key_in_place
+
+    spec = DimensionSpec("d", "k", ["id", "mail"], ["id", "mail"], ["id", "mail"], [("id", "id")])
+    n = 60_000
+    fact = by_shuffle.range(n, numPartitions=8).selectExpr(
+        "id AS job",
+        "CASE id % 3 WHEN 0 THEN 'hot' WHEN 1 THEN NULL ELSE string(id % 5000) END AS id",
+        # some rows of a customer have no mail, and every tenth customer has two
+        "CASE WHEN id % 3 = 0 THEN 'h' WHEN id % 7 = 0 THEN NULL ELSE concat('m', IF(id % 10 = 0, floor(id / 5000) % 2, 0)) END AS mail",
+    )
+    fact = materialize(fact, "fact")
+    dim = materialize(build_dimension(fact, spec), "dim")
+    out = lookup_key_in_place(fact, dim, spec)
+    want = lookup_key(fact, dim, spec.fact_on, spec.key, broadcast=False).select(out.columns)
+    assert _rows(out) == _rows(want) and out.count() > n
+    text = out._jdf.queryExecution().executedPlan().toString()
+    union = text[text.index("Union"):].splitlines()
+    depth = union[1].index(":-")
+    assert not any("hashpartitioning" in line for line in union[1:] if line[depth : depth + 1] == ":")
+    out.write.format("noop").mode("overwrite").save()
+    several = dim.groupBy("id").count().where("count > 1").select("id")
+    must = fact.where("id IS NOT NULL").join(several, "id", "left_semi").count() + fact.where("id IS NOT NULL AND mail IS NULL").count()
+    assert must < n / 3
+
+
+def test_hot_customer_of_several_rows_is_split(by_shuffle):
+    from glazework.operators.dimension import DimensionSpec, build_dimension, lookup_key_in_place
+
+    spec = DimensionSpec("d", "k", ["id", "mail"], ["id", "mail"], ["id", "mail"], [("id", "id")])
+    fact = materialize(by_shuffle.range(60_000, numPartitions=8).selectExpr(
+        "id AS job", "md5(string(id)) AS load", "IF(id % 3 = 0, 'hot', string(id)) AS id", "IF(id % 3 = 0, string(id % 2), IF(id % 2 = 0, NULL, 'x')) AS mail"), "fact")
+    dim = materialize(build_dimension(fact, spec), "dim")
+    out = lookup_key_in_place(fact, dim, spec)
+    rows = out.collect()
+    assert len(rows) == 2 * 20_000 + 40_000
+    assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
