@@ -75,7 +75,8 @@ def numbered(turns: DataFrame) -> DataFrame:
     pieces before. The latter is asked only for conversations that cross pieces, fewer than there are pieces.
     """
     order = ["conv", "turn", "what"]
-    dealt = turns.repartitionByRange(*order, F.monotonically_increasing_id())
+    narrow = stored(turns, "turns")  # the sampling of the ranges and the dealing read no text
+    dealt = narrow.repartitionByRange(*order, F.monotonically_increasing_id())
     pieces = stored(dealt.withColumn("piece", F.spark_partition_id()), "turn-pieces")
     counts = pieces.groupBy("conv", "piece").agg(F.count(F.lit(1)).alias("n"))
     earlier = W.partitionBy("conv").orderBy("piece").rowsBetween(W.unboundedPreceding, -1)
