@@ -8,11 +8,13 @@ from dataclasses import dataclass
 
 #: Elements whose content is never text of the page, nor markup; unclosed, they reach to its end.
 _OPAQUE = "script|style|noscript|template|iframe|textarea|title"
+#: What stands between a tag's name and its end: a quote opens a value only right after an equals sign.
+_ATTRIBUTES = r"""(?:=\s*(?:"[^"]*(?:"|\Z)|'[^']*(?:'|\Z)|[^\s>"'][^\s>]*)?|[^>=])*"""
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    rf"|<({_OPAQUE})(?=[\s/>])[^>]*?(?:/>|>.*?(?:</\1\s*>|\Z))"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
+    rf"|<({_OPAQUE})(?=[\s/>])[^>]*?(?:/>|>.*?(?:</\1(?=[\s/>])[^>]*(?:>|\Z)|\Z))"
     r"|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)",
+    rf"|<(/?)([a-zA-Z][^\s/>]*)({_ATTRIBUTES})(?:>|\Z)",
     re.S | re.I,
 )
 _NAMES = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)

@@ -33,6 +33,24 @@ def test_blocks_of_odd_markup():
     assert path == (("div", "side", "bar", "main"), ("ul", "nav"), ("li",))
 
 
+@pytest.mark.parametrize("page,want", [
+    ("<article><p data-x=it's>Hello world.</p><p>More 'text'.</p>", ["Hello world.", "More 'text'."]),
+    ("<p><a href=/o'neil>O</a> text here</p><p>it's on", ["O text here", "it's on"]),
+    ("<p>one<!-->two<p>three<!--->four<!-- x --!>five", ["onetwo", "threefourfive"]),
+    ("<p>1<script>x()</script foo>2<style>p</STYLE\n>3</style>4", ["1 2 3", "4"]),
+    ("<p title = \"a>'b\" class=x>one</p><p a='>' b=\"'\">two", ["one", "two"]),
+    ("<p a= >one<p =\"x>y\">two<p a=>three<p 'x\">four", ["one", "two", "three", "four"]),
+    ("<scripts>kept</scripts><p>2", ["kept", "2"]),
+])
+def test_quotes_comments_and_raw_text_lose_nothing(page, want):
+    assert texts(page) == want
+
+
+def test_markup_of_any_length_takes_linear_time():
+    for page in ("<p " + "a='" * 100_000, "<p " + "=" * 300_000, "<a " + "b=c'" * 100_000 + ">x", "<!--" * 100_000):
+        assert len(leaf_blocks(page)) <= 1
+
+
 def test_gradient_by_differences():
     rng = np.random.default_rng(1)
     pool = word_pool(rng, 200)
