@@ -75,15 +75,18 @@ def dedupe_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
-def dedupe_cleaned(raw: DataFrame, clean: Clean, kept: list[str], words: int = SIEVE_WORDS) -> DataFrame:
+def dedupe_cleaned(
+    raw: DataFrame, clean: Clean, kept: list[str], words: int = SIEVE_WORDS, sieve: DataFrame | None = None
+) -> DataFrame:
     """The distinct rows of ``clean(raw)``, with only the rows that may be repeated in the DISTINCT.
 
     ``kept``: raw columns that equal cleaned rows must share (their values pass ``clean`` unchanged, or
     changed one to one). Raw rows that are alone in these can't have a copy, so they are cleaned and
     passed on in the scan stage; the others are cleaned and compared exactly, in all columns. ``clean`` may give several
-    rows for one, but no two equal ones.
+    rows for one, but no two equal ones. ``sieve``: that of ``raw`` over ``kept``, where it is made already.
     """
-    cleaned = clean(with_mark(raw, repeated_sieve(raw, kept, words), kept, words=words), [MARK])
+    sieve = repeated_sieve(raw, kept, words) if sieve is None else sieve
+    cleaned = clean(with_mark(raw, sieve, kept, words=words), [MARK])
     alone, suspects = cleaned.where(~F.col(MARK)).drop(MARK), cleaned.where(MARK).drop(MARK)
     return alone.union(dedupe_rows(suspects))
 
@@ -102,8 +105,14 @@ def cleaned_duplicate_report(
     return duplicate_report(clean(marked.where(MARK), []), id_column)
 
 
+def id_sieve(raw: DataFrame, raw_id: str, words: int = SIEVE_WORDS) -> DataFrame:
+    """The sieve of ids that two rows or more share; rows without an id are not counted."""
+    return repeated_sieve(raw.where(F.col(raw_id).isNotNull()), [raw_id], words)
+
+
 def repeated_ids(
-    raw: DataFrame, clean: Clean, raw_id: str, id_column: str = "job_id", words: int = SIEVE_WORDS
+    raw: DataFrame, clean: Clean, raw_id: str, id_column: str = "job_id", words: int = SIEVE_WORDS,
+    sieve: DataFrame | None = None,
 ) -> DataFrame:
     """Q-02 on ``clean(raw).distinct()``: (id, n_records) of non-NULL ids in two distinct rows or more.
 
@@ -111,7 +120,7 @@ def repeated_ids(
     id's records are its distinct fingerprints. No wide row leaves its task, and rows without an id are dropped in the scan.
     """
     with_id = raw.where(F.col(raw_id).isNotNull())
-    marked = with_mark(with_id, repeated_sieve(with_id, [raw_id], words), [raw_id], words=words)
+    marked = with_mark(with_id, id_sieve(raw, raw_id, words) if sieve is None else sieve, [raw_id], words=words)
     cleaned = clean(marked.where(MARK), [])
     high, low = row_fingerprint(*cleaned.columns)
     marks = cleaned.where(F.col(id_column).isNotNull()).select(id_column, high.alias("_high"), low.alias("_low"))

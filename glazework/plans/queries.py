@@ -16,7 +16,13 @@ from pyspark.sql import functions as F
 from glazework import constants as K
 from glazework.functions.keys import surrogate_key
 from glazework.operators.date_spine import dim_date
-from glazework.operators.dedupe import cleaned_duplicate_report, dedupe_cleaned, repeated_ids
+from glazework.operators.dedupe import (
+    cleaned_duplicate_report,
+    dedupe_cleaned,
+    id_sieve,
+    repeated_ids,
+    repeated_sieve,
+)
 from glazework.operators.dimension import build_dimension, key_collisions
 from glazework.operators.lookup import map_codes, mapped_name, region_lookup, with_region_lookup
 from glazework.operators.quality import (
@@ -27,7 +33,7 @@ from glazework.operators.quality import (
 )
 from glazework.plans.build import build_warehouse, quality_report
 from glazework.plans.marts import DIMENSIONS, forecast_fact
-from glazework.plans.staging import KEPT_COLUMNS, build_staging, clean_columns, cleaned_columns, row_cleaner
+from glazework.plans.staging import KEPT_COLUMNS, at_once, build_staging, clean_columns, cleaned_columns, row_cleaner
 from glazework.session import materialize
 from glazework.sources.seeds import load_seeds
 
@@ -111,9 +117,13 @@ def dq_summary(
     The row-level tests are counted where the rows are cleaned (only their fourteen columns are), and the unique test
     takes ids and fingerprints.
     """
-    clean = row_cleaner(raw, seeds or load_seeds(raw.sparkSession))
-    staging = dedupe_cleaned(raw, clean, KEPT_COLUMNS)
-    return quality_summary(staging, repeated=repeated_ids(raw, clean, "job_id"), severities=severities)
+    clean, copies, ids = at_once(
+        lambda: row_cleaner(raw, seeds or load_seeds(raw.sparkSession)),
+        lambda: repeated_sieve(raw, KEPT_COLUMNS),
+        lambda: id_sieve(raw, "job_id"),
+    )
+    staging = dedupe_cleaned(raw, clean, KEPT_COLUMNS, sieve=copies)
+    return quality_summary(staging, repeated=repeated_ids(raw, clean, "job_id", sieve=ids), severities=severities)
 
 
 def dq_summary_build(raw: DataFrame) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +27,7 @@ from glazework.functions import (
     trim_ws,
     uk_mobile,
 )
-from glazework.operators.dedupe import Clean, dedupe_cleaned
+from glazework.operators.dedupe import Clean, dedupe_cleaned, repeated_sieve
 from glazework.operators.lookup import map_codes, mapped_name, region_lookup, with_region_lookup
 from glazework.session import DEFAULT_BROADCAST_MAX_BYTES, materialize
 
@@ -94,6 +98,12 @@ def clean_rows(joined: DataFrame, keep: list[str] | None = None) -> DataFrame:
 KEPT_COLUMNS = ["job_id", "technician_id", "customer_id", "vehicle_age_in_years", "job_duration_in_hours"]
 
 
+def at_once(*jobs: Callable[[], Any]) -> list[Any]:
+    """Results of independent small jobs that are submitted side by side and share the executors."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        return [started.result() for started in [pool.submit(job) for job in jobs]]
+
+
 def row_cleaner(
     raw: DataFrame,
     seeds: dict[str, DataFrame],
@@ -125,7 +135,10 @@ def build_staging(
     A narrow pass over ``KEPT_COLUMNS`` finds which rows may have a copy; only these (about as many as there are
     copies) are shuffled, for an exact DISTINCT. All others go from the scan to the result in one stage.
     """
-    return dedupe_cleaned(raw, row_cleaner(raw, seeds, lookup, max_broadcast_bytes), KEPT_COLUMNS)
+    clean, sieve = at_once(
+        lambda: row_cleaner(raw, seeds, lookup, max_broadcast_bytes), lambda: repeated_sieve(raw, KEPT_COLUMNS)
+    )
+    return dedupe_cleaned(raw, clean, KEPT_COLUMNS, sieve=sieve)
 
 
 def clean_columns(raw: DataFrame, seeds: dict[str, DataFrame], columns: list[str]) -> DataFrame:
