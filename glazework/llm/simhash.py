@@ -17,7 +17,7 @@ grid is built for the general budget: ``max_bits`` // ``PARTS`` steps in each pa
 A cell's links are returned as a spanning forest, so a group of thousands of
 near copies gives edges in proportion to its members, not to their pairs.
 Components contract the edges in rounds (every vertex joins its smallest
-neighbour), each round written to the shared folder.
+neighbour, paths are shortened by doubling), each written to the shared folder.
 
 Defined results: a null, empty or blank text has fingerprint zero and links like
 any other; a repeated row is a copy; a null id is never the smallest id, unless
@@ -234,19 +234,36 @@ def link_fingerprints(nodes: DataFrame, max_bits: int = 4) -> DataFrame:
     )
 
 
+def tree_roots(up: DataFrame) -> DataFrame:
+    """(node, root) pointers, each to a smaller node or itself, replaced by the ends of their paths."""
+    while True:
+        above = up.select(F.col("node").alias("mid"), F.col("root").alias("top"))
+        doubled = stored(
+            up.join(above, up["root"] == above["mid"]).select(
+                "node", F.col("top").alias("root"), (F.col("top") < F.col("root")).alias("moved")
+            ),
+            "paths",
+        )
+        up = doubled.select("node", "root")
+        if doubled.where("moved").isEmpty():
+            return up
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b), root the smallest node of its component.
 
-    Contraction: each node joins its smallest neighbour or itself; edges are
-    renamed and loops dropped. Every component halves at least, so rounds grow
-    with the logarithm of its size. The renaming of each round is written; the
-    roots are read off from the last round back.
+    Contraction: each node points to its smallest neighbour or to itself, pointers are
+    doubled until each tells the root of its tree, edges are renamed to roots and loops dropped.
+    A node that stayed alone has a smaller neighbour from then on, so the nodes of a
+    component halve every two rounds at least, and a round doubles as often as the logarithm of its
+    longest path. The roots of each round are written and read off from the last round back.
     """
     edges = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
     rounds = []
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         up = stored(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("root")), "joins")
+        up = tree_roots(up)
         rounds.append(up)
         left = edges.join(up, edges["a"] == up["node"]).select(F.col("root").alias("ra"), "b")
         right = left.join(up, left["b"] == up["node"]).select("ra", F.col("root").alias("rb"))

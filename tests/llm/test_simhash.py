@@ -102,13 +102,45 @@ def test_group_of_near_copies_gives_few_edges():
     assert len(ball) > 1000 and len(a) == len(ball) - 1
 
 
-def test_components_of_a_long_chain(spark):
-    edges = spark.range(1, 300).selectExpr("id AS a", "id + 1 AS b")
+def written(monkeypatch):
+    """Names of the tables that ``components`` writes."""
+    names, store = [], S.stored
+    monkeypatch.setattr(S, "stored", lambda df, name: names.append(name) or store(df, name))
+    return names
+
+
+def test_components_of_a_long_rising_chain(spark, monkeypatch):
+    names = written(monkeypatch)
+    edges = spark.range(1, 10_000).selectExpr("id AS a", "id + 1 AS b")
     roots = {r["node"]: r["root"] for r in S.components(edges).collect()}
-    assert set(roots.values()) == {1} and len(roots) == 300
+    assert set(roots.values()) == {1} and len(roots) == 10_000
+    assert names.count("joins") == 1 and names.count("paths") <= 16
     assert S.components(edges.where("false")).collect() == []
 
 
+def test_components_of_random_graphs_and_stars(spark, monkeypatch):
+    rng = random.Random(5)
+    label = list(range(-600, 600))
+    rng.shuffle(label)
+    pairs = [(label[i], label[i + 1]) for i in range(299)]  # a shuffled chain
+    pairs += [(label[300], label[i]) for i in range(301, 500)]  # a star
+    pairs += [(label[rng.randrange(500, 1200)], label[rng.randrange(500, 1200)]) for _ in range(380)]
+    want = {n: n for p in pairs for n in p}
+
+    def top(n):
+        while want[n] != n:
+            n = want[n]
+        return n
+
+    for a, b in pairs:
+        lo, hi = sorted((top(a), top(b)))
+        want[hi] = lo
+    names = written(monkeypatch)
+    got = {r["node"]: r["root"] for r in S.components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()}
+    assert got == {n: top(n) for n in want}
+    assert names.count("joins") <= 10
+
+
 def test_null_ids_repeats_and_empty_table(spark, documents):
     docs = documents(["a b c d", "a b c d", "z", None], ids=[None, 5, None, None])
     out = S.simhash_groups(docs).collect()
