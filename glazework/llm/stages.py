@@ -21,8 +21,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that operator 1 rejects, by the base rules or by their host."""
-    return quality_rules.quality_rules(docs).where("kept").select(*docs.columns)
+    """Without the documents that operator 1 rejects, by the base rules or by their host.
+
+    The rows travel whole in a struct, so columns named like the operator's results stay as they are.
+    """
+    whole = docs.select(F.struct(*docs.columns).alias("_whole"), "source", "text")
+    return quality_rules.quality_rules(whole, keep=["_whole"]).where("kept").select("_whole.*")
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +34,8 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     A null id is chosen only where all ids of the group are null. One row stays for each group, whatever ids
     the groups share. They are found on ids, text hashes and fingerprints; the texts move once, to
-    meet the chosen rows. Rows that repeat both id and text are merged map-side, and apart from the others.
+    meet the chosen rows. Rows that repeat both id and text are merged map-side, and apart from the others: of
+    rows that differ in other columns only, the one that stays is smallest as JSON text (null fields left out).
     """
     named = docs.select("doc_id", "text", F.xxhash64("text").alias("_hash"))
     prints = simhash.with_fingerprints(named, ["doc_id", "_hash"])
@@ -46,7 +51,12 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     kept = rows_of(chosen.where("_rows = 1"))
     repeated = chosen.where("_rows > 1")
-    return kept if repeated.isEmpty() else kept.unionByName(rows_of(repeated).dropDuplicates(["doc_id", "text"]))
+    if repeated.isEmpty():
+        return kept
+    whole = F.struct(*docs.columns)
+    others = F.struct(*[c for c in docs.columns if c != "text"])
+    one = rows_of(repeated).groupBy("doc_id", F.xxhash64("text")).agg(F.min_by(whole, F.to_json(others)).alias("_one"))
+    return kept.unionByName(one.select("_one.*"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

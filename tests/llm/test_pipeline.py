@@ -8,6 +8,7 @@ import corpus_pipeline
 from glazework.llm import decontaminate, stages, toxicity
 from glazework.llm.common import stored, table
 from tests.conftest import SF_SMALL
+from tests.llm.conftest import DOCS
 from tests.llm.test_quality_rules import counts
 from tests.llm.test_simhash import by_definition, groups_by_definition
 
@@ -95,6 +96,27 @@ def test_repeated_rows_and_null_ids_in_the_near_dedup_stage(spark, documents):
     ]
 
 
+def test_stages_leave_columns_named_like_their_own_as_they_are(spark):
+    docs = table(spark, SF_SMALL, "documents").selectExpr(
+        "*", "concat('mine', doc_id) AS n_words", "doc_id * 2 AS kept", "'h' AS host_rejected", "doc_id AS _row",
+        "'s' AS score", "'p' AS _fp", "doc_id % 7 AS _root", "'b' AS _bad", "named_struct('a', doc_id) AS _whole",
+    )
+    before = {r["doc_id"]: r for r in docs.collect()}
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, SF_SMALL), "test-clash")
+        rows = docs.collect()
+        assert rows and all(r == before[r["doc_id"]] for r in rows)
+
+
+def test_near_dedup_tie_between_rows_that_differ_elsewhere(spark, documents):
+    text = " ".join(f"w{i}" for i in range(80))
+    for sources in (["x", "y", "z"], ["z", "y", "x"]):
+        rows = [(4, text, "en", s, 1, {"m": 1}) for s in sources] + [(9, "other words here", "en", "q", 1, {})]
+        docs = spark.createDataFrame(rows, f"{DOCS}, m map<string,int>").repartition(2)
+        kept = {r["doc_id"]: r for r in stages.keep_one_of_each_group(spark, docs, SF_SMALL).collect()}
+        assert sorted(kept) == [4, 9] and kept[4]["source"] == "x" and kept[4]["m"] == {"m": 1}
+
+
 def test_empty_documents(spark):
     docs = table(spark, SF_SMALL, "documents").where("false")
     for _, stage in corpus_pipeline.STAGES:
