@@ -3,7 +3,9 @@
 1. Examples: labelled rows that may be learnt from, at most ``max_examples`` of
    them by the hash of their id (the documented bound of the sample).
 2. Vocabulary: words of the examples that go with label 1, in ``MIN_DF`` examples or more and
-   so often that less than one word of all would be there by chance; at most ``max_terms``.
+   so often that less than one word of all would be there by chance; at most ``max_terms``. Cosines are
+   those of the texts over these words: over all words the nearest examples share the subject, not the label
+   (README, with figures).
 3. Every document's counts of those words, from its whole text; document frequencies
    are counted over all documents. Weights are (1 + ln tf) * idf, of length one.
 4. Index: postings by word, examples in blocks with the largest weight of each word and
@@ -17,7 +19,8 @@ The neighbours (evidence) are returned with the score.
 
 Defined results: a null, empty or blank text, and a text without a word of the
 vocabulary, has no neighbours and the curve's score at no votes; repeated rows score
-alike; labels of one document: toxic if any says so, null labels are no labels; without
+alike; a very long text is counted whole; an id with several texts gives one example, its smallest
+text, and each of its rows is scored by its own; labels of one document: toxic if any says so, null labels are no labels; without
 examples of both labels every score is the share of label 1 (0 without examples); an
 empty table gives no rows. Extra columns are carried only if named.
 
@@ -44,7 +47,8 @@ from .common import stored
 MAX_EXAMPLES = 8000
 MAX_TERMS = 2048
 MIN_DF = 3
-NEIGHBOURS = 10
+#: Enough votes that their sum tells a text with many telling words from one with a chance hit.
+NEIGHBOURS = 30
 BLOCK = 64
 #: Blocks scored before the bound is used.
 FIRST_BLOCKS = 4

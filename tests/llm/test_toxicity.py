@@ -75,6 +75,33 @@ def test_held_out_accuracy_and_no_leak(spark, corpus):
     assert all(abs(again[i] - out[i]["score"]) < 1e-9 for i in out)
 
 
+def test_scores_recomputed_from_dense_cosines(spark, corpus):
+    docs, labels, texts, toxic = corpus
+    model, _ = T.train(docs, labels)
+    examples = [i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 3 != 1]
+    tf = np.array([[T.words(t).count(w) for w in model.terms] for t in texts], float)
+    idf = np.log((1 + len(texts)) / (1 + (tf > 0).sum(0))) + 1
+    weights = np.where(tf > 0, (1 + np.log(np.maximum(tf, 1))) * idf, 0.0)
+    norms = np.linalg.norm(weights, axis=1, keepdims=True)
+    units = np.divide(weights, norms, out=np.zeros_like(weights), where=norms > 0)
+    cosines = units @ units[examples].T
+    y = np.array(toxic)[examples]
+
+    def votes(row):
+        order = np.lexsort((examples, -np.round(row, 12)))[: model.k]  # ties: the earlier example
+        order = order[row[order] > 0]
+        return row[order][y[order] == 1].sum(), row[order][y[order] == 0].sum()
+
+    own = cosines[examples].copy()
+    np.fill_diagonal(own, 0.0)
+    curve = T.fit_curve(np.array([votes(r) for r in own]), y.astype(float))
+    assert np.allclose(curve, model.curve, atol=1e-4)
+    got = {r["doc_id"]: r["score"] for r in T.score_documents(docs, labels).collect()}
+    for i, row in enumerate(cosines):
+        z = float(model.curve @ np.array([1.0, *votes(row)]))
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))), abs=1e-6)
+
+
 def test_sample_bound_is_kept(corpus):
     docs, labels, _, _ = corpus
     assert T.examples(docs, labels, "doc_id", "text", 50).count() == 50
