@@ -34,7 +34,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from hashlib import blake2b
 
 import numpy as np
@@ -58,6 +58,9 @@ RATE = 0.1
 SEED = 7
 #: Tokens scored at a time.
 CHUNK = 1024
+ONES = np.ones(CLASSES, np.float32)
+#: Row sums of exponentials between these are exact to a float's precision.
+SAFE = 1e-25, 1e25
 #: Words with this share of all words or more are sent to the tasks.
 HEAD = 1 << 18
 #: Distinct words counted in a task before they are passed on.
@@ -86,6 +89,7 @@ class Network:
     tables: np.ndarray  # offsets, CLASSES + 1, HIDDEN
     output: np.ndarray  # HIDDEN, CLASSES
     bias: np.ndarray  # CLASSES
+    room: np.ndarray = field(default_factory=lambda: np.empty((max(STEP, CHUNK), CLASSES), np.float32), repr=False)
 
     @classmethod
     def start(cls, counts: np.ndarray) -> Network:
@@ -113,39 +117,60 @@ class Network:
         )
 
     def hidden(self, line: np.ndarray, at: np.ndarray) -> np.ndarray:
-        total = self.tables[0][line[at + OFFSETS[0]]]
+        """The hidden layer at each place, and a last column of ones that meets the bias."""
+        total = self.tables[0].take(line[at + OFFSETS[0]], axis=0)
         for table, offset in zip(self.tables[1:], OFFSETS[1:]):
-            total += table[line[at + offset]]
-        return np.tanh(total, out=total)
+            total += table.take(line[at + offset], axis=0)
+        h = np.ones((len(at), HIDDEN + 1), np.float32)
+        np.tanh(total, out=h[:, :-1])
+        return h
+
+    def weights(self, h: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(exp of each class's logit, their sum by row, the logit of the class ``own``).
+
+        All logits of a row are lowered by its largest one where sums would leave the range of floats. The
+        first array is only good until the next call.
+        """
+        layer = np.vstack([self.output, self.bias])
+        e = np.matmul(h, layer, out=self.room[: len(h)] if len(h) <= len(self.room) else None)
+        rows = np.arange(len(h))
+        mine = e[rows, own]
+        with np.errstate(over="ignore"):
+            np.exp(e, out=e)
+            total = e @ ONES
+        if not (total.min(initial=1) > SAFE[0] and total.max(initial=1) < SAFE[1]):
+            np.matmul(h, layer, out=e)
+            e -= e.max(axis=1, keepdims=True)
+            mine = e[rows, own]
+            np.exp(e, out=e)
+            total = e @ ONES
+        return e, total, mine
 
     def log_probs(self, line: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Log-probability of the token at each place of ``line`` given its neighbours."""
         out = np.empty(len(at), np.float64)
         for k in range(0, len(at), CHUNK):
             part = at[k : k + CHUNK]
-            logits = self.hidden(line, part) @ self.output
-            logits += self.bias
-            own = logits[np.arange(len(part)), line[part]].copy()
-            top = logits.max(axis=1)
-            logits -= top[:, None]
-            np.exp(logits, out=logits)
-            out[k : k + CHUNK] = own - top - np.log(logits.sum(axis=1))
+            _, total, mine = self.weights(self.hidden(line, part), line[part])
+            out[k : k + CHUNK] = mine - np.log(total)
         return out
 
     def gradient(self, line: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        h = self.hidden(line, at)
-        logits = h @ self.output + self.bias
-        logits -= logits.max(axis=1, keepdims=True)
-        p = np.exp(logits)
-        p *= 1 / (len(at) * p.sum(axis=1, keepdims=True))
-        p[np.arange(len(at)), line[at]] -= 1 / len(at)
-        back = (p @ self.output.T) * (1 - h * h)
+        h, own = self.hidden(line, at), line[at]
+        e, total, _ = self.weights(h, own)
+        # e / (rows * total) is the gradient of the logits; the thin factors are divided, not e
+        e[np.arange(len(at)), own] -= total
+        scale = (1 / (len(at) * total))[:, None]
+        back = e @ self.output.T
+        back *= scale * (1 - h[:, :-1] ** 2)
+        layer = (h * scale).T @ e
         tables = np.empty_like(self.tables)
-        back = back.ravel()
+        back = back.ravel().astype(np.float64)
+        cells = np.arange(HIDDEN)
         for i, offset in enumerate(OFFSETS):
-            cells = (line[at + offset] * HIDDEN)[:, None] + np.arange(HIDDEN)
-            tables[i] = np.bincount(cells.ravel(), back, (CLASSES + 1) * HIDDEN).reshape(-1, HIDDEN)
-        return tables, h.T @ p, p.sum(axis=0)
+            at_cells = (line[at + offset] * HIDDEN)[:, None] + cells
+            tables[i] = np.bincount(at_cells.ravel(), back, (CLASSES + 1) * HIDDEN).reshape(-1, HIDDEN)
+        return tables, layer[:-1], layer[-1]
 
 
 def padded_line(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
