@@ -18,31 +18,66 @@ RESULT = (
 )
 
 
+class _Digest:
+    """Running figures of one conversation, segment by segment."""
+
+    def __init__(self, conv: int | None) -> None:
+        self.conv = conv
+        self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
+        self.n_turns = self.loss_chars = self.chars = self.tokens = self.loss_tokens = 0
+
+    def add(self, formatted: str, ends: np.ndarray, runs: list[tuple[int, int]]) -> None:
+        for role, text in parse(formatted):
+            self.turns.update(f"{role}\n{text}\n".encode())
+            self.n_turns += 1
+        for text in masked_texts(formatted, ends, runs):
+            self.loss.update(text.encode())
+            self.loss_chars += len(text)
+        self.chars += len(formatted)
+        self.tokens += len(ends)
+        self.loss_tokens += sum(b - a for a, b in runs)
+
+    def row(self) -> tuple:
+        return (
+            self.conv, self.n_turns, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars,
+            self.tokens, self.loss_tokens,
+        )
+
+
+def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
+    fields = [c.split() for c in RESULT.split(", ")]
+    kinds = [pa.string() if kind == "string" else pa.int64() for _, kind in fields]
+    columns = list(zip(*rows)) if rows else [[] for _ in fields]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[n for n, _ in fields])
+
+
 def _digest_batches(path: str):
+    """Rows of one conversation follow each other, its segments in order."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = byte_encoder(path, CONTROLS).sizes
+        now: _Digest | None = None
         for batch in batches:
-            out = []
-            for row in zip(*(batch.column(i) for i in range(5))):
+            done = []
+            for row in zip(*batch.columns):
                 conv, formatted, ids, first, last = (v.as_py() for v in row)
-                turns = parse(formatted)
-                ends = np.cumsum(sizes[np.array(ids, np.int64)])
-                runs = list(zip(first, last))
-                loss = "".join(masked_texts(formatted, ends, runs))
-                whole = "".join(f"{role}\n{text}\n" for role, text in turns)
-                out.append((
-                    conv, len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(loss),
-                    hashlib.sha256(loss.encode()).hexdigest(), len(formatted), len(ids),
-                    sum(b - a for a, b in runs),
-                ))
-            names = [c.split()[0] for c in RESULT.split(", ")]
-            kinds = [pa.string() if c.endswith("string") else pa.int64() for c in RESULT.split(", ")]
-            columns = list(zip(*out)) if out else [[] for _ in names]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+                if now is None or now.conv != conv:
+                    if now is not None:
+                        done.append(now.row())
+                    now = _Digest(conv)
+                now.add(formatted, np.cumsum(sizes[np.array(ids, np.int64)]), list(zip(first, last)))
+            yield _record_batch(done)
+        if now is not None:
+            yield _record_batch([now.row()])
 
     return run
 
 
 def digests(formatted: DataFrame, tokenizer_path: str) -> DataFrame:
-    columns = formatted.select("conv_id", "formatted", "token_ids", "mask_starts", "mask_ends")
-    return columns.mapInArrow(_digest_batches(tokenizer_path), RESULT)
+    """Figures of every conversation. Segments of a long one meet in one task, where a stream of them is
+    digested in order (a SHA-256 has no other way); it holds a batch of segments at a time."""
+    columns = ["conv_id", "formatted", "token_ids", "mask_starts", "mask_ends"]
+    cut = formatted.where("NOT whole").repartition("conv_id").sortWithinPartitions("conv_id", "segment")
+    run = _digest_batches(tokenizer_path)
+    whole = formatted.where("whole").select(columns).mapInArrow(run, RESULT)
+    return whole.unionByName(cut.select(columns).mapInArrow(run, RESULT))

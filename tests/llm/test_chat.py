@@ -63,3 +63,39 @@ def test_long_conversation(spark):
     df = spark.range(3000).selectExpr("7L AS conv_id", "id AS turn", "IF(id % 2 = 0, 'user', 'assistant') AS role", "repeat('word ', 20) AS text")
     r = digests(C.format_conversations(df, BYTE_BPE), BYTE_BPE).first()
     assert r["n_turns"] == 3000 and r["loss_chars"] == 1500 * 100
+
+
+def test_conversations_in_segments(spark):
+    """A long conversation, dealt over tasks and cut, gives what it gives as one row; null ids and ties too."""
+    rows = [(c, t, "assistant" if t % 2 else "user", f"{TRICKS[t % len(TRICKS)]} {t % 7} {c}") for c in (5, None) for t in range(400)]
+    rows += [(5, 3, None, "a tie"), (5, 3, "user", None), (6, 1, "assistant", "short"), (7, None, "assistant", None)]
+    rows += [(8, 1, "assistant", "z" * 3000)] * 3
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(5)
+    one = C.format_conversations(df, BYTE_BPE)
+    cut = C.format_conversations(df, BYTE_BPE, whole_bytes=4000, segment_chars=500)
+    whole = {r["conv_id"]: r for r in one.collect()}
+    parts = {}
+    for r in cut.orderBy("segment").collect():
+        parts.setdefault(r["conv_id"], []).append(r)
+    assert all(r["whole"] for r in whole.values()) and parts.keys() == whole.keys()
+    assert {c for c, p in parts.items() if not p[0]["whole"]} == {5, None, 8} and min(len(parts[5]), len(parts[None])) > 10
+    for conv, r in whole.items():
+        assert "".join(p["formatted"] for p in parts[conv]) == r["formatted"]
+        assert [i for p in parts[conv] for i in p["token_ids"]] == r["token_ids"]
+        runs, base = [], 0
+        for p in parts[conv]:
+            runs += [(base + a, base + b) for a, b in zip(p["mask_starts"], p["mask_ends"])]
+            base += len(p["token_ids"])
+        assert runs == list(zip(r["mask_starts"], r["mask_ends"]))
+    rows_of = lambda f: sorted(map(tuple, digests(f, BYTE_BPE).collect()), key=str)
+    assert rows_of(cut) == rows_of(one) and len(rows_of(one)) == 5
+
+
+def test_long_conversation_is_dealt_over_tasks(spark):
+    df = spark.range(0, 40000, 1, 8).selectExpr(
+        "7L AS conv_id", "id AS turn", "IF(id % 2 = 0, 'user', 'assistant') AS role", "repeat('word ', 40) AS text"
+    )
+    out = C.format_conversations(df, BYTE_BPE)
+    assert out.selectExpr("segment >> 32 AS task").distinct().count() > 1 and out.where("whole").isEmpty()
+    r = digests(out, BYTE_BPE).collect()
+    assert len(r) == 1 and r[0]["n_turns"] == 40000 and r[0]["loss_chars"] == 20000 * 200
