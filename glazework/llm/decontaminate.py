@@ -11,13 +11,17 @@ may start and end anywhere in the window).
 A candidate with one hit alone needs no window unless the next piece fits with one
 edit: with k edits and every other of the k pieces changed, each has exactly one.
 
+An item of fewer than 1 / ``RATE`` characters has no budget: it is found as it is, inside words too.
+
 Defined results: null and empty texts, and items without a word, match nothing; repeated
 documents give a row each; items of one text each give their rows; empty tables give no
-rows. Extra columns of the documents are carried only if named.
+rows; very long texts are searched whole, a row at a time. Extra columns of the documents are carried
+only if named. Ids may have any type.
 
 Scale: documents are read once per block of items, in the scan's partitions, without
-a shuffle. Items are a query set: a block has about ``BLOCK_CHARS`` characters, and more
-items make more blocks.
+a shuffle. Items are a query set. Equal texts are searched as one, and their ids joined to what is found.
+A block has about ``BLOCK_CHARS`` characters, however often a text repeats; more items make more blocks. Blocks
+are taken one after the other: the driver passes on one at a time, and what it gave is written before the next.
 """
 
 from __future__ import annotations
@@ -30,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 #: Edits allowed per character of an item.
 RATE = 0.1
 #: Characters of items in one block: bounds the automaton that a task holds.
@@ -148,18 +154,28 @@ class Matcher:
         return found
 
 
-def item_blocks(items: DataFrame, id_col: str, text_col: str, block_chars: int = BLOCK_CHARS) -> Iterator[list]:
-    """The items in blocks of about ``block_chars`` characters, dealt by the hash of the text."""
+def item_texts(items: DataFrame, text_col: str) -> DataFrame:
+    """(_n, _text) of every distinct text of the items, written to the shared folder."""
+    texts = items.select(F.col(text_col).alias("_text")).where("_text IS NOT NULL").distinct()
+    return stored(texts.select(F.monotonically_increasing_id().alias("_n"), "_text"), "item-texts")
+
+
+def block_count(items: DataFrame, text_col: str, block_chars: int) -> int:
     total = items.agg(F.sum(F.length(text_col))).first()[0] or 0
-    blocks = -(-total // block_chars)
+    return -(-total // block_chars)
+
+
+def item_blocks(items: DataFrame, id_col: str, text_col: str, block_chars: int = BLOCK_CHARS) -> Iterator[list]:
+    """The items in blocks of about ``block_chars`` characters, dealt by the hash of the text; one at a time."""
+    blocks = block_count(items, text_col, block_chars)
     for b in range(blocks):
         part = items.where(F.pmod(F.xxhash64(text_col), F.lit(blocks)) == b).where(F.col(text_col).isNotNull())
         yield [(r[0], r[1]) for r in part.select(id_col, text_col).collect()]
 
 
-def _match_batches(items: list, rate: float) -> Callable:
+def _match_batches(shared, rate: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(items, rate)
+        matcher = Matcher(shared.value, rate)
         for batch in batches:
             carried = batch.num_columns - 1
             rows, hits = [], []
@@ -169,7 +185,7 @@ def _match_batches(items: list, rate: float) -> Callable:
                     hits.append(hit)
             keys = [batch.column(i).take(pa.array(rows, pa.int64())) for i in range(carried)]
             out = [pa.array([h[i] for h in hits], pa.int64()) for i in range(3)]
-            names = [*batch.schema.names[:-1], "item_id", "distance", "match_end"]
+            names = [*batch.schema.names[:-1], "_n", "distance", "match_end"]
             yield pa.RecordBatch.from_arrays([*keys, *out], names=names)
 
     return run
@@ -177,24 +193,35 @@ def _match_batches(items: list, rate: float) -> Callable:
 
 def contaminated(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate: float = RATE,
-    item_id: str = "item_id", item_text: str = "text",
+    item_id: str = "item_id", item_text: str = "text", block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
     """(id, item_id, distance, match_end) of every document and item within the item's budget.
 
     ``match_end``: where the best passage ends, in the normalised text.
     """
-    plain = docs.select(id_col, F.col(text_col).alias("_text"))
-    kind = plain.schema[0].dataType.simpleString()
-    schema = f"`{id_col}` {kind}, item_id bigint, distance bigint, match_end bigint"
-    parts = [
-        plain.mapInArrow(_match_batches(block, rate), schema) for block in item_blocks(items, item_id, item_text)
-    ]
-    return reduce(DataFrame.unionByName, parts) if parts else docs.sparkSession.createDataFrame([], schema)
+    sc = docs.sparkSession.sparkContext
+    plain = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    schema = f"_id {plain.schema[0].dataType.simpleString()}, _n bigint, distance bigint, match_end bigint"
+    texts = item_texts(items, item_text)
+    one = block_count(texts, "_text", block_chars) <= 1
+    parts = []
+    for block in item_blocks(texts, "_n", "_text", block_chars):
+        shared = sc.broadcast(block)
+        found = plain.mapInArrow(_match_batches(shared, rate), schema)
+        if not one:
+            found = stored(found, "item-matches")
+            shared.destroy()
+        parts.append(found)
+    found = reduce(DataFrame.unionByName, parts) if parts else docs.sparkSession.createDataFrame([], schema)
+    owners = items.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("_text")).join(texts, "_text")
+    return found.join(owners.select("_n", "item_id"), "_n").select(
+        F.col("_id").alias(id_col), "item_id", "distance", "match_end"
+    )
 
 
-def _clean_batches(items: list, rate: float, text_at: int) -> Callable:
+def _clean_batches(shared, rate: float, text_at: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(items, rate)
+        matcher = Matcher(shared.value, rate)
         for batch in batches:
             clean = [not matcher.find(normal(t.as_py())) for t in batch.column(text_at)]
             yield batch.filter(pa.array(clean, pa.bool_()))
@@ -204,10 +231,16 @@ def _clean_batches(items: list, rate: float, text_at: int) -> Callable:
 
 def drop_contaminated(
     docs: DataFrame, items: DataFrame, text_col: str = "text", rate: float = RATE,
-    item_id: str = "item_id", item_text: str = "text",
+    item_text: str = "text", block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
     """``docs`` without the documents that hold an item; all columns as they are."""
-    at = docs.columns.index(text_col)
-    for block in item_blocks(items, item_id, item_text):
-        docs = docs.mapInArrow(_clean_batches(block, rate, at), docs.schema)
+    sc, at = docs.sparkSession.sparkContext, docs.columns.index(text_col)
+    texts = item_texts(items, item_text)
+    one = block_count(texts, "_text", block_chars) <= 1
+    for block in item_blocks(texts, "_n", "_text", block_chars):
+        shared = sc.broadcast(block)
+        docs = docs.mapInArrow(_clean_batches(shared, rate, at), docs.schema)
+        if not one:
+            docs = stored(docs, "clean-documents")
+            shared.destroy()
     return docs

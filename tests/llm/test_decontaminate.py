@@ -104,6 +104,21 @@ def test_items_in_several_blocks(spark, documents, items, monkeypatch):
     assert len(blocks) > 2 and sorted(i for b in blocks for i, _ in b) == [1, 3, 4, 5, 6]
 
 
+def test_equal_items_are_one_text_and_blocks_give_the_same(spark, documents):
+    """A text held by most items is searched once and gives all their ids, of any type; several blocks lose nothing."""
+    said = ["the quick brown fox jumps over the lazy dog again", "a stitch in time saves nine they say", "zzz unseen words of no text"]
+    rows = [(f"i{n}", said[0] if n < 30 else said[n % 3]) for n in range(40)] + [(None, said[1]), ("i0", said[0]), ("x", None)]
+    items = spark.createDataFrame(rows, "item_id string, text string")
+    docs = documents([said[0] + " indeed", "so " + said[1].replace("nine", "nime"), "clean", None, said[0] + " " + said[1]])
+    want = sorted([(d, i) for i, t in rows for d, hit in ((0, said[0]), (1, said[1]), (4, said[0]), (4, said[1])) if t == hit], key=str)
+    for chars in (D.BLOCK_CHARS, 40):
+        found = D.contaminated(docs, items, block_chars=chars)
+        assert sorted(((r["doc_id"], r["item_id"]) for r in found.collect()), key=str) == want
+        assert sorted(r["doc_id"] for r in D.drop_contaminated(docs, items, block_chars=chars).collect()) == [2, 3]
+    blocks = list(D.item_blocks(D.item_texts(items, "text"), "_n", "_text", block_chars=40))
+    assert sorted(t for b in blocks for _, t in b) == sorted(said)
+
+
 def test_query_finds_the_passages_a_plain_search_finds(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()
     items = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()
