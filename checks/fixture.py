@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glazework.constants import EMAIL_REPAIR_DOMAINS, MAPPED_COLUMNS, NA_TOKEN, NAME_PREFIXES
+from glazework.session import tune_for_wide_rows
 from glazework.sources.raw import RAW_COLUMNS
 from glazework.sources.seeds import seed_rows
 
@@ -248,6 +249,7 @@ def dirty_repairs(
     spark: SparkSession, sf_dir: str, repeat_customers: bool = False, vary_technicians: bool = False, clashing_garages: bool = False
 ) -> DataFrame:
     """The raw repairs table (30 columns, RAW_SCHEMA order) for one scale factor."""
+    tune_for_wide_rows(spark)
     base = _joined_orders(spark, sf_dir)
     copied = base.select("*", F.explode(F.expr(f"sequence(0, {COPIES} - 1)")).alias("copy"))
     copied = copied.select("*", *[F.expr(e).alias(c) for c, e in value_sql(SPARK).items()])

@@ -29,7 +29,7 @@ from glazework.functions import (
 )
 from glazework.operators.dedupe import Clean, dedupe_cleaned, repeated_sieve
 from glazework.operators.lookup import map_codes, mapped_name, region_lookup, with_region_lookup
-from glazework.session import DEFAULT_BROADCAST_MAX_BYTES, materialize
+from glazework.session import DEFAULT_BROADCAST_MAX_BYTES, materialize, tune_for_wide_rows
 
 STAGING_COLUMNS = [
     "job_id", "repair_date", "region", "city", "garage_name", "garage_type",
@@ -49,6 +49,7 @@ def cleaned_columns(src: DataFrame, looked_up_region: Column | None = None) -> d
     Mapped columns read ``_mapped_<column>`` when the mapping joins are
     present; the region reads ``looked_up_region`` (NULL when absent).
     """
+    tune_for_wide_rows(src.sparkSession)
     c = F.col
     lookup = looked_up_region if looked_up_region is not None else F.lit(None).cast("string")
     repair_cost, glass_cost = clean_currency(c("repair_cost")), clean_currency(c("glass_cost"))

@@ -44,6 +44,30 @@ def local_session(
     return spark
 
 
+#: Bytes of byte code beyond which the JVM only interprets a method.
+COMPILED_METHOD_BYTES = 8000
+
+#: Partitions per core that a shuffle keeps, where they are not smaller than AQE's floor.
+PARTITIONS_PER_CORE = 4
+
+
+def tune_for_wide_rows(spark: SparkSession) -> None:
+    """Session settings for stages that spend their time on expressions, where the session doesn't set them itself.
+
+    * The cleaning projection, fused into one method, is too long for the JVM to compile, and Spark's own bound
+      (64 kB) lets it be interpreted row by row. Such stages run as operators with small methods instead.
+    * AQE merges partitions by bytes down to about one per core, so that one left over makes a second round of
+      whole tasks. Several per core even that out.
+    """
+    wanted = {"spark.sql.codegen.hugeMethodLimit": COMPILED_METHOD_BYTES}
+    if hasattr(spark, "_jsc"):  # Spark Connect: no context on the client
+        cores = spark.sparkContext.defaultParallelism
+        wanted["spark.sql.adaptive.coalescePartitions.minPartitionNum"] = PARTITIONS_PER_CORE * cores
+    for setting, value in wanted.items():
+        if spark.conf.get(setting, None) is None:
+            spark.conf.set(setting, str(value))
+
+
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for materialised tables: the cluster's checkpoint dir.
 

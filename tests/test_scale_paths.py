@@ -8,6 +8,7 @@ from glazework.plans.marts import build_dimensions, build_fact
 from glazework.plans.staging import build_staging
 from glazework.session import materialize
 from checks.fixture import dirty_repairs
+from glazework.sources.raw import RAW_COLUMNS
 from glazework.sources.seeds import load_seeds
 from glazework.operators.date_spine import dim_date
 from tests.conftest import SF_SMALL
@@ -159,3 +160,49 @@ def test_hot_customer_of_several_rows_is_split(by_shuffle):
     rows = out.collect()
     assert len(rows) == 2 * 20_000 + 40_000
     assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
+
+
+TUNED = ["spark.sql.codegen.hugeMethodLimit", "spark.sql.adaptive.coalescePartitions.minPartitionNum"]
+
+
+@pytest.fixture
+def untuned(spark):
+    """The session without the settings of the build, which come back afterwards."""
+    found = {k: spark.conf.get(k, None) for k in TUNED}
+    for k in TUNED:
+        spark.conf.unset(k)
+    yield spark
+    for k, v in found.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _raw_rows(spark):
+    row = [
+        "job_id bigint", *[f"{c} {'bigint' if c in ('technician_id', 'customer_id') else 'int' if c == 'vehicle_age_in_years' else 'double' if c == 'job_duration_in_hours' else 'string'}"
+                           for c in RAW_COLUMNS if c != "job_id"],
+    ]
+    order = [r.split()[0] for r in row]
+    values = {"job_id": 1, "technician_id": 2, "customer_id": 3, "vehicle_age_in_years": 4, "job_duration_in_hours": 1.5,
+              "city": " leeds", "region": "N/A", "repair_cost": "£1,200.50", "customer_name": "Mr Al Ba"}
+    one = tuple(values.get(c, "x") for c in order)
+    other = tuple({**values, "job_id": 5, "region": "north", "city": "LEEDS"}.get(c) for c in order)
+    return spark.createDataFrame([one, one, other], ", ".join(row)).select(*RAW_COLUMNS)
+
+
+def test_cleaning_is_not_interpreted(untuned):
+    """The wide projection is over the JVM's bound for compiled methods, so the session must not fuse it into one."""
+    raw = materialize(_raw_rows(untuned), "raw")
+    staging = build_staging(raw, load_seeds(untuned))
+    assert int(untuned.conf.get(TUNED[0])) == 8000
+    assert int(untuned.conf.get(TUNED[1])) >= 2 * untuned.sparkContext.defaultParallelism
+    apart = _rows(staging)
+    assert len(apart) == 2 and {r[2] for r in apart} == {"North"}
+    untuned.conf.set(TUNED[0], "65535")
+    assert _rows(build_staging(raw, load_seeds(untuned))) == apart  # fused: the same rows
+
+
+def test_settings_of_the_session_stay(untuned):
+    for k, v in zip(TUNED, ("20000", "3")):
+        untuned.conf.set(k, v)
+    build_staging(materialize(_raw_rows(untuned), "raw"), load_seeds(untuned))
+    assert [untuned.conf.get(k) for k in TUNED] == ["20000", "3"]
