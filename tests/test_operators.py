@@ -125,3 +125,13 @@ def test_quality_summary_statuses(spark):
     assert rows["unmapped_values_garage_type"]["failures"] == 1
     assert rows["valid_boolean_insurance_claimed"]["status"] == "pass"
     assert rows["not_null_job_id"]["status"] == "pass"
+
+
+def test_region_lookup_sorts_spellings_not_rows(spark):
+    rows = [(" Leeds", "north"), ("LEEDS", "North "), ("leeds", "N/A"), ("Leeds", ""), ("N/A", "West"), ("n/a", "East"),
+            (None, "West"), ("York", None), ("  ", "West"), ("Bath", "\tSouth")] * 3
+    lookup = region_lookup(spark.createDataFrame(rows, "city string, region string"))
+    assert sorted(map(tuple, lookup.collect())) == [("bath", "South"), ("leeds", "North"), ("n/a", "East")]
+    tree = lookup._jdf.queryExecution().sparkPlan().toString().splitlines()
+    aggregates = [line for line in tree if "Aggregate(" in line]
+    assert "HashAggregate(" in aggregates[-1] and "trim" not in "".join(tree[tree.index(aggregates[-1]) :]), tree
