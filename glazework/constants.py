@@ -18,6 +18,9 @@ TRIM_WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
+# First and last printable ASCII character (no space), and what follows the last.
+PRINTABLE_ASCII = ("!", "~")
+AFTER_PRINTABLE_ASCII = "\x7f"
 
 # Missing-value marker used by the source system.
 NA_TOKEN = "N/A"

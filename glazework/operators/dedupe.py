@@ -65,6 +65,20 @@ def with_mark(
     return met.select(*rows.columns, (held.bitwiseAND(F.lit(1).cast("bigint")) == 1).alias(mark))
 
 
+def split_by_sieve(
+    rows: DataFrame, sieve: DataFrame, columns: list[str], words: int = SIEVE_WORDS
+) -> tuple[DataFrame, DataFrame]:
+    """``rows`` that are certainly alone, and those that may be repeated, as told by :func:`with_mark`.
+
+    An anti and a semi join with the broadcast sieve: rows pass as they are, without a copy beside a mark.
+    """
+    word, bit = _place(row_fingerprint(*columns)[0], words)
+    right = F.broadcast(sieve.select(F.col("word").alias("_sieve_word"), F.col("bits").alias("_sieve_bits")))
+    held = F.call_function("shiftright", F.col("_sieve_bits"), bit).bitwiseAND(F.lit(1).cast("bigint")) == 1
+    met = (word == F.col("_sieve_word")) & held
+    return rows.join(right, met, "left_anti"), rows.join(right, met, "left_semi")
+
+
 def dedupe_rows(df: DataFrame) -> DataFrame:
     """``SELECT DISTINCT *``: rows equal in every column collapse to one.
 
@@ -86,9 +100,8 @@ def dedupe_cleaned(
     rows for one, but no two equal ones. ``sieve``: that of ``raw`` over ``kept``, where it is made already.
     """
     sieve = repeated_sieve(raw, kept, words) if sieve is None else sieve
-    cleaned = clean(with_mark(raw, sieve, kept, words=words), [MARK])
-    alone, suspects = cleaned.where(~F.col(MARK)).drop(MARK), cleaned.where(MARK).drop(MARK)
-    return alone.union(dedupe_rows(suspects))
+    alone, suspects = split_by_sieve(raw, sieve, kept, words)
+    return clean(alone, []).union(dedupe_rows(clean(suspects, [])))
 
 
 def duplicate_report(df: DataFrame, id_column: str = "job_id") -> DataFrame:
@@ -101,8 +114,8 @@ def cleaned_duplicate_report(
     raw: DataFrame, clean: Clean, kept: list[str], id_column: str = "job_id", words: int = SIEVE_WORDS
 ) -> DataFrame:
     """:func:`duplicate_report` of ``clean(raw)``; only rows that may be repeated are cleaned at all."""
-    marked = with_mark(raw, repeated_sieve(raw, kept, words), kept, words=words)
-    return duplicate_report(clean(marked.where(MARK), []), id_column)
+    _, suspects = split_by_sieve(raw, repeated_sieve(raw, kept, words), kept, words)
+    return duplicate_report(clean(suspects, []), id_column)
 
 
 def id_sieve(raw: DataFrame, raw_id: str, words: int = SIEVE_WORDS) -> DataFrame:
@@ -120,8 +133,8 @@ def repeated_ids(
     id's records are its distinct fingerprints. No wide row leaves its task, and rows without an id are dropped in the scan.
     """
     with_id = raw.where(F.col(raw_id).isNotNull())
-    marked = with_mark(with_id, id_sieve(raw, raw_id, words) if sieve is None else sieve, [raw_id], words=words)
-    cleaned = clean(marked.where(MARK), [])
+    _, suspects = split_by_sieve(with_id, id_sieve(raw, raw_id, words) if sieve is None else sieve, [raw_id], words)
+    cleaned = clean(suspects, [])
     high, low = row_fingerprint(*cleaned.columns)
     marks = cleaned.where(F.col(id_column).isNotNull()).select(id_column, high.alias("_high"), low.alias("_low"))
     return (

@@ -71,6 +71,20 @@ def test_lone_wide_rows_enter_no_exchange(spark, stored_raw):
     assert marked.where(D.MARK).count() == 30  # 15 jobs sent twice alike, of 1,530 rows
 
 
+def test_split_keeps_every_row_once_and_copies_none(spark):
+    made = spark.range(3_000).selectExpr("id % 2900 AS a", "IF(id % 5 = 0, NULL, id % 2900) AS b")
+    sieve = D.repeated_sieve(made, ["a"])
+    alone, suspects = D.split_by_sieve(made, sieve, ["a"])
+    assert same(alone.union(suspects), made) and suspects.where("a < 100").count() == 200
+    assert same(suspects, D.with_mark(made, sieve, ["a"]).where(D.MARK).drop(D.MARK))
+    for part, kind in ((alone, "LeftAnti"), (suspects, "LeftSemi")):
+        assert part._jdf.queryExecution().optimizedPlan().toString().startswith(f"Join {kind}")
+
+
+def test_staging_copies_no_row_beside_a_mark(stored_raw):
+    assert D.MARK not in raw_queries()["stg_repairs"](stored_raw)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_unique_test_ships_ids_and_fingerprints_only(spark, stored_raw):
     plan = _plan(raw_queries()["dq_unique_job"](stored_raw))
     shipped = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)

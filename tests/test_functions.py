@@ -34,6 +34,17 @@ def test_initcap_words(spark):
     ], G.initcap_words)
 
 
+def test_trim_ws_is_the_listed_trim_and_skips_clean_ends(spark):
+    ends = ["", "a", "!", "~", "é", "\x7f", "\x00", "\x1f", "\U0001f600", "日", *K.TRIM_WHITESPACE]
+    table = spark.createDataFrame([(None,), *[(x + m + y,) for x in ends for y in ends for m in ("", "a b", " é ")]], "x string")
+    listed = F.trim("x", F.lit(K.TRIM_WHITESPACE))
+    got = table.select("x", G.trim_ws(F.col("x")).alias("got"), listed.alias("want"))
+    assert got.count() == 1 + 3 * len(ends) ** 2
+    assert got.where("NOT (got <=> want)").collect() == []
+    plan = got.select("got")._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN" in plan  # the list is looked up only where an end may need it
+
+
 def test_clean_region_uses_lookup_only_when_missing(spark):
     df = spark.createDataFrame(
         [(0, "N/A", "africa"), (1, " asia ", None), (2, None, " EUROPE "), (3, "", "x"), (4, "n/a", "x"),
