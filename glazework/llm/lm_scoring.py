@@ -22,8 +22,8 @@ mean; repeated rows score alike; an empty table gives no rows (and no training).
 carried only if named.
 
 Scale: 2 + ``ROUNDS`` passes of the texts, without a shuffle of texts. Words are counted map-side
-and the table of all words is written; it grows with the corpus. Words with a share of 1 / ``HEAD``
-or more (so at most ``HEAD`` words) are sent to the tasks. The other words of each row
+and the table of all words is written; it grows with the corpus. Words with a share of 1 / ``SHARE``
+or more, at most ``HEAD`` of them, are sent to the tasks. The other words of each row
 meet the table by a join on the word, where none is frequent, and are summed by row. Weights (some
 41,000 rows a task) are summed with map-side combining. The driver gets at most ``BUCKETS`` counts,
 ``HEAD`` words and one set of weights.
@@ -32,13 +32,14 @@ meet the table by a join on the word, where none is frequent, and are summed by
 from __future__ import annotations
 
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from hashlib import blake2b
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,12 +60,16 @@ SEED = 7
 #: Tokens scored at a time.
 CHUNK = 1024
 ONES = np.ones(CLASSES, np.float32)
+#: Places of a class's row in a table that holds its cells by twos.
+TWOS = np.arange((CLASSES + 1) * HIDDEN // 2).reshape(CLASSES + 1, -1)
 #: Row sums of exponentials between these are exact to a float's precision.
 SAFE = 1e-25, 1e25
-#: Words with this share of all words or more are sent to the tasks.
+#: At most so many words are sent to the tasks, the most frequent ones,
 HEAD = 1 << 18
-#: Distinct words counted in a task before they are passed on.
-HELD_WORDS = 1 << 18
+#: each at least once in so many words.
+SHARE = 1 << 20
+#: Bytes of words that a task holds before they are counted and passed on.
+HELD = 1 << 25
 #: Longer words are kept by a digest.
 LONG_WORD = 64
 #: Log-counts are summed as whole numbers of 1 / ``UNIT``, so that their order doesn't matter.
@@ -78,10 +83,31 @@ def word_key(word: bytes) -> bytes:
 
 def buckets(raw: bytes | None) -> np.ndarray:
     """The hash bucket of each word of a text's UTF-8 bytes."""
-    words = (raw or b"").lower().split()
+    return word_buckets((raw or b"").lower().split())
+
+
+def word_buckets(words: list[bytes] | np.ndarray) -> np.ndarray:
     return np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % BUCKETS
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(the lower-cased words of all texts in a row, words of each text); ``bytes.lower().split()`` in Arrow."""
+    wide = pa.types.is_large_binary(texts.type)
+    # only ASCII functions, which take any bytes
+    trimmed = pc.ascii_trim_whitespace(pc.ascii_lower(texts.view(pa.large_string() if wide else pa.string())))
+    trimmed = pc.if_else(pc.greater(pc.binary_length(trimmed), 0), trimmed, pa.scalar(None, trimmed.type))
+    split = pc.ascii_split_whitespace(trimmed)
+    sizes = pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return split.flatten().view(pa.large_binary() if wide else pa.binary()), sizes
+
+
+def word_keys(words: pa.Array, raw: Iterable[bytes]) -> pa.Array:
+    """The keys of words that are also given as bytes."""
+    if (pc.max(pc.binary_length(words)).as_py() or 0) > LONG_WORD:
+        return pa.array([word_key(w) for w in raw], pa.binary())
+    return words.cast(pa.binary())
+
+
 @dataclass
 class Network:
     """Tables (one row per class and the pad) of each offset, and the output layer."""
@@ -163,14 +189,13 @@ class Network:
         scale = (1 / (len(at) * total))[:, None]
         back = e @ self.output.T
         back *= scale * (1 - h[:, :-1] ** 2)
-        layer = (h * scale).T @ e
-        tables = np.empty_like(self.tables)
-        back = back.ravel().astype(np.float64)
-        cells = np.arange(HIDDEN)
-        for i, offset in enumerate(OFFSETS):
-            at_cells = (line[at + offset] * HIDDEN)[:, None] + cells
-            tables[i] = np.bincount(at_cells.ravel(), back, (CLASSES + 1) * HIDDEN).reshape(-1, HIDDEN)
-        return tables, layer[:-1], layer[-1]
+        layer = np.ascontiguousarray((e.T @ (h * scale)).T)
+        # a complex number adds two cells at once
+        twos = back.view(np.complex64).ravel()
+        tables = np.zeros((len(OFFSETS), TWOS.size), np.complex64)
+        for table, offset in zip(tables, OFFSETS):
+            np.add.at(table, TWOS.take(line[at + offset], axis=0).ravel(), twos)
+        return tables.view(np.float32).reshape(self.tables.shape), layer[:-1], layer[-1]
 
 
 def padded_line(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -191,23 +216,22 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.R
 
 
 def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[bytes] = Counter()
+    held: list[pa.Array] = []
 
     def taken() -> pa.RecordBatch:
-        arrays = [
-            pa.array([word_key(w) for w in counts], pa.binary()),
-            pa.array([zlib.crc32(w) % BUCKETS for w in counts], pa.int32()),
-            pa.array(counts.values(), pa.int64()),
-        ]
-        counts.clear()
+        counts = pa.chunked_array(held).value_counts()
+        held.clear()
+        words = counts.field("values")
+        raw = words.to_numpy(zero_copy_only=False)
+        arrays = [word_keys(words, raw), pa.array(word_buckets(raw), pa.int32()), counts.field("counts")]
         return pa.RecordBatch.from_arrays(arrays, names=["word", "bucket", "n"])
 
-    for batch in batches:
-        for text in batch.column(0):
-            counts.update((text.as_py() or b"").lower().split())
-            if len(counts) > HELD_WORDS:
-                yield taken()
-    yield taken()
+    for batch in _slices(batches):
+        held.append(split_words(batch.column(0))[0])
+        if sum(h.nbytes for h in held) > HELD:
+            yield taken()
+    if held:
+        yield taken()
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -241,10 +265,22 @@ class Words:
     @classmethod
     def of(cls, words: DataFrame) -> Words:
         _, tokens, kinds = class_map(words)
-        often = words.where(F.col("n") * HEAD >= float(tokens.sum())).collect()  # at most HEAD rows
+        often = frequent(words, float(tokens.sum())).collect()  # at most HEAD rows
         return cls(words, {bytes(r["word"]): units(r["n"]) for r in often}, np.log(tokens + kinds + 1.0))
 
 
+def frequent(words: DataFrame, tokens: float, most: int | None = None) -> DataFrame:
+    """(word, n) of the words found once in ``SHARE`` of ``tokens`` words or more often, at most ``most`` (``HEAD``) of them.
+
+    Where there are more, the rarer ones are left out, by steps of a sixteenth of a doubling.
+    """
+    often = words.select("word", "n", F.floor(F.log2("n") * 16).alias("step")).where(F.col("n") * SHARE >= tokens)
+    steps = sorted(often.groupBy("step").count().collect(), reverse=True)  # some hundred rows
+    taken = np.cumsum([r["count"] for r in steps])
+    out = [r["step"] for r, n in zip(steps, taken) if n > (HEAD if most is None else most)]
+    return often.where(F.col("step") > out[0] if out else F.lit(True)).select("word", "n")
+
+
 def units(n: int) -> int:
     return int(np.rint(np.log(n + 1.0) * UNIT))
 
@@ -305,26 +341,53 @@ def train(
     return classes, flat
 
 
-def _rest(text: bytes | None, head: dict[bytes, int]) -> tuple[int, list[tuple[bytes, int]]]:
-    """(log-counts of a text's frequent words, its other words with their counts)."""
-    total, rest = 0, []
-    for word, n in Counter((text or b"").lower().split()).items():
-        key = word_key(word)
-        if key in head:
-            total += n * head[key]
-        else:
-            rest.append((key, n))
-    return total, rest
+class Head:
+    """The frequent words with their classes and log-counts, each found by one look-up of the word."""
+
+    def __init__(self, classes: np.ndarray, head: dict[bytes, int]):
+        self.classes, self.head = classes, head
+        words = [w for w in head if len(w) <= LONG_WORD]
+        self.places = {w: i for i, w in enumerate(words)}
+        self.own = np.append(classes[word_buckets(words)], 0)  # the last is that of words not found
+        self.units = np.array([*(head[w] for w in words), 0], np.int64)
+
+    def of(self, texts: pa.Array) -> tuple[list[np.ndarray], np.ndarray, pa.ListArray]:
+        """(classes of each text's words, log-counts of its frequent words, its other words with their counts)."""
+        words, sizes = split_words(texts)
+        coded = words.dictionary_encode()
+        raw, code = coded.dictionary.to_numpy(zero_copy_only=False), coded.indices.to_numpy()
+        places = np.fromiter(map(self.places.get, raw, repeat(-1)), np.int64, len(raw))
+        rare = places < 0
+        own, each = self.own[places], self.units[places]
+        own[rare] = self.classes[word_buckets(raw[rare])]
+        for i in np.flatnonzero(pc.binary_length(coded.dictionary).to_numpy() > LONG_WORD):
+            key = word_key(raw[i])
+            if key in self.head:
+                each[i], rare[i] = self.head[key], False
+        ends = np.cumsum(sizes)
+        run_sums = np.r_[0, np.cumsum(each[code])]
+        pairs = (np.repeat(np.arange(len(sizes)), sizes) * len(raw) + code)[rare[code]]
+        pairs, times = np.unique(pairs, return_counts=True)
+        row, kind = np.divmod(pairs, max(len(raw), 1))
+        rest = pa.StructArray.from_arrays(
+            [word_keys(coded.dictionary, raw).take(pa.array(kind)), pa.array(times, pa.int64())], names=["word", "times"]
+        )
+        offsets = np.searchsorted(row, np.arange(len(sizes) + 1))
+        return (
+            np.split(own[code], ends[:-1]), run_sums[ends] - run_sums[ends - sizes],
+            pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), rest),
+        )
 
 
 def _score_batches(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (classes, flat), head, whole = shared.value
+        (classes, flat), words, whole = shared.value
         net = Network.of(flat)
+        head = Head(classes, words or {})
         for batch in _slices(batches):
             carried = batch.num_columns - 1
-            texts = [t.as_py() for t in batch.column(carried)]
-            line, places, sizes = padded_line([classes[buckets(t)] for t in texts])
+            texts, known, rest = head.of(batch.column(carried))
+            line, places, sizes = padded_line(texts)
             log_probs = net.log_probs(line, places)
             if whole is not None:
                 log_probs -= whole[line[places]]
@@ -336,14 +399,7 @@ def _score_batches(shared):
             ]
             names = [*batch.schema.names[:-1], "n_tokens", "log_likelihood"]
             if whole is not None:
-                rest = [_rest(t, head) for t in texts]
-                offsets = np.cumsum([0, *(len(r) for _, r in rest)])
-                pairs = pa.StructArray.from_arrays(
-                    [pa.array([w for _, r in rest for w, _ in r], pa.binary()),
-                     pa.array([n for _, r in rest for _, n in r], pa.int64())], names=["word", "times"]
-                )
-                arrays += [pa.array([u for u, _ in rest], pa.int64()),
-                           pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs)]
+                arrays += [pa.array(known, pa.int64()), rest]
                 names += ["_units", "_rest"]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from glazework.llm import lm_scoring as L
@@ -141,3 +142,83 @@ def test_every_token_is_a_target_once():
     for rounds in (1, L.ROUNDS, 5):
         turns = [L.targets_of(places, texts, turn, rounds) for turn in range(rounds)]
         assert sorted(np.concatenate(turns)) == sorted(places)
+
+
+def test_table_gradient_takes_no_copies_of_places():
+    """A place's four rows get its whole back-propagated row, also where classes repeat within a step."""
+    rng = np.random.default_rng(4)
+    net = L.Network.start(np.ones(L.CLASSES))
+    line, places, _ = L.padded_line([rng.integers(0, 5, 300), rng.integers(250, L.CLASSES, 7)])
+    tables, output, bias = net.gradient(line, places)
+    h = net.hidden(line, places).astype(float)
+    logits = h @ np.vstack([net.output, net.bias]).astype(float)
+    p = np.exp(logits) / np.exp(logits).sum(axis=1, keepdims=True)
+    p[np.arange(len(places)), line[places]] -= 1
+    p /= len(places)
+    back = (p @ net.output.T) * (1 - h[:, :-1] ** 2)
+    expected = np.zeros(tables.shape)
+    for k, at in enumerate(places):
+        for i, offset in enumerate(L.OFFSETS):
+            expected[i, line[at + offset]] += back[k]
+    assert tables.dtype == np.float32 and np.allclose(tables, expected, atol=1e-6)
+    assert np.allclose(output, h[:, :-1].T @ p, atol=1e-6) and np.allclose(bias, p.sum(axis=0), atol=1e-6)
+
+
+BYTES = [
+    b" The cat \xc3\xa9 the\tTHE\x0b\x0c\r\n \x1c\x85 \xc2\xa0x ", None, b"", b" \n", b"\xff\x00 A\xc3 \xe2\x82", b"\xc3\x89TA B", b"x",
+    b"x" * L.LONG_WORD + b" " + b"y" * 65 + b" Cat " + b"Z" * 200 + b" " + b"Y" * 65 + b" cat",
+]
+
+
+def test_words_split_as_python_does():
+    for kind in (pa.binary(), pa.large_binary()):
+        for texts in (pa.array(BYTES * 3, kind), pa.array([b"cut"] + BYTES, kind).slice(1), pa.array([None, b""], kind), pa.array([], kind)):
+            words, sizes = L.split_words(texts)
+            said = [(t or b"").lower().split() for t in texts.to_pylist()]
+            assert words.to_pylist() == [w for ws in said for w in ws]
+            assert list(sizes) == [len(ws) for ws in said]
+
+
+def test_words_are_looked_up_once_each():
+    """Classes, log-counts and other words of texts as by hand; long words go by their digests, frequent or not."""
+    classes = np.arange(L.BUCKETS) % L.CLASSES
+    numbers = {b"the": 5, b"x" * L.LONG_WORD: 7, L.word_key(b"y" * 65): 11}
+    for some in (numbers, {}):
+        lines, known, rest = L.Head(classes, some).of(pa.array(BYTES, pa.binary()))
+        for text, line, total, others in zip(BYTES, lines, known, rest.to_pylist(), strict=True):
+            keys = [L.word_key(w) for w in (text or b"").lower().split()]
+            assert list(line) == list(classes[L.buckets(text)])
+            assert total == sum(some.get(k, 0) for k in keys)
+            assert {p["word"]: p["times"] for p in others} == {k: keys.count(k) for k in keys if k not in some}
+            assert len(others) == len({p["word"] for p in others})
+    lines, known, rest = L.Head(classes, {}).of(pa.array([None, b" "], pa.binary()))
+    assert [len(x) for x in lines] == [0, 0] and list(known) == [0, 0] and rest.to_pylist() == [[], []]
+
+
+def test_words_are_counted_in_arrow(monkeypatch):
+    said = [w for t in BYTES for w in (t or b"").lower().split()]
+    texts = pa.RecordBatch.from_arrays([pa.array(BYTES * 300, pa.binary())], names=["t"])
+    for held in (L.HELD, 1000):
+        monkeypatch.setattr(L, "HELD", held)
+        found = {}
+        for batch in L._word_batches(iter([texts, texts.slice(0, 0)])):
+            for r in batch.to_pylist():
+                found[r["word"], r["bucket"]] = found.get((r["word"], r["bucket"]), 0) + r["n"]
+        assert found == {(L.word_key(w), int(L.buckets(w)[0])): 300 * said.count(w) for w in said}
+    assert list(L._word_batches(iter([]))) == []
+
+
+def test_frequent_words_are_bounded(spark, monkeypatch):
+    """Sent to the tasks: words from the share on, and never more than the bound, whatever the vocabulary."""
+    words = spark.createDataFrame([(f"w{n}-{k}", n) for n in (1, 2, 40, 41, 1000) for k in range(4)], "word string, n bigint")
+
+    def sent(tokens, most=None):
+        return sorted({(r["n"]) for r in L.frequent(words, tokens, most).collect()}), L.frequent(words, tokens, most).count()
+
+    assert sent(2.0 * L.SHARE) == ([2, 40, 41, 1000], 16)
+    assert sent(2.0 * L.SHARE, 16) == ([2, 40, 41, 1000], 16)
+    assert sent(2.0 * L.SHARE, 15) == ([40, 41, 1000], 12) == sent(40.0 * L.SHARE, 12)
+    assert sent(2.0 * L.SHARE, 4) == ([1000], 4)
+    assert sent(2.0 * L.SHARE, 3) == ([], 0)
+    monkeypatch.setattr(L, "HEAD", 5)
+    assert sent(1.0) == ([1000], 4)
