@@ -189,13 +189,13 @@ class Network:
         scale = (1 / (len(at) * total))[:, None]
         back = e @ self.output.T
         back *= scale * (1 - h[:, :-1] ** 2)
-        layer = np.ascontiguousarray((e.T @ (h * scale)).T)
+        layer = (h * scale).T @ e
         # a complex number adds two cells at once
-        twos = back.view(np.complex64).ravel()
-        tables = np.zeros((len(OFFSETS), TWOS.size), np.complex64)
+        twos = back.astype(np.float64).view(np.complex128).ravel()
+        tables = np.zeros((len(OFFSETS), TWOS.size), np.complex128)
         for table, offset in zip(tables, OFFSETS):
             np.add.at(table, TWOS.take(line[at + offset], axis=0).ravel(), twos)
-        return tables.view(np.float32).reshape(self.tables.shape), layer[:-1], layer[-1]
+        return tables.view(np.float64).astype(np.float32).reshape(self.tables.shape), layer[:-1], layer[-1]
 
 
 def padded_line(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
